@@ -53,7 +53,7 @@ def add_prefix(c: Column, prefix: str) -> Column:
 
 def packed_items(c: Column, sep: str = ";") -> Column:
     """Entries of a packed list, trimmed, empty ones dropped; an empty cell is an empty array."""
-    parts = F.transform(F.split(F.coalesce(c, F.lit("")), _quoted(sep)), F.trim)
+    parts = F.transform(F.split(F.coalesce(c, F.lit("")), _quoted(sep)), lambda x: F.trim(x))
     return F.filter(parts, lambda x: x != "")
 
 
