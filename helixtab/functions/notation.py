@@ -1,12 +1,12 @@
 """Protein-change notation to a category and its details, as column expressions.
 
-Both dialects are described by one ordered list of shapes.  A shape is a regex plus a function that
-turns the captured groups into a details struct; the first shape that matches decides.
+A change is taken apart by one regex; an ordered list of rules over the parts then decides its
+category and fills the details.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Residue names of the three-letter dialect and their one-letter codes.
@@ -30,10 +30,6 @@ DEFERRED_CLASSES = (
 SILENT_CLASSES = ("Substitution - coding silent",)
 NAME_PATTERN = r"^([A-Z]{2}_\d+\.\d+)\([^)]*\):.*?\(p\.([^)]+)\)"
 
-DETAILS_TYPE = (
-    "struct<pos:int,wt:string,mut:string,keep_to:int,start:int,end:int,"
-    "after:int,inserted:string,n_inserted:int,truncate:boolean>"
-)
 _FIELDS = {
     "pos": "int", "wt": "string", "mut": "string", "keep_to": "int", "start": "int",
     "end": "int", "after": "int", "inserted": "string", "n_inserted": "int",
@@ -70,160 +66,140 @@ def _int(c: Column) -> Column:
     return c.try_cast("int")
 
 
-def _insert_parts(tokens: Column) -> tuple[Column, Column, Column]:
-    """F-10: (is valid, names kept, truncates) of a run of three-letter names.
+_SEP = "\u0001"
+_THREE_SHAPE = r"^([A-Za-z]{3})(\d+)(?:_([A-Za-z]{3})(\d+))?(delins|ins|del|dup)?([A-Za-z]*)$"
+_ONE_SHAPE = r"^p\.([A-Z])(\d+)(?:_([A-Z])(\d+))?(delins|ins|del|dup)?([A-Z*]*)$"
 
-    The run is cut every three letters; a last ``Ter`` means the protein ends there.  Names without
-    a code are left out of the joined codes but counted, so the two lengths differ exactly when the
-    insert cannot be built.
+
+def _change_parts(change: Column, shape: str) -> Column:
+    """First residue and position, second residue and position, operation and tail of a change.
+
+    One regex pass per row; a change of another form gives an array of another size.
     """
-    cut = F.regexp_extract_all(tokens, F.lit(".{1,3}"), 0)
-    truncates = F.coalesce(F.try_element_at(cut, F.lit(-1)) == "Ter", F.lit(False))
-    kept = F.when(truncates, F.slice(cut, F.lit(1), F.size(cut) - 1)).otherwise(cut)
-    return F.forall(kept, lambda t: t.isin(*THREE_TO_ONE, *EXTRA_NAMES)), kept, truncates
+    spelled = F.regexp_replace(change, shape, _SEP.join(f"${i}" for i in range(1, 7)))
+    return F.split(spelled, _SEP)
+
+
+class _Parts:
+    """Names for the cells of the parts column."""
+
+    def __init__(self, parts: Column):
+        cell = lambda i: F.get(parts, F.lit(i))
+        self.fits = F.size(parts) == 6
+        self.residue, self.position = cell(0), _int(cell(1))
+        self.is_range = cell(3) != ""
+        self.end = F.when(self.is_range, _int(cell(3))).otherwise(_int(cell(1)))
+        self.op, self.tail = cell(4), cell(5)
+
+    def when(self, op: str, ranged: bool | None = None) -> Column:
+        cond = self.fits & (self.op == op)
+        return cond if ranged is None else cond & (self.is_range if ranged else ~self.is_range)
+
+
+def _inserted(parts: _Parts, kind: str, text: Column, n: Column, cut: Column) -> Column:
+    place = (
+        {"after": parts.position}
+        if kind == "ins"
+        else {"start": parts.position, "end": parts.end}
+    )
+    return _outcome(kind, **place, inserted=text, n_inserted=n, truncate=cut)
+
+
+def _shared_shapes(parts: _Parts) -> list[tuple[Column, Column]]:
+    """Deletions and duplications, the same in both dialects."""
+    return [
+        (parts.when(op) & (parts.tail == ""), _outcome(op, start=parts.position, end=parts.end))
+        for op in ("del", "dup")
+    ]
 
 
-def _joined_codes(kept: Column) -> Column:
-    return F.array_join(F.transform(kept, lambda t: residue_code(t)), "")
+def _first(rules: list[tuple[Column, Column]]) -> Column:
+    out = F.when(*rules[0])
+    for cond, value in rules[1:]:
+        out = out.when(cond, value)
+    return out.otherwise(_outcome("unparsed"))
 
 
-def classify_three_letter(change: Column) -> Column:
-    """F-07: (category, details) of a change such as ``Gly1046Arg`` or ``Gly10_Ala12delinsTrpVal``.
+def _three_letter(change: Column, parts: _Parts, tokens: Column) -> Column:
+    """F-07 and F-10.
 
-    Range, del, dup and ins shapes come before the single substitution, whose pattern would also
-    accept ``Glu315del``.
+    An inserted run is cut every three letters; a last ``Ter`` ends the protein there.  Names without
+    a code are left out of the joined codes but counted, so the two lengths differ exactly when the
+    insert cannot be built.  Operations are read before the plain substitution, whose form a deletion
+    of one residue would also have.
     """
-    res, num = "([A-Za-z]{3})", r"(\d+)"
-    span = f"^{res}{num}_{res}{num}"
-
-    def part(pattern: str, i: int) -> Column:
-        return F.regexp_extract(change, pattern, i)
-
-    p_delins, p_delins1 = f"{span}delins([A-Za-z]+)$", f"^{res}{num}delins([A-Za-z]+)$"
-    p_ins_stop, p_ins = f"{span}insTer$", f"{span}ins([A-Za-z]+)$"
-    p_del, p_del1 = f"{span}del$", f"^{res}{num}del$"
-    p_dup, p_dup1 = f"{span}dup$", f"^{res}{num}dup$"
-    p_sub = f"^{res}{num}{res}$"
-
-    def replaced(pattern: str, end_group: int, text_group: int) -> Column:
-        ok, kept, cut = _insert_parts(part(pattern, text_group))
-        return F.when(
-            ok,
-            _outcome(
-                "delins",
-                start=_int(part(pattern, 2)),
-                end=_int(part(pattern, end_group)),
-                inserted=_joined_codes(kept),
-                n_inserted=F.size(kept),
-                truncate=cut,
-            ),
-        ).otherwise(_outcome("unparsed"))
-
-    ins_ok, ins_kept, ins_cut = _insert_parts(part(p_ins, 5))
-    inserted = F.when(
-        ins_ok,
-        _outcome(
-            "ins",
-            after=_int(part(p_ins, 2)),
-            inserted=_joined_codes(ins_kept),
-            n_inserted=F.size(ins_kept),
-            truncate=ins_cut,
-        ),
-    ).otherwise(_outcome("unparsed"))
-
-    def ranged(kind: str, pattern: str, end_group: int) -> Column:
-        return _outcome(kind, start=_int(part(pattern, 2)), end=_int(part(pattern, end_group)))
-
-    wt, pos, mut = part(p_sub, 1), _int(part(p_sub, 2)), part(p_sub, 3)
     names = [*THREE_TO_ONE, *EXTRA_NAMES]
-    substituted = (
-        F.when(~wt.isin(*names) | ~mut.isin(*names), _outcome("unparsed"))
-        .when(wt == mut, _outcome("synonymous", pos=pos, wt=wt, mut=mut))
-        .when(mut == "Ter", _outcome("nonsense", keep_to=pos - 1))
-        .when(wt == "Ter", _outcome("stoploss", pos=pos, mut=mut))
-        .otherwise(_outcome("missense", pos=pos, wt=wt, mut=mut))
+    known = F.forall(tokens, lambda t: t.isin(*names))
+    cut = F.coalesce(F.try_element_at(tokens, F.lit(-1)) == "Ter", F.lit(False))
+    kept = F.when(cut, F.slice(tokens, F.lit(1), F.size(tokens) - 1)).otherwise(tokens)
+    codes = F.array_join(F.transform(kept, lambda t: residue_code(t)), "")
+    has_tail = parts.tail != ""
+    wt, mut, pos = parts.residue, parts.tail, parts.position
+    single = parts.when("", ranged=False) & (F.length(mut) == 3) & wt.isin(*names) & mut.isin(*names)
+    return _first(
+        [
+            (change.endswith("="), _outcome("synonymous_explicit")),
+            (change.contains("fs"), _outcome("frameshift")),
+            (
+                parts.when("delins") & has_tail & known,
+                _inserted(parts, "delins", codes, F.size(kept), cut),
+            ),
+            (
+                parts.when("ins", ranged=True) & (parts.tail == "Ter"),
+                _outcome("nonsense", keep_to=pos),
+            ),
+            (
+                parts.when("ins", ranged=True) & has_tail & known,
+                _inserted(parts, "ins", codes, F.size(kept), cut),
+            ),
+            *_shared_shapes(parts),
+            (single & (wt == mut), _outcome("synonymous", pos=pos, wt=wt, mut=mut)),
+            (single & (mut == "Ter"), _outcome("nonsense", keep_to=pos - 1)),
+            (single & (wt == "Ter"), _outcome("stoploss", pos=pos, mut=mut)),
+            (single, _outcome("missense", pos=pos, wt=wt, mut=mut)),
+        ]
     )
-    return (
-        F.when(change.endswith("="), _outcome("synonymous_explicit"))
-        .when(change.contains("fs"), _outcome("frameshift"))
-        .when(change.rlike(p_delins), replaced(p_delins, 4, 5))
-        .when(change.rlike(p_delins1), replaced(p_delins1, 2, 3))
-        .when(change.rlike(p_ins_stop), _outcome("nonsense", keep_to=_int(part(p_ins_stop, 2))))
-        .when(change.rlike(p_ins), inserted)
-        .when(change.rlike(p_del), ranged("del", p_del, 4))
-        .when(change.rlike(p_del1), ranged("del", p_del1, 2))
-        .when(change.rlike(p_dup), ranged("dup", p_dup, 4))
-        .when(change.rlike(p_dup1), ranged("dup", p_dup1, 2))
-        .when(change.rlike(p_sub), substituted)
-        .otherwise(_outcome("unparsed"))
+
+
+def _one_letter(change: Column, described_as: Column, parts: _Parts) -> Column:
+    """F-09: silent and deferred classes are decided by the description before the notation."""
+    letters = parts.tail.rlike(f"^[{ONE_LETTER}]+$")
+    wt, mut, pos = parts.residue, parts.tail, parts.position
+    single = parts.when("", ranged=False) & (F.length(mut) == 1) & wt.isin(*ONE_LETTER)
+    n, no = F.length(mut), F.lit(False)
+    return _first(
+        [
+            (described_as.isin(*SILENT_CLASSES), _outcome("synonymous")),
+            (described_as.isin(*DEFERRED_CLASSES), _outcome("frameshift_or_stoploss")),
+            (change.isNull() | ~change.startswith("p."), _outcome("no_protein_notation")),
+            (parts.when("delins") & letters, _inserted(parts, "delins", mut, n, no)),
+            (parts.when("ins", ranged=True) & letters, _inserted(parts, "ins", mut, n, no)),
+            *_shared_shapes(parts),
+            (single & (wt == mut), _outcome("synonymous")),
+            (single & (mut == "*"), _outcome("nonsense", keep_to=pos - 1)),
+            (single & mut.isin(*ONE_LETTER), _outcome("missense", pos=pos, wt=wt, mut=mut)),
+        ]
     )
 
 
-def classify_one_letter(change: Column, described_as: Column) -> Column:
-    """F-09: (category, details) of a change such as ``p.G12D``.
+def parse_three_letter(df: DataFrame, change: str) -> DataFrame:
+    """F-07: adds ``category`` and ``details`` of changes such as ``Gly10_Ala12delinsTrpVal``.
 
-    Silent and deferred classes are decided by the description before the notation is read.
+    The parts are a column of their own, so that each row's regex runs once.
     """
-    span = r"^p\.([A-Z])(\d+)_([A-Z])(\d+)"
-    one = r"^p\.([A-Z])(\d+)"
-    letters = f"^[{ONE_LETTER}]+$"
-
-    def part(pattern: str, i: int) -> Column:
-        return F.regexp_extract(change, pattern, i)
-
-    def replaced(pattern: str, end_group: int, text_group: int) -> Column:
-        text = part(pattern, text_group)
-        return F.when(
-            text.rlike(letters),
-            _outcome(
-                "delins",
-                start=_int(part(pattern, 2)),
-                end=_int(part(pattern, end_group)),
-                inserted=text,
-                n_inserted=F.length(text),
-                truncate=F.lit(False),
-            ),
-        ).otherwise(_outcome("unparsed"))
-
-    p_delins, p_delins1 = f"{span}delins([A-Z]+)$", f"{one}delins([A-Z]+)$"
-    p_ins, p_sub = f"{span}ins([A-Z]+)$", f"{one}([A-Z*])$"
-    ins_text = part(p_ins, 5)
-    inserted = F.when(
-        ins_text.rlike(letters),
-        _outcome(
-            "ins",
-            after=_int(part(p_ins, 2)),
-            inserted=ins_text,
-            n_inserted=F.length(ins_text),
-            truncate=F.lit(False),
-        ),
-    ).otherwise(_outcome("unparsed"))
-
-    def ranged(kind: str, pattern: str, end_group: int) -> Column:
-        return _outcome(kind, start=_int(part(pattern, 2)), end=_int(part(pattern, end_group)))
-
-    wt, pos, mut = part(p_sub, 1), _int(part(p_sub, 2)), part(p_sub, 3)
-    substituted = (
-        F.when(~wt.isin(*ONE_LETTER), _outcome("unparsed"))
-        .when(wt == mut, _outcome("synonymous"))
-        .when(mut == "*", _outcome("nonsense", keep_to=pos - 1))
-        .when(~mut.isin(*ONE_LETTER), _outcome("unparsed"))
-        .otherwise(_outcome("missense", pos=pos, wt=wt, mut=mut))
-    )
-    return (
-        F.when(described_as.isin(*SILENT_CLASSES), _outcome("synonymous"))
-        .when(described_as.isin(*DEFERRED_CLASSES), _outcome("frameshift_or_stoploss"))
-        .when(change.isNull() | ~change.startswith("p."), _outcome("no_protein_notation"))
-        .when(change.rlike(p_delins), replaced(p_delins, 4, 5))
-        .when(change.rlike(p_delins1), replaced(p_delins1, 2, 3))
-        .when(change.rlike(p_ins), inserted)
-        .when(change.rlike(f"{span}del$"), ranged("del", f"{span}del$", 4))
-        .when(change.rlike(f"{one}del$"), ranged("del", f"{one}del$", 2))
-        .when(change.rlike(f"{span}dup$"), ranged("dup", f"{span}dup$", 4))
-        .when(change.rlike(f"{one}dup$"), ranged("dup", f"{one}dup$", 2))
-        .when(change.rlike(p_sub), substituted)
-        .otherwise(_outcome("unparsed"))
+    parts = _change_parts(F.col(change), _THREE_SHAPE)
+    cut = df.withColumn("_parts", parts).withColumn(
+        "_tokens", F.regexp_extract_all(F.get("_parts", F.lit(5)), F.lit(".{1,3}"), 0)
     )
+    read = _three_letter(F.col(change), _Parts(F.col("_parts")), F.col("_tokens"))
+    return cut.withColumn("_read", read).select(*df.columns, "_read.category", "_read.details")
+
+
+def parse_one_letter(df: DataFrame, change: str, described_as: str) -> DataFrame:
+    """F-09: adds ``category`` and ``details`` of changes such as ``p.G12D``."""
+    cut = df.withColumn("_parts", _change_parts(F.col(change), _ONE_SHAPE))
+    read = _one_letter(F.col(change), F.col(described_as), _Parts(F.col("_parts")))
+    return cut.withColumn("_read", read).select(*df.columns, "_read.category", "_read.details")
 
 
 def mutation_id(accession: Column, gene: Column, wt: Column, position: Column, mut: Column) -> Column:
