@@ -1 +1,287 @@
-"""Placeholder."""
+"""Interval, signal track and per-base queries.
+
+Stand-ins: an event id is a place on the contig of its event type and its value is the signal there;
+a part is a coding segment; the lines of an order are the exons of a transcript.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from helixtab.functions import codon
+from helixtab.operators import intervals as I
+from helixtab.operators import quality, rollup
+from helixtab.plans.registry import Tables, query
+
+CONTIGS = ["click", "error", "purchase", "signup", "view"]
+
+
+def signal(t: Tables) -> DataFrame:
+    return t.events.select(
+        F.col("event_type").alias("chrom"),
+        F.col("event_id").alias("start0"),
+        (F.col("event_id") + 1).alias("end"),
+        "value",
+    )
+
+
+def segments(t: Tables) -> DataFrame:
+    """Each part twice: on the contig of its key and on the next one."""
+    names = F.array(*[F.lit(c) for c in CONTIGS])
+    start = codon.half_open(F.col("p_partkey") * 5 + 1)
+    rows = t.part.select(
+        F.col("p_brand").alias("tx"),
+        "p_partkey",
+        start.alias("start0"),
+        (start + F.col("p_size")).alias("end"),
+        F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"),
+    )
+    contig = F.get(names, ((F.col("p_partkey") + F.col("copy")) % 5).cast("int"))
+    return rows.withColumn("chrom", contig)
+
+
+_SEGMENT_SQL = """
+WITH s AS (SELECT p_brand AS tx, p_partkey, c AS copy, p_partkey * 5 AS start0, p_partkey * 5 + p_size AS "end",
+    (['click', 'error', 'purchase', 'signup', 'view'])[((p_partkey + c) % 5 + 1)::INTEGER] AS chrom
+  FROM part, (VALUES (0), (1)) AS v(c)),
+b AS (SELECT s.*, e.value, e.value::DECIMAL(18,2) AS v FROM s JOIN events e ON e.event_type = s.chrom AND e.event_id >= s.start0 AND e.event_id < s."end")
+"""
+
+
+@query(
+    _SEGMENT_SQL
+    + """SELECT s.p_partkey, s.copy, s.chrom, s."end" - s.start0 AS n_bases, count(b.v) AS covered,
+  coalesce(sum(b.v)::DOUBLE / count(b.v), -1.0) AS mean
+FROM s LEFT JOIN b ON b.p_partkey = s.p_partkey AND b.copy = s.copy GROUP BY 1, 2, 3, 4"""
+)
+def segment_signal(t: Tables) -> DataFrame:
+    """J-18, A-36, F-44."""
+    out = I.segment_signal(segments(t), signal(t))
+    return out.select(
+        "p_partkey", "copy", "chrom", "n_bases", "covered", F.coalesce("mean", F.lit(-1.0)).alias("mean")
+    )
+
+
+@query(
+    _SEGMENT_SQL
+    + """, z AS (SELECT tx, sum("end" - start0)::BIGINT AS cds_bases FROM s GROUP BY 1)
+SELECT z.tx, z.cds_bases, count(v) AS covered_bases, sum(v)::DOUBLE / count(v) AS mean, round(quantile_cont(value, 0.5), 6) AS median,
+  count(CASE WHEN value >= 20 THEN 1 END) / count(v) AS frac_conserved, count(v) / z.cds_bases AS coverage
+FROM z LEFT JOIN b ON b.tx = z.tx GROUP BY z.tx, z.cds_bases"""
+)
+def transcript_signal(t: Tables) -> DataFrame:
+    """A-35."""
+    out = I.transcript_signal(segments(t), signal(t), "tx", 20.0)
+    return out.select(
+        "tx", "cds_bases", "covered_bases", "mean", F.round("median", 6).alias("median"), "frac_conserved", "coverage"
+    )
+
+
+@query(
+    _SEGMENT_SQL
+    + """, p AS (SELECT tx, sum(v)::DOUBLE / count(v) AS m FROM b GROUP BY 1),
+g AS (SELECT tx, p_partkey, copy, sum(v) AS sv, count(v) AS n FROM b GROUP BY 1, 2, 3),
+q AS (SELECT tx, sum(sv)::DOUBLE / sum(n) AS m FROM g GROUP BY 1)
+SELECT count(*) AS n_compared, count(CASE WHEN abs(p.m - q.m) < 0.001 THEN 1 END) AS n_agree,
+  count(CASE WHEN NOT abs(p.m - q.m) < 0.001 THEN 1 END) AS n_differ FROM p JOIN q ON p.tx = q.tx"""
+)
+def reconcile(t: Tables) -> DataFrame:
+    """Q-08: transcript means from pieces and from segment totals agree."""
+    pooled = I.transcript_signal(segments(t), signal(t), "tx", 20.0).select("tx", "mean").dropna()
+    per_segment = I.segment_signal(segments(t), signal(t))
+    summed = per_segment.groupBy("tx").agg(
+        (F.sum("signal_total") / F.sum("covered")).alias("mean_2")
+    ).dropna()
+    return quality.reconcile(pooled, summed, "tx", "mean", "mean_2")
+
+
+def exons(t: Tables) -> DataFrame:
+    """Lines as exons: length from the quantity, place from the part, strand from the order."""
+    strand = F.when(F.col("o_orderstatus") == "F", -1).otherwise(1)
+    start = F.col("l_partkey") * 100 + 1
+    return t.lineitem.join(
+        t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus"), "l_orderkey"
+    ).select(
+        F.col("l_orderkey").alias("tx"),
+        F.col("l_linenumber").alias("exon_rank"),
+        F.col("l_extendedprice").alias("tie"),
+        "l_partkey",
+        "l_suppkey",
+        start.alias("first_base"),
+        (start + F.col("l_quantity").cast("bigint") - 1).alias("last_base"),
+        strand.alias("strand"),
+    )
+
+
+def bases(t: Tables) -> DataFrame:
+    placed = I.per_base(
+        exons(t), "tx", ["exon_rank", "tie", "l_partkey", "l_suppkey"], "first_base", "last_base", "strand"
+    )
+    # a made signal that depends on place and codon position
+    made = (F.col("genomic_pos") * 7 % 50) * 2 + 100 - F.when(F.col("codon_position") == 3, 90).otherwise(0)
+    return placed.withColumn("score", (made / 4).cast("double"))
+
+
+_BASE_SQL = """
+WITH x AS (SELECT l_orderkey AS tx, l_linenumber AS exon_rank, l_extendedprice AS tie, l_partkey, l_suppkey, l_partkey * 100 + 1 AS fb,
+    l_quantity::BIGINT AS ln, CASE WHEN o_orderstatus = 'F' THEN -1 ELSE 1 END AS strand
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+u AS (SELECT *, unnest(range(0, ln)) AS k FROM x),
+g AS (SELECT *, CASE WHEN strand = -1 THEN fb + ln - 1 - k ELSE fb + k END AS gp FROM u),
+p AS (SELECT tx, exon_rank, strand, gp, row_number() OVER (PARTITION BY tx ORDER BY exon_rank, tie, l_partkey, l_suppkey, k) AS cds_pos FROM g),
+c AS (SELECT *, (cds_pos - 1) // 3 + 1 AS codon_number, ((cds_pos - 1) % 3 + 1)::INTEGER AS codon_position FROM p),
+b AS (SELECT *, ((gp * 7 % 50) * 2 + 100 - CASE WHEN codon_position = 3 THEN 90 ELSE 0 END) / 4 AS score FROM c)
+"""
+
+
+@query(
+    _BASE_SQL
+    + """SELECT tx, strand, count(*) AS n_bases, max(codon_number) AS n_codons, sum(gp * cds_pos)::BIGINT AS place_check,
+  sum(score::DECIMAL(18,4))::DOUBLE / count(*) AS mean FROM b GROUP BY 1, 2"""
+)
+def codon_positions(t: Tables) -> DataFrame:
+    """W-11, F-39."""
+    return bases(t).groupBy("tx", "strand").agg(
+        F.count(F.lit(1)).alias("n_bases"),
+        F.max("codon_number").alias("n_codons"),
+        F.sum(F.col("genomic_pos") * F.col("cds_pos")).alias("place_check"),
+        (rollup.exact_sum(F.col("score"), 4) / F.count(F.lit(1))).alias("mean"),
+    )
+
+
+@query(
+    _BASE_SQL
+    + """, r AS (SELECT tx, codon_number, sum(score::DECIMAL(18,4))::DOUBLE / count(*) AS m,
+   sum(CASE WHEN codon_position < 3 THEN score::DECIMAL(18,4) END)::DOUBLE / count(CASE WHEN codon_position < 3 THEN 1 END) AS m12 FROM b GROUP BY 1, 2)
+SELECT tx, count(*) AS n_residues, round(avg(m), 9) AS mean_codon, round(avg(m12), 9) AS mean_pos12, max(m12) AS max_pos12 FROM r GROUP BY 1"""
+)
+def per_residue(t: Tables) -> DataFrame:
+    """A-37."""
+    return I.per_residue(bases(t), "tx", "score").groupBy("tx").agg(
+        F.count(F.lit(1)).alias("n_residues"),
+        F.round(F.avg("codon_mean"), 9).alias("mean_codon"),
+        F.round(F.avg("pos12_mean"), 9).alias("mean_pos12"),
+        F.max("pos12_mean").alias("max_pos12"),
+    )
+
+
+def _mean_sql(i: int) -> str:
+    hit = f"codon_position = {i}"
+    return f"sum(score::DECIMAL(18,4)) FILTER (WHERE {hit})::DOUBLE / count(*) FILTER (WHERE {hit})"
+
+
+@query(
+    _BASE_SQL
+    + f"""SELECT strand, {_mean_sql(1)} AS p1, {_mean_sql(2)} AS p2, {_mean_sql(3)} AS p3,
+  ({_mean_sql(3)} < {_mean_sql(1)}) AND ({_mean_sql(3)} < {_mean_sql(2)}) AS frame_ok FROM b GROUP BY 1"""
+)
+def frame_check(t: Tables) -> DataFrame:
+    """A-38, Q-09: mean by strand and codon position; the third must be the lowest."""
+    mean = rollup.exact_sum(F.col("score"), 4) / F.count(F.lit(1))
+    wide = bases(t).groupBy("strand").pivot("codon_position", [1, 2, 3]).agg(mean)
+    named = wide.withColumnsRenamed({"1": "p1", "2": "p2", "3": "p3"})
+    return quality.frame_check(named, "p3", ["p1", "p2"])
+
+
+@query(
+    _BASE_SQL
+    + """, l AS (SELECT tx, cds_pos, exon_rank, lag(exon_rank) OVER (PARTITION BY tx ORDER BY cds_pos) AS before FROM b)
+SELECT tx, count(*) AS n_edges, min(cds_pos) - 1 AS first_edge, max(cds_pos) - 1 AS last_edge FROM l WHERE before IS NOT NULL AND before <> exon_rank GROUP BY 1"""
+)
+def boundaries(t: Tables) -> DataFrame:
+    """W-14: where one exon ends and the next begins."""
+    return I.boundaries(bases(t), ["tx"], ["cds_pos"], "exon_rank").groupBy("tx").agg(
+        F.count(F.lit(1)).alias("n_edges"),
+        (F.min("cds_pos") - 1).alias("first_edge"),
+        (F.max("cds_pos") - 1).alias("last_edge"),
+    )
+
+
+def domains(t: Tables) -> DataFrame:
+    """Lines as domain instances of an order: place and family from their keys."""
+    start = F.col("l_suppkey") * 3 + F.col("l_linenumber")
+    return t.lineitem.select(
+        F.col("l_orderkey").alias("protein"),
+        F.concat("l_returnflag", "l_linestatus").alias("family"),
+        start.alias("start"),
+        (start + F.col("l_quantity").cast("bigint")).alias("end"),
+        "l_partkey",
+        "l_extendedprice",
+    )
+
+
+_DOMAIN_SQL = """
+WITH d AS (SELECT l_orderkey AS protein, l_returnflag || l_linestatus AS family, l_suppkey * 3 + l_linenumber AS s,
+    l_suppkey * 3 + l_linenumber + l_quantity::BIGINT AS e, l_partkey, l_extendedprice FROM lineitem),
+w AS (SELECT *, lag(e) OVER (PARTITION BY protein, family ORDER BY s, l_partkey, l_extendedprice) AS pf,
+   lag(e) OVER a AS pe, lag(family) OVER a AS pfam,
+   max(e) OVER (PARTITION BY protein ORDER BY s, l_partkey, l_extendedprice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS me
+  FROM d WINDOW a AS (PARTITION BY protein ORDER BY s, l_partkey, l_extendedprice)),
+p AS (SELECT protein, count(*) AS n, count(CASE WHEN pf > s THEN 1 END) AS wi, count(CASE WHEN pe > s AND pfam <> family THEN 1 END) AS ac,
+   count(CASE WHEN me > s THEN 1 END) AS an, count(CASE WHEN pe >= s THEN 1 END) AS tc FROM w GROUP BY 1)
+"""
+
+
+@query(
+    _DOMAIN_SQL
+    + """SELECT 'within_family' AS mode, count(CASE WHEN wi > 0 THEN 1 END) AS n_proteins, sum(wi)::BIGINT AS n_hits FROM p
+UNION ALL SELECT 'across_family', count(CASE WHEN ac > 0 THEN 1 END), sum(ac)::BIGINT FROM p
+UNION ALL SELECT 'any', count(CASE WHEN an > 0 THEN 1 END), sum(an)::BIGINT FROM p
+UNION ALL SELECT 'touching', count(CASE WHEN tc > 0 THEN 1 END), sum(tc)::BIGINT FROM p"""
+)
+def interval_overlap(t: Tables) -> DataFrame:
+    """W-10: neighbours in one family, neighbours of other families, and any earlier interval."""
+    rows = domains(t)
+    tie = ["l_partkey", "l_extendedprice"]
+    modes = {
+        "within_family": I.neighbour_overlaps(rows, ["protein", "family"], "start", "end", tie),
+        "across_family": I.neighbour_overlaps(rows, ["protein"], "start", "end", tie, other="family"),
+        "any": I.any_overlaps(rows, ["protein"], "start", "end", tie).withColumnRenamed(
+            "overlaps_earlier", "overlaps_previous"
+        ),
+        "touching": I.neighbour_overlaps(rows, ["protein"], "start", "end", tie, strict=False),
+    }
+    out = None
+    for mode, df in modes.items():
+        part = (
+            df.where("overlaps_previous")
+            .groupBy("protein")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .agg(
+                F.lit(mode).alias("mode"),
+                F.count(F.lit(1)).alias("n_proteins"),
+                F.coalesce(F.sum("n"), F.lit(0)).alias("n_hits"),
+            )
+        )
+        out = part if out is None else out.unionAll(part)
+    return out
+
+
+@query(
+    """SELECT p_brand, count(*) AS n, count(CASE WHEN p_size * 3 / 3 - 1 = p_partkey % 50 THEN 1 END) AS n_fit,
+  min(p_partkey * 5) AS first_start0 FROM part GROUP BY 1"""
+)
+def length_check(t: Tables) -> DataFrame:
+    """F-43, F-44."""
+    fits = codon.encodes_length(F.col("p_size") * 3, F.col("p_partkey") % 50)
+    return t.part.groupBy("p_brand").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(fits).alias("n_fit"),
+        F.min(codon.half_open(F.col("p_partkey") * 5 + 1)).alias("first_start0"),
+    )
+
+
+@query(
+    """SELECT d.doc_id, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS n_letters,
+  CASE WHEN d.doc_id + 1 <= length(p) THEN substr(p, (d.doc_id + 1)::INTEGER, 1) WHEN d.doc_id = length(p) THEN '*' ELSE '' END AS residue
+FROM (SELECT doc_id, text, regexp_replace(text, '[^A-Za-z]', '', 'g') AS p FROM documents) d"""
+)
+def residue_lookup(t: Tables) -> DataFrame:
+    """F-39: the residue at a number, with the stop after the last one."""
+    p = F.regexp_replace("text", "[^A-Za-z]", "")
+    return t.documents.select(
+        "doc_id",
+        F.length(p).cast("bigint").alias("n_letters"),
+        codon.residue_at(p, F.col("doc_id") + 1).alias("residue"),
+    )

@@ -157,11 +157,16 @@ def read_flat_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def read_keyed_json(spark: SparkSession, path: str | list[str], value_type: str) -> DataFrame:
-    """S-12: files that hold ``{key: {…}}`` each, to (key, value)."""
+def read_keyed_json(
+    spark: SparkSession, path: str | list[str], value_type: str, whole_file: bool = True
+) -> DataFrame:
+    """S-12: ``{key: {…}}`` objects to (key, value), one object per file or one per line.
+
+    A whole file is one row to Spark; large maps should come as lines.
+    """
     parsed = F.from_json("value", f"map<string,{value_type}>")
     return (
-        spark.read.option("wholetext", True).text(path)
+        spark.read.option("wholetext", whole_file).text(path)
         .select(F.explode(parsed).alias("key", "value"))
     )
 

@@ -26,6 +26,7 @@ def build_session(app: str = "helixtab", cores: int | str = "*") -> SparkSession
         .config("spark.sql.shuffle.partitions", os.environ.get("HELIXTAB_SHUFFLE", "8"))
         .config("spark.driver.memory", os.environ.get("HELIXTAB_DRIVER_MEM", "12g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
