@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from helixtab.functions.rules import first_rule
+
 # Residue names of the three-letter dialect and their one-letter codes.
 THREE_TO_ONE = {
     "Ala": "A", "Arg": "R", "Asn": "N", "Asp": "D", "Cys": "C",
@@ -30,12 +32,6 @@ DEFERRED_CLASSES = (
 SILENT_CLASSES = ("Substitution - coding silent",)
 NAME_PATTERN = r"^([A-Z]{2}_\d+\.\d+)\([^)]*\):.*?\(p\.([^)]+)\)"
 
-_FIELDS = {
-    "pos": "int", "wt": "string", "mut": "string", "keep_to": "int", "start": "int",
-    "end": "int", "after": "int", "inserted": "string", "n_inserted": "int",
-    "truncate": "boolean",
-}
-
 
 def residue_code(name: Column, selenocysteine: bool = True) -> Column:
     """F-13: one-letter code of a three-letter residue name, null if it has none."""
@@ -53,15 +49,6 @@ def split_name(name: Column) -> tuple[Column, Column]:
     )
 
 
-def _outcome(category: Column | str, **details: Column) -> Column:
-    """A (category, details) struct; details not given are null."""
-    cells = [
-        details.get(f, F.lit(None)).cast(t).alias(f) for f, t in _FIELDS.items()
-    ]
-    kind = F.lit(category) if isinstance(category, str) else category
-    return F.struct(kind.alias("category"), F.struct(*cells).alias("details"))
-
-
 def _int(c: Column) -> Column:
     return c.try_cast("int")
 
@@ -88,118 +75,120 @@ class _Parts:
         self.fits = F.size(parts) == 6
         self.residue, self.position = cell(0), _int(cell(1))
         self.is_range = cell(3) != ""
-        self.end = F.when(self.is_range, _int(cell(3))).otherwise(_int(cell(1)))
+        self.end = F.when(self.is_range, _int(cell(3))).otherwise(self.position)
         self.op, self.tail = cell(4), cell(5)
 
     def when(self, op: str, ranged: bool | None = None) -> Column:
         cond = self.fits & (self.op == op)
         return cond if ranged is None else cond & (self.is_range if ranged else ~self.is_range)
 
+    def whole(self, op: str) -> Column:
+        """A deletion or duplication, which has nothing after its name."""
+        return self.when(op) & (self.tail == "")
 
-def _inserted(parts: _Parts, kind: str, text: Column, n: Column, cut: Column) -> Column:
-    place = (
-        {"after": parts.position}
-        if kind == "ins"
-        else {"start": parts.position, "end": parts.end}
-    )
-    return _outcome(kind, **place, inserted=text, n_inserted=n, truncate=cut)
-
-
-def _shared_shapes(parts: _Parts) -> list[tuple[Column, Column]]:
-    """Deletions and duplications, the same in both dialects."""
-    return [
-        (parts.when(op) & (parts.tail == ""), _outcome(op, start=parts.position, end=parts.end))
-        for op in ("del", "dup")
-    ]
 
+def _details(
+    category: Column, parts: _Parts, inserted: Column, n_inserted: Column, cut: Column, named: list[str]
+) -> Column:
+    """The fields each category fills; all others are null.
 
-def _first(rules: list[tuple[Column, Column]]) -> Column:
-    out = F.when(*rules[0])
-    for cond, value in rules[1:]:
-        out = out.when(cond, value)
-    return out.otherwise(_outcome("unparsed"))
+    ``named`` are the categories that keep their residues.
+    """
+    filled = lambda value, *kinds: F.when(category.isin(*kinds), value)
+    spans, inserts = ("del", "dup", "delins"), ("ins", "delins")
+    stop = F.when(parts.op == "ins", parts.position).otherwise(parts.position - 1)
+    return F.struct(
+        filled(parts.position, "stoploss", *named).alias("pos"),
+        filled(parts.residue, *named).alias("wt"),
+        filled(parts.tail, "stoploss", *named).alias("mut"),
+        filled(stop, "nonsense").alias("keep_to"),
+        filled(parts.position, *spans).alias("start"),
+        filled(parts.end, *spans).alias("end"),
+        filled(parts.position, "ins").alias("after"),
+        filled(inserted, *inserts).alias("inserted"),
+        filled(n_inserted, *inserts).alias("n_inserted"),
+        filled(cut, *inserts).alias("truncate"),
+    )
 
 
-def _three_letter(change: Column, parts: _Parts, tokens: Column) -> Column:
-    """F-07 and F-10.
+def parse_three_letter(df: DataFrame, change: str) -> DataFrame:
+    """F-07, F-10: adds ``category`` and ``details`` of changes such as ``Gly10_Ala12delinsTrpVal``.
 
-    An inserted run is cut every three letters; a last ``Ter`` ends the protein there.  Names without
-    a code are left out of the joined codes but counted, so the two lengths differ exactly when the
-    insert cannot be built.  Operations are read before the plain substitution, whose form a deletion
-    of one residue would also have.
+    The parts are a column of their own, so that each row's regex runs once.  An inserted run is cut
+    every three letters; a last ``Ter`` ends the protein there.  Names without a code are left out of
+    the joined codes but counted, so the two lengths differ exactly when the insert cannot be built.
+    Operations are read before the plain substitution, whose form a deletion of one residue would
+    also have.
     """
+    c, parts, tokens = F.col(change), _Parts(F.col("_parts")), F.col("_tokens")
     names = [*THREE_TO_ONE, *EXTRA_NAMES]
-    known = F.forall(tokens, lambda t: t.isin(*names))
+    known = (parts.tail != "") & F.forall(tokens, lambda t: t.isin(*names))
+    wt, mut = parts.residue, parts.tail
+    single = parts.when("", ranged=False) & (F.length(mut) == 3) & wt.isin(*names) & mut.isin(*names)
+    category = first_rule(
+        [
+            (c.endswith("="), "synonymous_explicit"),
+            (c.contains("fs"), "frameshift"),
+            (parts.when("delins") & known, "delins"),
+            (parts.when("ins", ranged=True) & (mut == "Ter"), "nonsense"),
+            (parts.when("ins", ranged=True) & known, "ins"),
+            (parts.whole("del"), "del"),
+            (parts.whole("dup"), "dup"),
+            (single & (wt == mut), "synonymous"),
+            (single & (mut == "Ter"), "nonsense"),
+            (single & (wt == "Ter"), "stoploss"),
+            (single, "missense"),
+        ],
+        "unparsed",
+    )
     cut = F.coalesce(F.try_element_at(tokens, F.lit(-1)) == "Ter", F.lit(False))
     kept = F.when(cut, F.slice(tokens, F.lit(1), F.size(tokens) - 1)).otherwise(tokens)
     codes = F.array_join(F.transform(kept, lambda t: residue_code(t)), "")
-    has_tail = parts.tail != ""
-    wt, mut, pos = parts.residue, parts.tail, parts.position
-    single = parts.when("", ranged=False) & (F.length(mut) == 3) & wt.isin(*names) & mut.isin(*names)
-    return _first(
-        [
-            (change.endswith("="), _outcome("synonymous_explicit")),
-            (change.contains("fs"), _outcome("frameshift")),
-            (
-                parts.when("delins") & has_tail & known,
-                _inserted(parts, "delins", codes, F.size(kept), cut),
-            ),
-            (
-                parts.when("ins", ranged=True) & (parts.tail == "Ter"),
-                _outcome("nonsense", keep_to=pos),
-            ),
-            (
-                parts.when("ins", ranged=True) & has_tail & known,
-                _inserted(parts, "ins", codes, F.size(kept), cut),
-            ),
-            *_shared_shapes(parts),
-            (single & (wt == mut), _outcome("synonymous", pos=pos, wt=wt, mut=mut)),
-            (single & (mut == "Ter"), _outcome("nonsense", keep_to=pos - 1)),
-            (single & (wt == "Ter"), _outcome("stoploss", pos=pos, mut=mut)),
-            (single, _outcome("missense", pos=pos, wt=wt, mut=mut)),
-        ]
+    details = _details(
+        F.col("category"), parts, codes, F.size(kept), cut, ["missense", "synonymous"]
+    )
+    return (
+        df.withColumn("_parts", _change_parts(c, _THREE_SHAPE))
+        .withColumn("_tokens", F.regexp_extract_all(F.get("_parts", F.lit(5)), F.lit(".{1,3}"), 0))
+        .withColumn("category", category)
+        .withColumn("details", details)
+        .drop("_parts", "_tokens")
     )
 
 
-def _one_letter(change: Column, described_as: Column, parts: _Parts) -> Column:
-    """F-09: silent and deferred classes are decided by the description before the notation."""
+def parse_one_letter(df: DataFrame, change: str, described_as: str) -> DataFrame:
+    """F-09: adds ``category`` and ``details`` of changes such as ``p.G12D``.
+
+    Silent and deferred classes are decided by the description before the notation is read.
+    """
+    c, described, parts = F.col(change), F.col(described_as), _Parts(F.col("_parts"))
     letters = parts.tail.rlike(f"^[{ONE_LETTER}]+$")
-    wt, mut, pos = parts.residue, parts.tail, parts.position
+    wt, mut = parts.residue, parts.tail
     single = parts.when("", ranged=False) & (F.length(mut) == 1) & wt.isin(*ONE_LETTER)
-    n, no = F.length(mut), F.lit(False)
-    return _first(
+    category = first_rule(
         [
-            (described_as.isin(*SILENT_CLASSES), _outcome("synonymous")),
-            (described_as.isin(*DEFERRED_CLASSES), _outcome("frameshift_or_stoploss")),
-            (change.isNull() | ~change.startswith("p."), _outcome("no_protein_notation")),
-            (parts.when("delins") & letters, _inserted(parts, "delins", mut, n, no)),
-            (parts.when("ins", ranged=True) & letters, _inserted(parts, "ins", mut, n, no)),
-            *_shared_shapes(parts),
-            (single & (wt == mut), _outcome("synonymous")),
-            (single & (mut == "*"), _outcome("nonsense", keep_to=pos - 1)),
-            (single & mut.isin(*ONE_LETTER), _outcome("missense", pos=pos, wt=wt, mut=mut)),
-        ]
+            (described.isin(*SILENT_CLASSES), "synonymous"),
+            (described.isin(*DEFERRED_CLASSES), "frameshift_or_stoploss"),
+            (c.isNull() | ~c.startswith("p."), "no_protein_notation"),
+            (parts.when("delins") & letters, "delins"),
+            (parts.when("ins", ranged=True) & letters, "ins"),
+            (parts.whole("del"), "del"),
+            (parts.whole("dup"), "dup"),
+            (single & (wt == mut), "synonymous"),
+            (single & (mut == "*"), "nonsense"),
+            (single & mut.isin(*ONE_LETTER), "missense"),
+        ],
+        "unparsed",
     )
-
-
-def parse_three_letter(df: DataFrame, change: str) -> DataFrame:
-    """F-07: adds ``category`` and ``details`` of changes such as ``Gly10_Ala12delinsTrpVal``.
-
-    The parts are a column of their own, so that each row's regex runs once.
-    """
-    parts = _change_parts(F.col(change), _THREE_SHAPE)
-    cut = df.withColumn("_parts", parts).withColumn(
-        "_tokens", F.regexp_extract_all(F.get("_parts", F.lit(5)), F.lit(".{1,3}"), 0)
+    details = _details(
+        F.col("category"), parts, mut, F.length(mut), F.lit(False), ["missense"]
+    )
+    return (
+        df.withColumn("_parts", _change_parts(c, _ONE_SHAPE))
+        .withColumn("category", category)
+        .withColumn("details", details)
+        .drop("_parts")
     )
-    read = _three_letter(F.col(change), _Parts(F.col("_parts")), F.col("_tokens"))
-    return cut.withColumn("_read", read).select(*df.columns, "_read.category", "_read.details")
-
-
-def parse_one_letter(df: DataFrame, change: str, described_as: str) -> DataFrame:
-    """F-09: adds ``category`` and ``details`` of changes such as ``p.G12D``."""
-    cut = df.withColumn("_parts", _change_parts(F.col(change), _ONE_SHAPE))
-    read = _one_letter(F.col(change), F.col(described_as), _Parts(F.col("_parts")))
-    return cut.withColumn("_read", read).select(*df.columns, "_read.category", "_read.details")
 
 
 def mutation_id(accession: Column, gene: Column, wt: Column, position: Column, mut: Column) -> Column:

@@ -162,9 +162,13 @@ def keyword_hits(
     return F.concat(found, F.transform(extra, lambda x: x["label"]))
 
 
-def machine_flags(packed: Column) -> dict[str, Column]:
-    """F-21 and F-22 together: Y/N flag and evidence of three kinds of RNA-protein machine."""
-    entries = id_term_entries(packed)
+def with_machine_flags(df: DataFrame, packed: str) -> DataFrame:
+    """F-21 and F-22 together: Y/N flag and evidence of three kinds of RNA-protein machine.
+
+    All of it is per-row work in one stage; the parsed cell is a column of its own, so that it is
+    parsed once for all flags.
+    """
+    entries = F.col("_entries")
     evidence = {
         "Ribosomal_protein": listed_terms(entries, terms.RIBOSOME_TERMS),
         "Spliceosomal_protein": listed_terms(entries, terms.SPLICEOSOME_TERMS),
@@ -175,30 +179,31 @@ def machine_flags(packed: Column) -> dict[str, Column]:
             terms.RELABELLED_TERMS,
         ),
     }
-    return flags_with_evidence(evidence)
+    read = df.withColumn("_entries", id_term_entries(F.col(packed)))
+    return _with_evidence(read, evidence).drop("_entries")
 
 
-def flags_with_evidence(evidence: Mapping[str, Column]) -> dict[str, Column]:
-    out: dict[str, Column] = {}
-    for name, hits in evidence.items():
-        out[name] = F.when(F.size(hits) > 0, "Y").otherwise("N")
-        out[f"{name}_terms"] = F.array_join(hits, ";")
-    return out
+def _with_evidence(df: DataFrame, evidence: Mapping[str, Column]) -> DataFrame:
+    """Evidence columns first and the flags from them, so that no evidence is worked out twice."""
+    found = df.withColumns({f"{n}_terms": F.array_join(hits, ";") for n, hits in evidence.items()})
+    return found.withColumns(
+        {n: F.when(F.col(f"{n}_terms") != "", "Y").otherwise("N") for n in evidence}
+    )
 
 
-def prefix_class_flags(
-    packed: Column, classes: Mapping[str, Sequence[str]] | None = None
-) -> dict[str, Column]:
-    """F-23: per class, Y/N and the entries that start with one of its ids."""
+def with_prefix_classes(
+    df: DataFrame, packed: str, classes: Mapping[str, Sequence[str]] | None = None
+) -> DataFrame:
+    """F-23: per class, Y/N and the entries that start with one of its ids (of equal length)."""
     if classes is None:
         classes = {c: ids.split() for c, ids in terms.RNA_CLASS_FUNCTION_IDS.items()}
-    items = packed_items(packed)
 
     def matching(ids: Sequence[str]) -> Column:
         starts = lambda e: F.substr(e, F.lit(1), F.lit(len(ids[0]))).isin(*ids)
-        return F.filter(items, starts)
+        return F.filter("_items", starts)
 
-    return flags_with_evidence({c: matching(list(ids)) for c, ids in classes.items()})
+    read = df.withColumn("_items", packed_items(F.col(packed)))
+    return _with_evidence(read, {c: matching(list(i)) for c, i in classes.items()}).drop("_items")
 
 
 def substring_flag(packed: Column, term_id: str) -> Column:
@@ -207,38 +212,42 @@ def substring_flag(packed: Column, term_id: str) -> Column:
 
 
 def gap_filled(
-    function_terms: Column,
-    process_terms: Column,
-    family: Column,
-    flags: Mapping[str, Column],
+    df: DataFrame,
+    function_terms: str,
+    process_terms: str,
+    family: str,
+    classes: Sequence[str],
     general_id: str = terms.GENERAL_RNA_BINDING,
     process_ids: Mapping[str, Sequence[str]] | None = None,
     families: Mapping[str, Sequence[str]] | None = None,
-) -> dict[str, Column]:
+) -> DataFrame:
     """F-24: fill classes from two more sources where only the general term is known.
 
-    Returns each class flag and ``<class>_source``: ``MF`` where the flag stood already, otherwise
-    ``BP``, ``Family`` or ``BP+Family`` for a filled class and an empty text for none.
+    Updates each class flag and adds ``<class>_source``: ``MF`` where the flag stood already,
+    otherwise ``BP``, ``Family`` or ``BP+Family`` for a filled class and an empty text for none.
     """
     if process_ids is None:
         process_ids = {c: ids.split() for c, ids in terms.RNA_CLASS_PROCESS_IDS.items()}
     families = terms.RNA_CLASS_FAMILIES if families is None else families
     any_class = F.lit(False)
-    for flag in flags.values():
-        any_class = any_class | (F.trim(flag) == "Y")
-    is_gap = F.coalesce(function_terms, F.lit("")).contains(general_id) & ~any_class
-    ids = F.transform(id_term_entries(process_terms), lambda e: e["id"])
-    out: dict[str, Column] = {}
-    for c, flag in flags.items():
+    for c in classes:
+        any_class = any_class | (F.trim(F.col(c)) == "Y")
+    is_gap = F.coalesce(F.col(function_terms), F.lit("")).contains(general_id) & ~any_class
+    ids = F.transform(id_term_entries(F.col(process_terms)), lambda e: e["id"])
+    # only gap rows have their other sources read
+    rows = df.withColumn("_ids", F.when(is_gap, ids))
+    sources: dict[str, Column] = {}
+    for c in classes:
         wanted = F.array(*[F.lit(i) for i in process_ids.get(c, [])]).cast("array<string>")
-        by_process = F.arrays_overlap(ids, wanted)
-        by_family = any_word(F.coalesce(family, F.lit("")), list(families.get(c, [])))
-        filled = is_gap & (by_process | by_family)
-        out[c] = F.when(filled, "Y").otherwise(flag)
-        out[f"{c}_source"] = F.when(
-            filled, F.concat_ws("+", F.when(by_process, "BP"), F.when(by_family, "Family"))
-        ).otherwise(F.when(F.trim(flag) == "Y", "MF").otherwise(""))
-    return out
+        by_process = F.arrays_overlap("_ids", wanted)
+        by_family = F.col("_ids").isNotNull() & any_word(
+            F.coalesce(F.col(family), F.lit("")), list(families.get(c, []))
+        )
+        sources[f"{c}_source"] = F.when(F.trim(F.col(c)) == "Y", "MF").otherwise(
+            F.concat_ws("+", F.when(by_process, "BP"), F.when(by_family, "Family"))
+        )
+    filled = {c: F.when(F.col(f"{c}_source") != "", "Y").otherwise(F.col(c)) for c in classes}
+    return rows.withColumns(sources).withColumns(filled).drop("_ids")
 
 
 def class_coverage(df: DataFrame, packed: str, flags: Sequence[str], general_id: str) -> DataFrame:

@@ -8,37 +8,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixtab.functions.codon import codon_number, codon_position
-from helixtab.operators.scan import quantiles, running
+from helixtab.operators.scan import distribution, running
 
-BIN = 4096
+# about the length of a coding segment: wider bins pair more strangers, narrower ones repeat more rows
+BIN = 256
 
 
-def neighbour_overlaps(
-    df: DataFrame, keys: Sequence[str], start: str, end: str, tie: Sequence[str], strict: bool = True,
-    other: str | None = None,
+def overlaps(
+    df: DataFrame, keys: Sequence[str], start: str, end: str, tie: Sequence[str], family: str | None = None
 ) -> DataFrame:
-    """W-10, adjacent mode: does an interval reach into the next one by start?
+    """W-10: how each interval meets the earlier ones of its key, sorted by start.
 
-    ``strict`` compares end > next start, otherwise >=.  With ``other`` only pairs that differ in
-    that column count (overlap across families).  Adds ``overlaps_previous``.
+    ``overlaps_previous`` compares with the interval right before (its end > start),
+    ``touches_previous`` the same with >=, and ``overlaps_other_family`` wants another ``family`` as
+    well.  Neighbours alone miss an interval that ends before a longer one does;
+    ``overlaps_earlier`` compares with the largest end so far and finds those too.
     """
-    scans = {"_prev_end": ("lag", F.col(end))}
-    if other:
-        scans["_prev_other"] = ("lag", F.col(other))
+    scans = {"_prev_end": ("lag", F.col(end)), "_max_end": ("max", F.col(end))}
+    if family:
+        scans["_prev_family"] = ("lag", F.col(family))
     ranked = running(df, keys, [start, *tie], **scans)
-    hit = F.col("_prev_end") > F.col(start) if strict else F.col("_prev_end") >= F.col(start)
-    if other:
-        hit = hit & (F.col("_prev_other") != F.col(other))
-    return ranked.withColumn("overlaps_previous", F.coalesce(hit, F.lit(False))).drop(*scans)
-
-
-def any_overlaps(
-    df: DataFrame, keys: Sequence[str], start: str, end: str, tie: Sequence[str], strict: bool = True
-) -> DataFrame:
-    """W-10, complete mode: the largest end of all earlier intervals finds nested ones as well."""
-    ranked = running(df, keys, [start, *tie], _max_end=("max", F.col(end)))
-    hit = F.col("_max_end") > F.col(start) if strict else F.col("_max_end") >= F.col(start)
-    return ranked.withColumn("overlaps_earlier", F.coalesce(hit, F.lit(False))).drop("_max_end")
+    sure = lambda c: F.coalesce(c, F.lit(False))
+    flags = {
+        "overlaps_previous": sure(F.col("_prev_end") > F.col(start)),
+        "touches_previous": sure(F.col("_prev_end") >= F.col(start)),
+        "overlaps_earlier": sure(F.col("_max_end") > F.col(start)),
+    }
+    if family:
+        flags["overlaps_other_family"] = flags["overlaps_previous"] & sure(
+            F.col("_prev_family") != F.col(family)
+        )
+    return ranked.withColumns(flags).drop(*scans)
 
 
 def _bins(start: Column, end: Column) -> Column:
@@ -105,25 +105,13 @@ def transcript_signal(
     Bases without a value are left out of mean, median and share, and count against coverage.
     """
     pieces = span_values(segments, signal, contig, start, end)
-    # bases of one value in one transcript are counted together before the median is looked for
-    valued = (
-        segments.join(pieces, [contig, start, end])
-        .groupBy(tx, "value")
-        .agg(F.sum("bases").alias("bases"))
-    )
-    exact = F.sum(F.col("value").cast(f"decimal(18,{scale})") * F.col("bases").cast("decimal(12,0)"))
-    stats = valued.groupBy(tx).agg(
-        (exact.cast("double") / F.sum("bases")).alias("mean"),
-        (F.sum(F.when(F.col("value") >= cutoff, F.col("bases")).otherwise(0)) / F.sum("bases")).alias(
-            "frac_conserved"
-        ),
-        F.sum("bases").alias("covered_bases"),
-    )
-    medians = quantiles(valued, tx, "value", {"median": 0.5}, weight="bases")
+    valued = segments.join(pieces, [contig, start, end]).select(tx, "value", "bases")
+    stats = distribution(
+        valued, tx, "value", {"median": 0.5}, {"frac_conserved": cutoff}, weight="bases", scale=scale
+    ).withColumnRenamed("n", "covered_bases")
     sizes = segments.groupBy(tx).agg(F.sum(F.col(end) - F.col(start)).alias("cds_bases"))
     return (
         sizes.join(stats, tx, "left")
-        .join(medians, tx, "left")
         .withColumn("covered_bases", F.coalesce("covered_bases", F.lit(0)))
         .withColumn("coverage", F.when(F.col("cds_bases") > 0, F.col("covered_bases") / F.col("cds_bases")))
     )

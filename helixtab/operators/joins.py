@@ -378,17 +378,9 @@ def first_alternate(
     return df.join(hit.drop("_rank"), key, "left").withColumn("alternate_status", status)
 
 
-def composite_match(
-    scan: DataFrame, observed: DataFrame, keys: Sequence[str], bucket: str, name: str = "buckets"
-) -> DataFrame:
-    """J-15: all buckets in which the row's composite key was observed, as a sorted array.
-
-    ``bucket`` has few values (a label); the observed table is cut to one row per key and bucket.
-    """
-    per_key = observed.groupBy(*keys).agg(F.array_sort(F.collect_set(bucket)).alias(name))
-    return scan.join(per_key, list(keys), "left").withColumn(
-        name, F.coalesce(F.col(name), F.array().cast("array<string>"))
-    )
+def composite_match(scan: DataFrame, observed: DataFrame, keys: Sequence[str], bucket: str) -> DataFrame:
+    """J-15: the scan rows whose composite key was observed, once for each bucket it was observed in."""
+    return scan.join(observed.select(*keys, bucket).distinct(), list(keys))
 
 
 def attach_by_position(left: DataFrame, right: DataFrame, left_order: str, right_order: str) -> DataFrame:

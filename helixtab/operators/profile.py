@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,11 +12,12 @@ from pyspark.sql import functions as F
 from helixtab.functions.cells import blank_to_null, is_filled, parse_float
 from helixtab.operators.scan import quantiles
 from helixtab.operators.select import first_rows
+from helixtab.workspace import stage
 
 OUTPUT = ("table", "column", "kind", "n_populated", "pct_populated", "n_distinct", "min", "max", "mean", "median", "notes")
 
 
-def _shape(df: DataFrame, table: str, kind: str, **cols: Column) -> DataFrame:
+def _shape(df: DataFrame, table: str | None, kind: str | None, **cols: Column) -> DataFrame:
     blank = {
         "n_distinct": F.lit(-1).cast("bigint"),
         "min": F.lit(None).cast("double"),
@@ -24,7 +26,8 @@ def _shape(df: DataFrame, table: str, kind: str, **cols: Column) -> DataFrame:
         "median": F.lit(None).cast("double"),
         "notes": F.lit(""),
     }
-    given = {**blank, "table": F.lit(table), "kind": F.lit(kind), **cols}
+    named = {n: F.lit(v) for n, v in (("table", table), ("kind", kind)) if v is not None}
+    given = {**blank, **named, **cols}
     return df.select(*[given.get(c, F.col(c)).alias(c) for c in OUTPUT])
 
 
@@ -48,64 +51,101 @@ def generic_profile(df: DataFrame, table: str, columns: Sequence[str]) -> DataFr
     return _shape(per, table, "generic", pct_populated=_pct(), n_distinct=F.col("n_distinct"))
 
 
-def _measured(df: DataFrame, table: str, kind: str, measures: dict[str, Column], populated: dict[str, Column]) -> DataFrame:
-    """Min, max, mean and exact median of one number per column, null meaning "leave out"."""
-    cols = list(measures)
-    wide = df.select(
-        *[measures[c].cast("double").alias(f"m_{c}") for c in cols],
-        *[populated[c].alias(f"p_{c}") for c in cols],
-    )
-    items = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(f"m_{c}").alias("v"), F.col(f"p_{c}").alias("p")) for c in cols]
+@dataclass(frozen=True)
+class Measure:
+    """A number per row, null meaning "leave out", and whether the row counts as populated."""
+
+    table: str
+    column: str
+    kind: str
+    value: Column
+    populated: Column
+
+
+def lengths(table: str, columns: Sequence[str]) -> list[Measure]:
+    """A-23: lengths of filled texts."""
+    text = {c: blank_to_null(F.col(c).cast("string")) for c in columns}
+    return [Measure(table, c, "length", F.length(t), t.isNotNull()) for c, t in text.items()]
+
+
+def numbers(
+    table: str, columns: Sequence[str], exclude_zero: bool = True, count_zero_as_populated: bool = True
+) -> list[Measure]:
+    """A-24: numbers, with or without zeros; a zero may or may not count as populated."""
+    out = []
+    for c in columns:
+        n = parse_float(F.col(c).cast("string"))
+        kept = F.when(n != 0, n) if exclude_zero else n
+        out.append(Measure(table, c, "numeric", kept, (n if count_zero_as_populated else kept).isNotNull()))
+    return out
+
+
+def list_lengths(table: str, columns: Sequence[str], sep: str = ";") -> list[Measure]:
+    """A-25: number of entries of filled packed lists, empty entries included."""
+    text = {c: blank_to_null(F.col(c)) for c in columns}
+    quoted = "\\Q" + sep + "\\E"
+    return [
+        Measure(table, c, "list", F.when(t.isNotNull(), F.size(F.split(t, quoted))), t.isNotNull())
+        for c, t in text.items()
+    ]
+
+
+def measured_profile(sources: Sequence[tuple[DataFrame, Sequence[Measure]]]) -> DataFrame:
+    """A-23 to A-25: min, max, mean and exact median of all measures of several tables at once.
+
+    Equal numbers of a measure are counted first; everything else is computed from those counts.
+    """
+    key = ["table", "column", "kind"]
+    parts = []
+    for df, measures in sources:
+        wide = df.select(
+            *[m.value.cast("double").alias(f"v{i}") for i, m in enumerate(measures)],
+            *[m.populated.alias(f"p{i}") for i, m in enumerate(measures)],
+        )
+        items = [
+            F.struct(
+                F.lit(m.table).alias("table"),
+                F.lit(m.column).alias("column"),
+                F.lit(m.kind).alias("kind"),
+                F.col(f"v{i}").alias("v"),
+                F.col(f"p{i}").alias("p"),
+            )
+            for i, m in enumerate(measures)
+        ]
+        parts.append(wide.select(F.explode(F.array(*items)).alias("_i")).select("_i.*"))
+    counts = stage(
+        reduce(DataFrame.unionByName, parts).groupBy(*key, "v", "p").agg(F.count(F.lit(1)).alias("n")),
+        "measures",
     )
-    long = wide.select(F.explode(items).alias("_i")).select("_i.*")
-    per = long.groupBy("column").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count_if("p").alias("n_populated"),
+    total = (F.col("v").cast("decimal(18,6)") * F.col("n").cast("decimal(19,0)")).cast("decimal(38,6)")
+    valued = F.sum(F.when(F.col("v").isNotNull(), F.col("n")))
+    per = counts.groupBy(*key).agg(
+        F.sum("n").alias("_rows"),
+        F.coalesce(F.sum(F.when(F.col("p"), F.col("n"))), F.lit(0)).alias("n_populated"),
         F.min("v").alias("min"),
         F.max("v").alias("max"),
-        (F.sum(F.col("v").cast("decimal(38,6)")).cast("double") / F.count("v")).alias("mean"),
+        (F.sum(total).cast("double") / valued).alias("mean"),
     )
-    medians = quantiles(long, "column", "v", {"median": 0.5})
-    both = per.join(medians, "column", "left")
+    medians = quantiles(counts, key, "v", {"median": 0.5}, weight="n")
+    both = per.join(medians, key, "left")
     return _shape(
-        both, table, kind, pct_populated=_pct(),
-        **{c: F.col(c) for c in ("min", "max", "mean", "median")},
+        both, None, None, pct_populated=_pct(), **{c: F.col(c) for c in ("min", "max", "mean", "median")}
     )
 
 
 def length_profile(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """A-23: lengths of filled texts."""
-    text = {c: blank_to_null(F.col(c).cast("string")) for c in columns}
-    return _measured(
-        df, table, "length",
-        {c: F.length(t) for c, t in text.items()},
-        {c: t.isNotNull() for c, t in text.items()},
-    )
+    """A-23 alone."""
+    return measured_profile([(df, lengths(table, columns))])
 
 
-def numeric_profile(
-    df: DataFrame, table: str, columns: Sequence[str], exclude_zero: bool = True,
-    count_zero_as_populated: bool = True,
-) -> DataFrame:
-    """A-24: numbers, with or without zeros; a zero may or may not count as populated."""
-    number = {c: parse_float(F.col(c).cast("string")) for c in columns}
-    kept = {c: F.when(n != 0, n) if exclude_zero else n for c, n in number.items()}
-    populated = number if count_zero_as_populated else kept
-    return _measured(
-        df, table, "numeric", kept, {c: populated[c].isNotNull() for c in columns}
-    )
+def numeric_profile(df: DataFrame, table: str, columns: Sequence[str], **options: bool) -> DataFrame:
+    """A-24 alone."""
+    return measured_profile([(df, numbers(table, columns, **options))])
 
 
 def list_profile(df: DataFrame, table: str, columns: Sequence[str], sep: str = ";") -> DataFrame:
-    """A-25: number of entries of filled packed lists, empty entries included."""
-    text = {c: blank_to_null(F.col(c)) for c in columns}
-    quoted = "\\Q" + sep + "\\E"
-    return _measured(
-        df, table, "list",
-        {c: F.when(t.isNotNull(), F.size(F.split(t, quoted))) for c, t in text.items()},
-        {c: t.isNotNull() for c, t in text.items()},
-    )
+    """A-25 alone."""
+    return measured_profile([(df, list_lengths(table, columns, sep))])
 
 
 def category_profile(df: DataFrame, table: str, columns: Sequence[str], top: int = 8) -> DataFrame:

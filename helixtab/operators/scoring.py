@@ -38,50 +38,57 @@ def score_sequences(
     """
     schema = T.StructType(
         [
-            T.StructField("_seq", T.StringType()),
+            T.StructField("_key", T.StringType()),
             *[T.StructField(n, T.DoubleType()) for n in names],
             T.StructField("score_status", T.StringType()),
         ]
     )
 
-    def call(seqs: list[str]) -> list[tuple]:
+    def call(batch: list[tuple[str, str]]) -> list[tuple]:
         try:
-            return [(s, *map(float, row), "scored") for s, row in zip(seqs, scorer(seqs), strict=True)]
+            rows = scorer([seq for _, seq in batch])
+            return [(k, *map(float, row), "scored") for (k, _), row in zip(batch, rows, strict=True)]
         except Exception:
-            if len(seqs) == 1:
-                return [(seqs[0], *[None] * len(names), "failed")]
-            return [r for s in seqs for r in call([s])]
+            if len(batch) == 1:
+                return [(batch[0][0], *[None] * len(names), "failed")]
+            return [r for one in batch for r in call([one])]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows: list[tuple] = []
-            pending: list[str] = []
-            for seq in pdf["_seq"]:
-                if pending and len(pending) >= batch_size(len(pending[0])):
+            pending: list[tuple[str, str]] = []
+            for item in zip(pdf["_key"], pdf["_seq"]):
+                if pending and len(pending) >= batch_size(len(pending[0][1])):
                     rows += call(pending)
                     pending = []
-                pending.append(seq)
+                pending.append(item)
             if pending:
                 rows += call(pending)
             yield pd.DataFrame(rows, columns=[f.name for f in schema.fields])
 
-    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = df.select(F.col(seq_col).alias("_seq")).where("_seq is not null").distinct()
-    fits = F.lit(True) if max_len is None else F.length("_seq") <= max_len
+    spark = df.sparkSession
+    n_parts = partitions or max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    )
+    # the digest stands for the sequence in the distinct and in the join back
+    keyed = df.select(id_col, F.sha2(seq_col, 256).alias("_key"), F.col(seq_col).alias("_seq"))
+    fits = F.col("_seq").isNotNull() if max_len is None else F.length("_seq") <= max_len
     scored = (
-        distinct.where(fits)
+        keyed.where(fits)
+        .select("_key", "_seq")
+        .dropDuplicates(["_key"])
         .withColumn("_len", F.length("_seq"))
-        .repartition(n_parts, F.floor(F.log2(F.col("_len") + 1)), F.xxhash64("_seq"))
+        .repartition(n_parts, F.floor(F.log2(F.col("_len") + 1)), F.col("_key"))
         .sortWithinPartitions("_len")
-        .select("_seq")
+        .select("_key", "_seq")
         .mapInPandas(run, schema)
     )
     status = F.coalesce(
-        F.col("score_status"), F.when(F.col(seq_col).isNull(), "no_sequence").otherwise("too_long")
+        F.col("score_status"), F.when(F.col("_key").isNull(), "no_sequence").otherwise("too_long")
     )
     return (
-        df.select(id_col, seq_col)
-        .join(scored, F.col(seq_col) == F.col("_seq"), "left")
+        keyed.select(id_col, "_key")
+        .join(scored, "_key", "left")
         .select(id_col, *names, status.alias("score_status"))
     )
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixtab.operators.scan import average_rank
+from helixtab.operators.scan import average_rank, running
+from helixtab.workspace import stage
 
 
 def correlations(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -23,11 +24,10 @@ def rank_sum(df: DataFrame, value: str, in_first: Column) -> DataFrame:
     Ranks are averages over ties and the variance is corrected for them.
     """
     rows = df.where(F.col(value).isNotNull()).select(value, in_first.alias("_first"))
-    counts = rows.groupBy(value).agg(
-        F.count(F.lit(1)).alias("_n"), F.count_if("_first").alias("_n1")
+    counts = stage(
+        rows.groupBy(value).agg(F.count(F.lit(1)).alias("_n"), F.count_if("_first").alias("_n1")),
+        "values",
     )
-    from helixtab.operators.scan import running
-
     cum = running(counts, (), value, _cum=("sum", F.col("_n")))
     rank = F.col("_cum") - F.col("_n") + (F.col("_n") + 1) / 2
     n, n1 = F.col("_n").cast("double"), F.col("_n1").cast("double")

@@ -9,6 +9,7 @@ from helixtab.functions.cells import parse_float
 from helixtab.operators import filters, joins, profile, quality, rollup
 from helixtab.operators.select import first_values, top_rows
 from helixtab.plans.registry import Tables, query
+from helixtab.workspace import spread
 
 AUDITED = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag"]
 
@@ -350,7 +351,7 @@ SELECT trim(item) AS item, count(*) AS n FROM w WHERE trim(item) <> '' GROUP BY
 )
 def exploded_frequency(t: Tables) -> DataFrame:
     """A-28: entries of a packed column, here the words of whole texts."""
-    words = t.documents.select(F.regexp_replace("text", "\n", " ").alias("packed"))
+    words = spread(t.documents).select(F.regexp_replace("text", "\n", " ").alias("packed"))
     return rollup.exploded_counts(words, "packed", " ")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from helixtab.functions import cells, rules, terms
 from helixtab.operators import rollup
 from helixtab.plans.registry import Tables, query
+from helixtab.workspace import spread
 
 # one text for both engines: a gene name and symbol list written from the keys of a part
 _KIND = "p_partkey % 11"
@@ -136,8 +137,8 @@ FROM f GROUP BY 1, 2, 3"""
 @query(_machine_sql())
 def machine_flags(t: Tables) -> DataFrame:
     """F-20 to F-22, K-10: exact-id and keyword flags with evidence."""
-    packed = t.lineitem.select(F.expr(_CC_TEXT).alias("cc"))
-    flagged = packed.withColumns(rules.machine_flags(F.col("cc")))
+    packed = spread(t.lineitem).select(F.expr(_CC_TEXT).alias("cc"))
+    flagged = rules.with_machine_flags(packed, "cc")
     # the evidence of the keyword flag comes in entry order; the report sorts it
     other = F.array_join(F.array_sort(F.split("Other_RNP_machine_terms", ";")), ";")
     return flagged.groupBy(
@@ -172,7 +173,7 @@ def _flags_sql() -> str:
 )
 def flags_with_terms(t: Tables) -> DataFrame:
     """F-23: nine classes from one packed cell, with the entries that matched."""
-    flagged = t.lineitem.select(F.expr(_MF_TEXT).alias("mf")).withColumns(rules.prefix_class_flags(F.col("mf")))
+    flagged = rules.with_prefix_classes(spread(t.lineitem).select(F.expr(_MF_TEXT).alias("mf")), "mf")
     row = flagged.agg(
         *[F.count_if(F.col(c) == "Y").alias(c) for c in _CLASSES],
         *[F.max(f"{c}_terms").alias(f"{c}_terms") for c in _CLASSES],
@@ -201,23 +202,16 @@ def _gap_sql() -> str:
 
 
 def classified(t: Tables) -> DataFrame:
-    packed = t.lineitem.select(
+    packed = spread(t.lineitem).select(
         F.expr(_MF_TEXT).alias("mf"), F.expr(_BP_TEXT).alias("bp"), F.expr(_FAM_TEXT).alias("fam")
     )
-    return packed.withColumns(rules.prefix_class_flags(F.col("mf")))
+    return rules.with_prefix_classes(packed, "mf")
 
 
 @query(_gap_sql())
 def gap_fill(t: Tables) -> DataFrame:
     """F-24: classes filled from two more sources, with provenance."""
-    flags = {c: F.col(c) for c in _CLASSES}
-    filled = classified(t).select(
-        *[
-            col.alias(n)
-            for n, col in rules.gap_filled(F.col("mf"), F.col("bp"), F.col("fam"), flags).items()
-            if n.endswith("_source")
-        ]
-    )
+    filled = rules.gap_filled(classified(t), "mf", "bp", "fam", _CLASSES)
     pairs = F.array(*[F.struct(F.lit(c).alias("class"), F.col(f"{c}_source").alias("source")) for c in _CLASSES])
     return (
         filled.select(F.explode(pairs).alias("p")).select("p.*").where("source <> ''")

@@ -281,19 +281,12 @@ def composite_key_match(t: Tables) -> DataFrame:
         *_OBSERVED, significance_bucket(label).alias("bucket")
     )
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
-    placed = scan.ordinal(lines.select(*order, "l_returnflag"), order, name="i")
-    matched = joins.composite_match(placed, observed, _OBSERVED, "bucket", "observed_in")
-    background = F.when(F.col("i") % 60 == 0, F.array(F.lit("background"))).otherwise(
-        F.array().cast("array<string>")
-    )
-    rows = matched.select(
-        F.explode(F.concat("observed_in", background)).alias("bucket"), F.col("l_extendedprice").alias("v")
-    )
-    means = rows.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), (rollup.exact_sum(F.col("v")) / F.count(F.lit(1))).alias("mean")
-    )
-    boxes = scan.quantiles(rows, "bucket", "v", {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    return means.join(boxes, "bucket").withColumns({c: F.round(c, 6) for c in ("q1", "median", "q3")})
+    value = F.col("l_extendedprice").alias("v")
+    matched = joins.composite_match(lines, observed, _OBSERVED, "bucket").select("bucket", value)
+    background = scan.every_nth(lines.select(*order), order, 60).select(F.lit("background").alias("bucket"), value)
+    rows = matched.unionAll(background)
+    boxes = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    return scan.distribution(rows, "bucket", "v", boxes).withColumns({c: F.round(c, 6) for c in boxes})
 
 
 @query(

@@ -18,7 +18,7 @@ from helixtab.plans.sequences import _RESIDUES, proteins
 from helixtab.sources import readers, writers
 from helixtab.sources.spec import DatasetSpec
 from helixtab.streaming import ingest
-from helixtab.workspace import new_folder
+from helixtab.workspace import new_folder, spread
 
 
 def _summary(df: DataFrame, label: str, key: str, *texts: str) -> DataFrame:
@@ -301,7 +301,7 @@ SELECT doc_id, CASE WHEN length(s) > 20000 THEN 'too_long' ELSE 'scored' END AS
 def batch_score(t: Tables) -> DataFrame:
     """X-01, T-07: every sequence scored once, in batches by length; over-long ones are marked."""
     letters = F.upper(F.regexp_replace("text", "[^A-Za-z]", ""))
-    rows = t.documents.select("doc_id", letters.alias("seq"))
+    rows = spread(t.documents).select("doc_id", letters.alias("seq"))
     names = [f"share_{x.lower()}" for x in _SCORED]
     out = scoring.score_sequences(rows, "doc_id", "seq", scoring.ResidueShare(_SCORED), names, max_len=20000)
     return out.withColumns({n: F.coalesce(F.round(n, 9), F.lit(-1.0)) for n in names})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helixtab.functions.delta import argmax_position
 from helixtab.functions.rules import first_rule
-from helixtab.operators import joins, profile, rollup, scan
+from helixtab.operators import profile, rollup, scan
 from helixtab.plans.registry import Tables, query
 
 _SHAPE = """CAST({d} AS BIGINT) AS n_distinct, CAST({lo} AS DOUBLE) AS "min", CAST({hi} AS DOUBLE) AS "max",
@@ -62,11 +62,20 @@ def column_profile(t: Tables) -> DataFrame:
     parts = [
         profile.generic_profile(t.orders, "orders", ["o_orderkey", "o_custkey", "o_orderpriority"]),
         profile.generic_profile(t.customer, "customer", ["c_name"]),
-        profile.length_profile(t.customer, "customer", ["c_name"]),
-        profile.numeric_profile(t.orders, "orders", ["o_totalprice"]),
-        profile.numeric_profile(t.lineitem, "lineitem", ["l_tax"], count_zero_as_populated=False),
-        profile.numeric_profile(t.lineitem, "lineitem", ["l_discount"], exclude_zero=False),
-        profile.list_profile(t.documents, "documents", ["text"], " "),
+        profile.measured_profile(
+            [
+                (t.customer, profile.lengths("customer", ["c_name"])),
+                (t.orders, profile.numbers("orders", ["o_totalprice"])),
+                (
+                    t.lineitem,
+                    [
+                        *profile.numbers("lineitem", ["l_tax"], count_zero_as_populated=False),
+                        *profile.numbers("lineitem", ["l_discount"], exclude_zero=False),
+                    ],
+                ),
+                (t.documents, profile.list_lengths("documents", ["text"], " ")),
+            ]
+        ),
         profile.category_profile(t.orders, "orders", ["o_orderpriority"]),
         profile.category_profile(t.customer, "customer", ["c_mktsegment"]),
     ]
@@ -92,13 +101,8 @@ FROM events GROUP BY event_type"""
 def rate_by_group(t: Tables) -> DataFrame:
     """A-16: size, mean, median and threshold rate by group, in a fixed order."""
     rows = rollup.fixed_order(t.events, "event_type", _ORDER)
-    stats = rows.groupBy("place", "event_type").agg(
-        F.count(F.lit(1)).alias("n"),
-        (rollup.exact_sum(F.col("value")) / F.count(F.lit(1))).alias("mean"),
-        (F.count_if(F.col("value") >= 50) / F.count(F.lit(1))).alias("frac_large"),
-    )
-    medians = scan.quantiles(rows, "event_type", "value", {"median": 0.5})
-    return stats.join(medians, "event_type").withColumn("median", F.round("median", 6))
+    out = scan.distribution(rows, ["place", "event_type"], "value", {"median": 0.5}, {"frac_large": 50.0})
+    return out.withColumn("median", F.round("median", 6))
 
 
 @query(
@@ -214,10 +218,5 @@ def bucketed_distributions(t: Tables) -> DataFrame:
         t.events,
         {"errors": F.col("event_type") == "error", "large": F.col("value") >= 30, "early_users": F.col("user_id") < 20},
     )
-    means = rows.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), (rollup.exact_sum(F.col("value")) / F.count(F.lit(1))).alias("mean")
-    )
-    boxes = scan.quantiles(rows, "bucket", "value", {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    return joins.enrich(means, boxes, "bucket", blanks=False).withColumns(
-        {c: F.round(c, 6) for c in ("q1", "median", "q3")}
-    )
+    boxes = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    return scan.distribution(rows, "bucket", "value", boxes).withColumns({c: F.round(c, 6) for c in boxes})

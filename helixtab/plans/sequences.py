@@ -12,6 +12,7 @@ from helixtab.functions import codon, motif, mutate, notation
 from helixtab.functions.cells import n_distinct_bare
 from helixtab.operators import intervals, joins, rollup
 from helixtab.plans.registry import Tables, query
+from helixtab.workspace import spread
 
 _CODON_MAP = "MAP {" + ", ".join(f"'{c}': '{a}'" for c, a in codon.codon_table().items()) + "}"
 
@@ -33,11 +34,17 @@ def coding(t: Tables) -> DataFrame:
     """rna: all bases of a text; cds: from its first ATG on."""
     rna = F.upper(F.regexp_replace("text", "[^ACGTacgt]", ""))
     start = F.instr("rna", "ATG")
-    return t.documents.select("doc_id", "lang", "source", rna.alias("rna")).withColumn(
+    return spread(t.documents).select("doc_id", "lang", "source", rna.alias("rna")).withColumn(
         "cds", F.when(start > 0, F.substr("rna", start)).otherwise("")
     )
 
 
+def _checksum(c: Column) -> Column:
+    """Sum of digest heads: differs when any of the texts differs."""
+    head = F.conv(F.left(F.md5(c.cast("binary")), F.lit(7)), 16, 10)
+    return F.sum(head.cast("bigint"))
+
+
 def _md5(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.md5(c.cast("binary"))
@@ -197,8 +204,7 @@ def _summary(df: DataFrame) -> DataFrame:
         total("after").alias("sum_after"),
         total("keep_to").alias("sum_keep"),
         total("n_inserted").alias("n_inserted"),
-        F.coalesce(F.min("details.inserted"), F.lit("")).alias("first_inserted"),
-        F.coalesce(F.max("details.inserted"), F.lit("")).alias("last_inserted"),
+        _checksum(F.coalesce("details.inserted", F.lit(""))).alias("inserted_check"),
         F.count_if("details.truncate").alias("n_truncated"),
     )
 
@@ -206,7 +212,7 @@ def _summary(df: DataFrame) -> DataFrame:
 _SUMMARY_SQL = """
 SELECT category, count(*) AS n, coalesce(sum(pos), 0)::BIGINT AS sum_pos, coalesce(sum(s), 0)::BIGINT AS sum_start,
   coalesce(sum(e), 0)::BIGINT AS sum_end, coalesce(sum(aft), 0)::BIGINT AS sum_after, coalesce(sum(keep), 0)::BIGINT AS sum_keep,
-  coalesce(sum(n_ins), 0)::BIGINT AS n_inserted, coalesce(min(ins), '') AS first_inserted, coalesce(max(ins), '') AS last_inserted,
+  coalesce(sum(n_ins), 0)::BIGINT AS n_inserted, sum(('0x' || left(md5(coalesce(ins, '')), 7))::BIGINT)::BIGINT AS inserted_check,
   count(CASE WHEN trunc THEN 1 END) AS n_truncated FROM d GROUP BY 1"""
 
 _CODES = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in {**notation.THREE_TO_ONE, "Sec": "U"}.items()) + "}"
@@ -246,7 +252,7 @@ d AS (SELECT *,
 @query(f"WITH l AS (SELECT {_change(_A)} AS ch FROM lineitem), {_parsed_sql('l')} {_SUMMARY_SQL}")
 def notation_classify(t: Tables) -> DataFrame:
     """F-07, F-10."""
-    changes = t.lineitem.select(F.expr(_change(_A)).alias("ch"))
+    changes = spread(t.lineitem).select(F.expr(_change(_A)).alias("ch"))
     return _summary(notation.parse_three_letter(changes, "ch"))
 
 
@@ -285,7 +291,7 @@ d AS (SELECT category, CASE WHEN category = 'missense' THEN p1 END AS pos, CASE
 )
 def notation_classify_one_letter(t: Tables) -> DataFrame:
     """F-09."""
-    changes = t.lineitem.select(F.expr(_CHANGE1).alias("ch"), F.expr(_DESCR1).alias("ds"))
+    changes = spread(t.lineitem).select(F.expr(_CHANGE1).alias("ch"), F.expr(_DESCR1).alias("ds"))
     return _summary(notation.parse_one_letter(changes, "ch", "ds"))
 
 
@@ -302,7 +308,7 @@ SELECT coalesce(nullif(regexp_extract(nm, '^([A-Z]{2}_\d+\.\d+)\([^)]*\):.*?\(p\
 def variant_name_split(t: Tables) -> DataFrame:
     """F-08."""
     acc, change = notation.split_name(F.expr(_FULL_NAME))
-    rows = t.lineitem.select(F.coalesce(acc, F.lit("none")).alias("accession"), change.alias("change"))
+    rows = spread(t.lineitem).select(F.coalesce(acc, F.lit("none")).alias("accession"), change.alias("change"))
     return rows.groupBy("accession").agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.max("change"), F.lit("")).alias("last_change")
     )
@@ -320,7 +326,7 @@ _REAL = f"""CASE WHEN sequence IS NOT NULL AND l_tax < 0.05 AND instr('{_ONE}',
 def proteins(t: Tables) -> DataFrame:
     """Residue letters of the benchmark texts."""
     ascii_only = F.upper(F.regexp_replace("text", "[^A-Za-z]", ""))
-    return t.benchmark.select(
+    return spread(t.benchmark).select(
         F.col("item_id").alias("accession"),
         F.regexp_replace(ascii_only, f"[^{_ONE}]", "").alias("sequence"),
     )
@@ -349,7 +355,7 @@ o AS (SELECT mutant, CASE WHEN category NOT IN ('missense', 'nonsense', 'del', '
 
 def built(t: Tables) -> DataFrame:
     wild = proteins(t)
-    lines = t.lineitem.withColumn("accession", F.col("l_suppkey"))
+    lines = spread(t.lineitem).withColumn("accession", F.col("l_suppkey"))
     joined = lines.join(wild, "accession", "left")
     changes = joined.select("accession", F.expr(_change(_REAL)).alias("ch"))
     return mutate.mutants_of(notation.parse_three_letter(changes, "ch"), wild)
@@ -357,18 +363,15 @@ def built(t: Tables) -> DataFrame:
 
 @query(
     _built_sql()
-    + """SELECT outcome, count(*) AS n, coalesce(sum(length(mutant)), 0)::BIGINT AS n_residues, count(DISTINCT mutant) AS n_mutants,
-  coalesce(min(md5(mutant)), '') AS first_digest, coalesce(max(md5(mutant)), '') AS last_digest FROM o WHERE outcome LIKE 'built_%' GROUP BY 1"""
+    + """SELECT outcome, count(*) AS n, coalesce(sum(length(mutant)), 0)::BIGINT AS n_residues,
+  sum(('0x' || left(md5(mutant), 7))::BIGINT)::BIGINT AS checksum FROM o WHERE outcome LIKE 'built_%' GROUP BY 1"""
 )
 def mutant_build(t: Tables) -> DataFrame:
     """F-11, F-13, P-11."""
-    digest = _md5("mutant")
     return built(t).where("outcome like 'built_%'").groupBy("outcome").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.length("mutant")).alias("n_residues"),
-        F.count_distinct("mutant").alias("n_mutants"),
-        F.min(digest).alias("first_digest"),
-        F.max(digest).alias("last_digest"),
+        _checksum(F.col("mutant")).alias("checksum"),
     )
 
 
@@ -384,7 +387,7 @@ p AS (SELECT item_id, s, unnest(range(1, length(s) + 1)) AS pos FROM w WHERE s <
 m AS (SELECT p.*, substr(s, pos, 1) AS wt_aa, unnest(string_split('{",".join(_ONE)}', ',')) AS mut_aa FROM p),
 x AS (SELECT wt_aa, mut_aa, substr(s, 1, pos - 1) || mut_aa || substr(s, pos + 1) AS mutant,
    item_id || '|G' || item_id || '|' || wt_aa || pos || mut_aa AS id FROM m WHERE wt_aa <> mut_aa)
-SELECT wt_aa, mut_aa, count(*) AS n, min(md5(mutant)) AS first_digest, max(id) AS last_id FROM x GROUP BY 1, 2"""
+SELECT wt_aa, mut_aa, count(*) AS n, sum(('0x' || left(md5(mutant), 7))::BIGINT)::BIGINT AS mutant_check, sum(('0x' || left(md5(id), 7))::BIGINT)::BIGINT AS id_check FROM x GROUP BY 1, 2"""
 )
 def point_mutation_scan(t: Tables) -> DataFrame:
     """F-14, F-15: every position and other residue of every protein."""
@@ -393,7 +396,7 @@ def point_mutation_scan(t: Tables) -> DataFrame:
     acc = F.col("accession").cast("string")
     mid = notation.mutation_id(acc, F.concat(F.lit("G"), acc), F.col("wt_aa"), F.col("position"), F.col("mut_aa"))
     return rows.groupBy("wt_aa", "mut_aa").agg(
-        F.count(F.lit(1)).alias("n"), F.min(_md5(mutant)).alias("first_digest"), F.max(mid).alias("last_id")
+        F.count(F.lit(1)).alias("n"), _checksum(mutant).alias("mutant_check"), _checksum(mid).alias("id_check")
     )
 
 

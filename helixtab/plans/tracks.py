@@ -234,28 +234,26 @@ def interval_overlap(t: Tables) -> DataFrame:
     """W-10: neighbours in one family, neighbours of other families, and any earlier interval."""
     rows = domains(t)
     tie = ["l_partkey", "l_extendedprice"]
-    modes = {
-        "within_family": I.neighbour_overlaps(rows, ["protein", "family"], "start", "end", tie),
-        "across_family": I.neighbour_overlaps(rows, ["protein"], "start", "end", tie, other="family"),
-        "any": I.any_overlaps(rows, ["protein"], "start", "end", tie).withColumnRenamed(
-            "overlaps_earlier", "overlaps_previous"
-        ),
-        "touching": I.neighbour_overlaps(rows, ["protein"], "start", "end", tie, strict=False),
-    }
-    out = None
-    for mode, df in modes.items():
-        part = (
-            df.where("overlaps_previous")
-            .groupBy("protein")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .agg(
-                F.lit(mode).alias("mode"),
-                F.count(F.lit(1)).alias("n_proteins"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("n_hits"),
-            )
+    inside = I.overlaps(rows, ["protein", "family"], "start", "end", tie)
+    across = I.overlaps(rows, ["protein"], "start", "end", tie, family="family")
+
+    def hits(df: DataFrame, modes: dict[str, str]) -> DataFrame:
+        per = df.groupBy("protein").agg(*[F.count_if(flag).alias(m) for m, flag in modes.items()])
+        aggs = []
+        for m in modes:
+            aggs += [F.count_if(F.col(m) > 0).alias(f"p_{m}"), F.sum(m).alias(f"h_{m}")]
+        items = [
+            F.struct(F.lit(m).alias("mode"), F.col(f"p_{m}").alias("n_proteins"), F.col(f"h_{m}").alias("n_hits"))
+            for m in modes
+        ]
+        return per.agg(*aggs).select(F.explode(F.array(*items)).alias("i")).select("i.*")
+
+    return hits(inside, {"within_family": "overlaps_previous"}).unionAll(
+        hits(
+            across,
+            {"across_family": "overlaps_other_family", "any": "overlaps_earlier", "touching": "touches_previous"},
         )
-        out = part if out is None else out.unionAll(part)
-    return out
+    )
 
 
 @query(

@@ -23,6 +23,8 @@ def build_session(app: str = "helixtab", cores: int | str = "*") -> SparkSession
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # call sites of column expressions are not recorded: they slow the building of long rule lists
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", os.environ.get("HELIXTAB_SHUFFLE", "8"))
         .config("spark.driver.memory", os.environ.get("HELIXTAB_DRIVER_MEM", "12g"))
         .config("spark.ui.enabled", "false")
@@ -62,3 +64,13 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt over all cores when the input has fewer splits than that.
+
+    For work that is heavy per row on input that comes in few files; a large table has splits enough
+    and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
