@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}
 
 
 def build_session(app: str = "helixtab", cores: int | str = "*") -> SparkSession:
@@ -40,14 +41,14 @@ def work_root(spark: SparkSession) -> str:
     driver and executors share one disk, may fall back to a fresh temporary folder.
     """
     root = spark.conf.get(_CHECKPOINT_CONF, None)
-    if not root:
-        root = spark.sparkContext.getConf().get(_CHECKPOINT_CONF, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {_CHECKPOINT_CONF} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="helixtab-")
-        spark.conf.set(_CHECKPOINT_CONF, root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError(f"set {_CHECKPOINT_CONF} to a folder that all executors share")
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="helixtab-")
+    return _local_roots[context.applicationId]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
