@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# the functions below travel to the workers whole, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Scorer = Callable[[Sequence[str]], Sequence[Sequence[float]]]
 
 # Sequences per call by length, the longest limit first.

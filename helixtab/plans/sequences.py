@@ -134,7 +134,7 @@ _CATEGORIES = [
     + ", ".join(f"count(CASE WHEN category = '{c}' THEN 1 END) AS {c}" for c in _CATEGORIES)
     + ", "
     + ", ".join(
-        f"round((count(CASE WHEN category = '{c}' THEN 1 END) * 100.0 / count(CASE WHEN category <> 'no_cds_or_protein' THEN 1 END))::DOUBLE, 6) AS pct_{c}"
+        f"coalesce(round((count(CASE WHEN category = '{c}' THEN 1 END) * 100.0 / nullif(count(CASE WHEN category <> 'no_cds_or_protein' THEN 1 END), 0))::DOUBLE, 6), 0.0) AS pct_{c}"
         for c in _CATEGORIES
     )
     + " FROM k GROUP BY lang"

@@ -166,7 +166,7 @@ def read_keyed_json(
     """
     parsed = F.from_json("value", f"map<string,{value_type}>")
     return (
-        spark.read.option("wholetext", whole_file).text(path)
+        spark.read.text(path, wholetext=whole_file)
         .select(F.explode(parsed).alias("key", "value"))
     )
 
