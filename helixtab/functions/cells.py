@@ -148,15 +148,15 @@ def score_parts(info: Column, tag: str = "SpliceAI=", n_parts: int = 10) -> Colu
 
 
 def token_record(line: Column, fields: Sequence[str]) -> Column:
-    """F-34: ``AGG 1.0 BETA 2.0 …`` to a struct of texts, null unless every field is there."""
-    tokens = F.split(F.trim(line), r"\s+")
-    pairs = F.str_to_map(
-        F.regexp_replace(F.trim(line), r"(\S+)\s+(\S+)(\s+|$)", "$1=$2;"), F.lit(";"), F.lit("=")
-    )
-    cells = [F.try_element_at(pairs, F.lit(f)) for f in fields]
-    complete = F.size(tokens) >= 2 * len(fields)
+    """F-34: ``AGG 1.0 BETA 2.0 …`` to a struct of texts, null unless every field is there.
+
+    Names stand at odd places and values at even ones; of a repeated name the last value counts.
+    """
+    text = F.trim(line)
+    cells = [F.regexp_extract(text, rf"^(?:\S+\s+\S+\s+)*{f}\s+(\S+)", 1) for f in fields]
+    complete = F.lit(True)
     for c in cells:
-        complete = complete & c.isNotNull()
+        complete = complete & (c != "")
     return F.when(complete, F.struct(*[c.alias(f) for c, f in zip(cells, fields)]))
 
 

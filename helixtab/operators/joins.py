@@ -395,6 +395,23 @@ def attach_by_position(left: DataFrame, right: DataFrame, left_order: str, right
     return a.join(b, "_pos").drop("_pos")
 
 
+def cooccurrence(
+    a: DataFrame, b: DataFrame, key: str, a_strong: Column, b_strong: Column, by: Sequence[str] = ()
+) -> DataFrame:
+    """J-27: two result tables joined on the variant; strong hits of each and of both."""
+    return a.join(b, key).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(a_strong).alias("n_first"),
+        F.count_if(b_strong).alias("n_second"),
+        F.count_if(a_strong & b_strong).alias("n_both"),
+    )
+
+
+def through_bridges(df: DataFrame, bridges: Sequence[tuple[DataFrame, str]]) -> DataFrame:
+    """J-28: an id converted step by step; each bridge is joined on the id the one before gave."""
+    return reduce(lambda d, step: d.join(step[0], step[1]), bridges, df)
+
+
 def dedup_then_join(
     left: DataFrame, right: DataFrame, key: str, ord_cols: Sequence[str], columns: Mapping[str, str]
 ) -> DataFrame:

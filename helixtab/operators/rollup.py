@@ -378,6 +378,44 @@ def bucket_rows(df: DataFrame, buckets: Mapping[str, Column], name: str = "bucke
     return df.withColumn(name, F.explode(hits))
 
 
+def large_groups(
+    df: DataFrame, keys: Sequence[str] | str, min_rows: int, name: str = "n", **aggregates: Column
+) -> DataFrame:
+    """P-13: aggregates of the groups that have enough rows."""
+    sizes = df.groupBy(*_names(keys)).agg(
+        F.count(F.lit(1)).alias(name), *[a.alias(n) for n, a in aggregates.items()]
+    )
+    return sizes.where(F.col(name) >= min_rows)
+
+
+def group_medians(
+    df: DataFrame, keys: Sequence[str] | str, value: str, min_rows: int, name: str = "median"
+) -> DataFrame:
+    """A-41: medians of the groups that have enough rows."""
+    from helixtab.operators.scan import quantiles
+
+    keys = _names(keys)
+    return large_groups(df, keys, min_rows).join(quantiles(df, keys, value, {name: 0.5}), keys)
+
+
+def class_flips(df: DataFrame, keys: Sequence[str] | str, before: Column, after: Column) -> DataFrame:
+    """A-46: scored rows and rows whose dominant class changed."""
+    return df.groupBy(*_names(keys)).agg(
+        F.count(F.lit(1)).alias("n_scored"), F.count_if(before != after).alias("n_dominant_changed")
+    )
+
+
+def dominant_with_place(scores: Sequence[Column], places: Sequence[Column], names: Sequence[str]) -> dict[str, Column]:
+    """A-52: name of the largest score (the first on ties), its value and the place that belongs to it."""
+    values = F.array(*scores)
+    best = F.array_position(values, F.array_max(values)).cast("int")
+    return {
+        "mechanism": F.element_at(F.array(*[F.lit(n) for n in names]), best),
+        "score": F.array_max(values),
+        "distance": F.element_at(F.array(*places), best),
+    }
+
+
 def direction_counts(df: DataFrame, delta: Column) -> DataFrame:
     """A-45: increases, decreases, unchanged and not scored."""
     return df.agg(

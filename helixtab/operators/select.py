@@ -144,6 +144,11 @@ def top_per_metric(
     )
 
 
+def byte_sorted(df: DataFrame, keys: Sequence[str] | str) -> DataFrame:
+    """T-01: rows in byte order of their keys, the order of the C locale."""
+    return df.orderBy(*[F.col(k).asc() for k in _names(keys)])
+
+
 def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
     """T-06: sorted distinct values, blanks dropped."""
-    return df.select(column).where(F.trim(F.col(column)) != "").distinct().orderBy(column)
+    return byte_sorted(df.select(column).where(F.trim(F.col(column)) != "").distinct(), column)

@@ -313,11 +313,8 @@ SELECT p_brand, n, median_price FROM m WHERE n >= 8"""
 )
 def having_filters(t: Tables) -> DataFrame:
     """P-13, A-41: group medians of groups with enough rows."""
-    from helixtab.operators.scan import quantiles
-
-    sizes = t.part.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n")).where("n >= 8")
-    medians = quantiles(t.part, "p_brand", "p_retailprice", {"median_price": 0.5})
-    return sizes.join(medians, "p_brand").withColumn("median_price", F.round("median_price", 6))
+    out = rollup.group_medians(t.part, "p_brand", "p_retailprice", 8, "median_price")
+    return out.withColumn("median_price", F.round("median_price", 6))
 
 
 @query(

@@ -350,3 +350,23 @@ def packed_cells(t: Tables) -> DataFrame:
         F.get(first, F.lit(1)).cast("bigint").alias("range_end"),
         F.get(F.map_keys(ranges), F.lit(0)).alias("family"),
     )
+
+
+_TOKENS = """CASE WHEN user_id % 9 = 0 THEN 'FAILED' WHEN user_id % 9 = 1 THEN 'AGG 1.5 BETA 2' ELSE
+ 'AGG ' || CAST(event_id AS STRING) || ' AMYLO 0.5 TURN ' || CAST(user_id AS STRING) || ' HELIX 3 HELAGG 4 BETA 5' END"""
+SCORE_FIELDS = ["AGG", "AMYLO", "TURN", "HELIX", "HELAGG", "BETA"]
+
+
+@query(
+    """SELECT event_type, count(*) AS n, count(CASE WHEN user_id % 9 > 1 THEN 1 END) AS n_complete,
+  coalesce(sum(CASE WHEN user_id % 9 > 1 THEN event_id + user_id END), 0)::BIGINT AS total FROM events GROUP BY 1"""
+)
+def token_lines(t: Tables) -> DataFrame:
+    """F-34: score lines of names and values; an incomplete line is no record."""
+    rows = t.events.select("event_type", cells.token_record(F.expr(_TOKENS), SCORE_FIELDS).alias("r"))
+    number = lambda f: F.col(f"r.{f}").cast("bigint")
+    return rows.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("r").alias("n_complete"),
+        F.coalesce(F.sum(number("AGG") + number("TURN")), F.lit(0)).alias("total"),
+    )

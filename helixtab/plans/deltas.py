@@ -223,20 +223,16 @@ def direction_counts(t: Tables) -> DataFrame:
 @query(
     _PAIRS_SQL
     + """
-SELECT l.quality, l.toxic, count(*) AS n, count(CASE WHEN s.max_abs_delta >= 0.3 THEN 1 END) AS n_strong,
-       count(CASE WHEN s.max_abs_delta >= 0.3 AND s.wt_top <> s.mut_top THEN 1 END) AS n_both
+SELECT l.quality, l.toxic, count(*) AS n, count(CASE WHEN s.max_abs_delta >= 0.3 THEN 1 END) AS n_first,
+       count(CASE WHEN s.wt_top <> s.mut_top THEN 1 END) AS n_second, count(CASE WHEN s.max_abs_delta >= 0.3 AND s.wt_top <> s.mut_top THEN 1 END) AS n_both
 FROM s JOIN labels l ON l.doc_id = s.vec_id GROUP BY 1, 2"""
 )
 def tool_cooccurrence(t: Tables) -> DataFrame:
     """J-27: two result tables joined on the variant, strong hits counted together."""
     meta = t.labels.select(F.col("doc_id").alias("vec_id"), "quality", "toxic")
-    both = scored_pairs(t).join(meta, "vec_id")
     strong = F.col("max_abs_delta") >= 0.3
-    return both.groupBy("quality", "toxic").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(strong).alias("n_strong"),
-        F.count_if(strong & (F.col("wt_top") != F.col("mut_top"))).alias("n_both"),
-    )
+    flipped = F.col("wt_top") != F.col("mut_top")
+    return joins.cooccurrence(scored_pairs(t), meta, "vec_id", strong, flipped, ["quality", "toxic"])
 
 
 def event_scan(t: Tables) -> DataFrame:

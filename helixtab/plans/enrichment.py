@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helixtab.functions.cells import coordinate
 from helixtab.functions.rules import significance_bucket
 from helixtab.operators import filters, joins, rollup, scan, sets
 from helixtab.plans.registry import Tables, query
@@ -344,7 +345,7 @@ def id_bridge(t: Tables) -> DataFrame:
     bridge = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
     nations = t.nation.select("n_nationkey", "n_name", F.col("n_regionkey").alias("r_regionkey"))
     return (
-        per.join(bridge, "s_suppkey").join(nations, "n_nationkey").join(t.region, "r_regionkey")
+        joins.through_bridges(per, [(bridge, "s_suppkey"), (nations, "n_nationkey"), (t.region, "r_regionkey")])
         .groupBy("n_name", "r_name")
         .agg(F.sum("n_lines").alias("n_lines"), F.sum("revenue").cast("double").alias("revenue"))
     )
@@ -516,3 +517,33 @@ def column_rules(t: Tables) -> DataFrame:
     ]
     named = filters.canonical_headers(fixed.drop("o_orderstatus"), rules, keep=["o_orderkey", "finished"])
     return filters.prefix_columns(named, "src_", keep=["o_orderkey", "finished"])
+
+
+_PLACE_TEXT = """CASE WHEN l_tax = 0 THEN '' WHEN l_discount = 0 THEN 'chr1:5' WHEN l_linenumber = 7 THEN 'MT' ELSE CAST(l_linenumber + 19 AS STRING) END
+ || CASE WHEN l_tax = 0 OR l_discount = 0 THEN '' ELSE ':' || CAST(l_partkey AS STRING) || '-' || CAST(l_partkey + l_linenumber AS STRING) END"""
+
+
+@query(
+    f"""WITH r AS (SELECT {_PLACE_TEXT} AS place, CASE WHEN l_quantity < 5 THEN '-' ELSE 'A' END AS ref, l_returnflag AS alt FROM lineitem),
+g AS (SELECT *, regexp_extract(place, '^([0-9XYMT]+):([0-9]+)-([0-9]+)$', ['c', 's', 'e']) AS m FROM r),
+x AS (SELECT CASE WHEN m.c = '' OR NOT (m.c IN ('X', 'Y', 'MT') OR try_cast(m.c AS INTEGER) BETWEEN 1 AND 22) THEN 'no_position'
+   WHEN ref = '-' OR alt = '-' THEN 'bad_allele' ELSE 'usable' END AS reason, m.c AS c, try_cast(m.s AS BIGINT) AS s, try_cast(m.e AS BIGINT) AS e FROM g)
+SELECT reason, coalesce(nullif(c, ''), 'none') AS contig, count(*) AS n, coalesce(sum(s), 0)::BIGINT AS sum_start, coalesce(sum(e), 0)::BIGINT AS sum_stop FROM x GROUP BY 1, 2"""
+)
+def coordinate_parse(t: Tables) -> DataFrame:
+    """P-07, P-08: variants given by a coordinate text."""
+    rows = t.lineitem.select(
+        F.expr(_PLACE_TEXT).alias("place"),
+        F.when(F.col("l_quantity") < 5, "-").otherwise("A").alias("ref"),
+        F.col("l_returnflag").alias("alt"),
+    )
+    place = coordinate(F.col("place"))
+    read = rows.select(
+        filters.coordinate_reason(F.col("place"), F.col("ref"), F.col("alt")).alias("reason"),
+        *[c.alias(n) for n, c in place.items()],
+    )
+    return read.groupBy("reason", F.coalesce("contig", F.lit("none")).alias("contig")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum("start"), F.lit(0)).alias("sum_start"),
+        F.coalesce(F.sum("stop"), F.lit(0)).alias("sum_stop"),
+    )

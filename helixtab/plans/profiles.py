@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixtab.functions.delta import argmax_position
 from helixtab.functions.rules import first_rule
 from helixtab.operators import profile, rollup, scan
 from helixtab.plans.registry import Tables, query
@@ -143,18 +142,15 @@ SELECT (['acceptor_gain', 'acceptor_loss', 'donor_gain', 'donor_loss'])[best] AS
 )
 def dominant_mechanism(t: Tables) -> DataFrame:
     """A-52, F-31: the strongest of several scores and the distance that belongs to it."""
-    scores = F.array(
-        F.col("l_discount"), F.col("l_tax"), F.col("l_quantity") / 500, (F.col("l_partkey") % 10) / 100
-    )
-    places = F.array(F.col("l_linenumber").cast("bigint"), "l_suppkey", "l_partkey", "l_orderkey")
-    strong = t.lineitem.select(scores.alias("a"), places.alias("d")).where(F.array_max("a") >= 0.05)
-    best = argmax_position(F.col("a"))
-    names = F.array(*[F.lit(n) for n in ("acceptor_gain", "acceptor_loss", "donor_gain", "donor_loss")])
-    rows = strong.select(F.element_at(names, best).alias("mechanism"), F.element_at("d", best).alias("dist"))
+    scores = [F.col("l_discount"), F.col("l_tax"), F.col("l_quantity") / 500, (F.col("l_partkey") % 10) / 100]
+    places = [F.col("l_linenumber").cast("bigint"), F.col("l_suppkey"), F.col("l_partkey"), F.col("l_orderkey")]
+    names = ["acceptor_gain", "acceptor_loss", "donor_gain", "donor_loss"]
+    best = rollup.dominant_with_place(scores, places, names)
+    rows = t.lineitem.select(*[c.alias(n) for n, c in best.items()]).where("score >= 0.05")
     return rows.groupBy("mechanism").agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(F.abs("dist") <= 2).alias("n_within_2"),
-        F.sum("dist").alias("sum_distance"),
+        F.count_if(F.abs("distance") <= 2).alias("n_within_2"),
+        F.sum("distance").alias("sum_distance"),
     )
 
 

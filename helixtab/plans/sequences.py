@@ -495,3 +495,32 @@ def positions_in_motifs(t: Tables) -> DataFrame:
     return pairs.groupBy("motif").agg(
         F.count(F.lit(1)).alias("n_pairs"), F.count_distinct(F.struct("accession", "pos")).alias("n_positions")
     )
+
+
+@query(
+    f"""WITH w AS (SELECT item_id AS accession, {_RESIDUES} AS s FROM benchmark),
+l AS (SELECT w.s, {_CHANGE1.replace(_A1, "substr(w.s, CAST(l_partkey % 200 + 1 AS INT), 1)")} AS ch FROM lineitem JOIN w ON w.accession = l_suppkey),
+"""
+    + r"""g AS (SELECT s, regexp_extract(ch, '^p\.([A-Z])(\d+)([A-Z*])$', ['w', 'p', 'm']) AS g FROM l),
+p AS (SELECT s, g.w AS w, try_cast(g.p AS INTEGER) AS pos, g.m AS m FROM g WHERE g.w <> ''),
+k AS (SELECT *, CASE WHEN w = m THEN 'skip_synonymous' WHEN m = '*' THEN 'nonsense' WHEN m IN ('B', 'X') THEN 'skip_unparsed' ELSE 'missense' END AS kind FROM p),
+b AS (SELECT kind, CASE WHEN kind = 'missense' AND pos <= length(s) AND s[pos] = w THEN s[:pos - 1] || m || s[pos + 1:]
+   WHEN kind = 'nonsense' AND pos - 1 <= length(s) THEN left(s, pos - 1) END AS mutant FROM k),
+o AS (SELECT mutant, CASE WHEN kind LIKE 'skip%' THEN kind WHEN mutant IS NULL THEN 'mismatch_or_invalid' WHEN mutant = '' THEN 'empty_mutant' ELSE 'built_' || kind END AS outcome FROM b)
+SELECT outcome, count(*) AS n, coalesce(sum(length(mutant)), 0)::BIGINT AS n_residues,
+  coalesce(sum(('0x' || left(md5(mutant), 7))::BIGINT), 0)::BIGINT AS checksum FROM o GROUP BY 1"""
+)
+def mutant_build_one_letter(t: Tables) -> DataFrame:
+    """F-12: single changes in the one-letter dialect."""
+    wild = proteins(t)
+    real = "substr(sequence, CAST(l_partkey % 200 + 1 AS INT), 1)"
+    lines = spread(t.lineitem).withColumn("accession", F.col("l_suppkey")).join(wild, "accession")
+    changes = lines.select(
+        "accession", F.expr(_CHANGE1.replace(_A1, real)).alias("ch"), F.lit("").alias("described")
+    ).where(F.col("ch").rlike(r"^p\.[A-Z]\d+[A-Z*]$"))
+    out = mutate.mutants_of(notation.parse_one_letter(changes, "ch", "described"), wild, three_letter=False)
+    return out.groupBy("outcome").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.length("mutant")), F.lit(0)).alias("n_residues"),
+        F.coalesce(_checksum(F.col("mutant")), F.lit(0)).alias("checksum"),
+    )
