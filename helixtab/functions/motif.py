@@ -32,13 +32,16 @@ def class_regex(motif: Column, classes: dict[str, str]) -> Column:
 def full_match(text: Column, motif: Column, classes: dict[str, str]) -> Column:
     """Does the whole text match its class?  Null for an unknown class.
 
-    One constant pattern per branch, so each regex is compiled once and not per row.
+    A short dictionary is written as one constant pattern per branch, so that no regex is compiled
+    per row; a long one would make the expression too large and is looked up.
     """
-    out = None
-    for name, pattern in usable_classes(classes).items():
-        hit = text.rlike(f"^(?:{pattern})\\z")
-        out = F.when(motif == name, hit) if out is None else out.when(motif == name, hit)
-    return F.lit(None).cast("boolean") if out is None else out
+    good = usable_classes(classes)
+    if len(good) > 40:
+        return text.rlike(F.concat(F.lit("^(?:"), class_regex(motif, good), F.lit(")\\z")))
+    out = F.when(F.lit(False), F.lit(None).cast("boolean"))
+    for name, pattern in good.items():
+        out = out.when(motif == name, text.rlike(f"^(?:{pattern})\\z"))
+    return out
 
 
 def unpack_instances(ranges: Column, classes: Column, seqs: Column) -> Column:

@@ -126,7 +126,7 @@ def per_base(
     only segments are ordered, never bases; on the minus strand the offset runs backwards.
     """
     sized = segments.withColumn("_len", F.col(end_1based) - F.col(start_1based) + 1).where("_len > 0")
-    placed = running(sized, tx, order, _cum=("sum", F.col("_len")))
+    placed = running(sized, tx, order, row_weight=100, _cum=("sum", F.col("_len")))
     bases = placed.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_len") - 1)))
     forward = F.col(start_1based) + F.col("_k")
     backward = F.col(end_1based) - F.col("_k")

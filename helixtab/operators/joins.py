@@ -71,8 +71,14 @@ def match_counts(df: DataFrame, flag: str) -> DataFrame:
 
 
 def expand(left: DataFrame, right: DataFrame, keys: Sequence[str] | str) -> DataFrame:
-    """J-04, J-05: left join that multiplies rows on purpose, unmatched left rows kept."""
-    return left.join(right, _names(keys), "left")
+    """J-04, J-05: left join that multiplies rows on purpose, unmatched left rows kept.
+
+    Written as an inner join plus the rows without a partner: Spark splits a key that is heavy on
+    either side of an inner join, but in a left join only one that is heavy on the left.
+    """
+    keys = _names(keys)
+    lonely = left.join(right.select(*keys).distinct(), keys, "left_anti")
+    return left.join(right, keys).unionByName(lonely, allowMissingColumns=True)
 
 
 def product_profile(
@@ -111,7 +117,9 @@ def pair_with_wild_type(
     ``WT_`` and ``MUT_`` columns are null where a side is missing, and ``pair_status`` tells which,
     so the counts of missing sides need no second pass.
     """
-    wt = scores.select(
+    # of the scores on the wild-type side only the few that are asked for travel
+    asked = variants.select(F.col(wt_key).alias(score_key)).distinct()
+    wt = scores.join(asked, score_key, "left_semi").select(
         F.col(score_key).alias(wt_key), F.lit(True).alias("_wt"), *[F.col(c).alias(f"WT_{c}") for c in columns]
     )
     mut = scores.select(
@@ -122,9 +130,11 @@ def pair_with_wild_type(
         .when(F.col("_mut").isNull(), "missing_mut")
         .otherwise("paired")
     )
+    # mutants first: the wild types are few, and joining them last leaves their scores out of the
+    # shuffle by mutant
     return (
-        variants.join(wt, wt_key, "left")
-        .join(mut, mut_key, "left")
+        variants.join(mut, mut_key, "left")
+        .join(wt, wt_key, "left")
         .withColumn("pair_status", status)
         .drop("_wt", "_mut")
     )
@@ -254,16 +264,15 @@ def widened_candidates(
     row_id: str,
     gene: str,
     tx: str,
-    fits: Column,
+    size: str,
 ) -> DataFrame:
-    """J-30: candidates of the same gene or named by a cross reference, of fitting length.
+    """J-30: candidates of the same gene or named by a cross reference, of equal size.
 
-    Two equi-joins and a distinct union stand for the OR condition.
+    Two equi-joins and a distinct union stand for the OR condition.  The size is part of the join
+    key, so rows and candidates of one gene are not paired all with all.
     """
-    by_gene = rows.join(candidates, gene).where(fits).select(row_id, tx)
-    by_ref = (
-        rows.join(xrefs, row_id).join(candidates.drop(gene), tx).where(fits).select(row_id, tx)
-    )
+    by_gene = rows.join(candidates, [gene, size]).select(row_id, tx)
+    by_ref = rows.join(xrefs, row_id).join(candidates.drop(gene), [tx, size]).select(row_id, tx)
     return by_gene.union(by_ref).distinct()
 
 

@@ -81,9 +81,11 @@ def entity_rollup(
 
     Rows without an entity are dropped.
     """
-    cell = lambda c: blank_to_null(F.col(c).cast("string"))
+    texts = {n for n, kind in df.dtypes if kind == "string"}
+    cell = lambda c: blank_to_null(F.col(c)) if c in texts else F.col(c)
+    named = F.col(key).isNotNull()
     return (
-        df.where(is_filled(F.col(key).cast("string")))
+        df.where(named & (F.trim(F.col(key)) != "") if key in texts else named)
         .groupBy(key)
         .agg(
             F.count(F.lit(1)).alias(rows),

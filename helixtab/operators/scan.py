@@ -52,13 +52,16 @@ def running(
     df: DataFrame,
     keys: Sequence[str] | str,
     order: Sequence[str] | str,
+    *,
+    row_weight: int = 1,
     **scans: tuple[str, Column],
 ) -> DataFrame:
     """Running values within ``keys`` in ``order``, one output column per keyword.
 
     Each scan is ``(kind, column)`` with kind ``sum`` (inclusive running total), ``max`` (running
     maximum of the earlier rows, null for the first) or ``lag`` (value of the row before).
-    ``order`` must be unique within a key for a repeatable result.
+    ``order`` must be unique within a key for a repeatable result.  ``row_weight`` tells how many rows
+    a later step makes of one, which lowers the number of rows a task may hold.
     """
     keys, order = _names(keys), _names(order)
     unknown = {kind for kind, _ in scans.values()} - {"sum", "max", "lag"}
@@ -68,7 +71,7 @@ def running(
         return (_one_window if _small_table(df) else _sliced)(df, [], order, scans)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     # no more rows than the table has limits in it
-    heavy = counts.where(F.col("_n") > max_group_rows(df.sparkSession)).select(*keys)
+    heavy = counts.where(F.col("_n") * row_weight > max_group_rows(df.sparkSession)).select(*keys)
     if heavy.isEmpty():
         return _one_window(df, keys, order, scans)
     heavy = stage(heavy, "heavy-keys")
@@ -296,7 +299,11 @@ def _quantiles_of(counts: DataFrame, keys: list[str], value: str, probs: dict[st
             holds = (F.col("_cum") - F.col("_n") <= at) & (F.col("_cum") > at)
             near = near | holds
             picks.append(F.max(F.when(holds, F.col(value))).alias(f"_{label}_{side}"))
-    per_key = both.where(near).groupBy(*keys, "_total").agg(*picks)
+    few = both.where(near)
+    if keys:
+        # few rows are left; their own shuffle frees the join before them to split a heavy key
+        few = few.repartition(*keys)
+    per_key = few.groupBy(*keys, "_total").agg(*picks)
     out = []
     for label, p in probs.items():
         pos = (F.col("_total") - 1) * F.lit(float(p))

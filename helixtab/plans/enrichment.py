@@ -361,12 +361,10 @@ def widened_candidates(t: Tables) -> DataFrame:
         "c_custkey", F.col("c_nationkey").alias("gene"), F.floor(F.col("c_acctbal") / 500).alias("size")
     )
     candidates = t.supplier.select(
-        "s_suppkey", F.col("s_nationkey").alias("gene"), F.floor(F.col("s_acctbal") / 500).alias("s_size")
+        "s_suppkey", F.col("s_nationkey").alias("gene"), F.floor(F.col("s_acctbal") / 500).alias("size")
     )
     xrefs = t.supplier.select(F.col("s_suppkey").alias("c_custkey"), "s_suppkey")
-    return joins.widened_candidates(
-        rows, candidates, xrefs, "c_custkey", "gene", "s_suppkey", F.col("size") == F.col("s_size")
-    )
+    return joins.widened_candidates(rows, candidates, xrefs, "c_custkey", "gene", "s_suppkey", "size")
 
 
 @query(

@@ -1,7 +1,7 @@
 """Interaction edge queries.
 
 Stand-in: a line is an undirected edge between its part and its supplier in one id space with a
-prefix; the score comes from the quantity, and the nodes of the table are the suppliers.
+prefix; the score is the quantity, and the nodes of the table are the suppliers.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ def raw_edges(t: Tables) -> DataFrame:
     return t.lineitem.select(
         _node("l_partkey").alias("protein1"),
         _node("l_suppkey").alias("protein2"),
-        (F.col("l_quantity") * 20).cast("int").alias("score"),
+        F.col("l_quantity").alias("score"),
         "l_shipdate",
     )
 
@@ -35,17 +35,17 @@ def nodes(t: Tables) -> DataFrame:
 
 
 _RAW_SQL = """
-WITH r AS (SELECT '9606.N' || l_partkey AS protein1, '9606.N' || l_suppkey AS protein2, (l_quantity * 20)::INTEGER AS score, l_shipdate FROM lineitem),
+WITH r AS (SELECT '9606.N' || l_partkey AS protein1, '9606.N' || l_suppkey AS protein2, l_quantity AS score, l_shipdate FROM lineitem),
 n AS (SELECT '9606.N' || s_suppkey AS node FROM supplier),
-d AS (SELECT protein1 AS src, protein2 AS dst FROM r WHERE score >= 700 UNION SELECT protein2, protein1 FROM r WHERE score >= 700)
+d AS (SELECT protein1 AS src, protein2 AS dst FROM r WHERE score >= 35 UNION SELECT protein2, protein1 FROM r WHERE score >= 35)
 """
 
 
-@query(_RAW_SQL + "SELECT src, count(*) AS n_partners, min(dst) AS first_partner FROM d GROUP BY 1")
+@query(_RAW_SQL + "SELECT src, count(*) AS n_partners, sum(length(dst))::BIGINT AS n_chars FROM d GROUP BY 1")
 def edge_build(t: Tables) -> DataFrame:
     """P-09, U-08: both directions of edges at or above a score."""
-    both = E.directed(raw_edges(t), "protein1", "protein2", "score", 700)
-    return both.groupBy("src").agg(F.count(F.lit(1)).alias("n_partners"), F.min("dst").alias("first_partner"))
+    both = E.directed(raw_edges(t), "protein1", "protein2", "score", 35)
+    return both.groupBy("src").agg(F.count(F.lit(1)).alias("n_partners"), F.sum(F.length("dst")).alias("n_chars"))
 
 
 @query(
@@ -55,7 +55,7 @@ SELECT src, i // 1000 AS part, count(*) AS n_partners, string_agg(dst, ';' ORDER
 )
 def partner_lists(t: Tables) -> DataFrame:
     """P-09, K-08: packed partners of the queried nodes, in parts of bounded size."""
-    both = E.directed(raw_edges(t), "protein1", "protein2", "score", 700)
+    both = E.directed(raw_edges(t), "protein1", "protein2", "score", 35)
     return E.partner_lists(E.of_sources(both, nodes(t), "node"), 1000)
 
 
@@ -76,8 +76,8 @@ def reciprocity(t: Tables) -> DataFrame:
 
 _TWO_SQL = (
     _RAW_SQL
-    + """, a AS (SELECT DISTINCT protein2 AS src, protein1 AS dst FROM r WHERE score >= 500 AND l_shipdate < TIMESTAMP '1999-01-01'),
-b AS (SELECT DISTINCT protein2 AS src, protein1 AS dst FROM r WHERE score >= 300),
+    + """, a AS (SELECT DISTINCT protein2 AS src, protein1 AS dst FROM r WHERE score >= 25 AND l_shipdate < TIMESTAMP '1999-01-01'),
+b AS (SELECT DISTINCT protein2 AS src, protein1 AS dst FROM r WHERE score >= 15),
 s AS (SELECT coalesce(a.src, b.src) AS src, count(a.src) AS n_first, count(b.src) AS n_second,
    count(CASE WHEN a.src IS NOT NULL AND b.src IS NOT NULL THEN 1 END) AS n_both, count(*) AS n_any
   FROM a FULL JOIN b ON a.src = b.src AND a.dst = b.dst GROUP BY 1),
@@ -96,7 +96,7 @@ def compared(t: Tables) -> DataFrame:
     )
     early = F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz")
     return E.compare_methods(
-        nodes(t), "node", turned.where((F.col("score") >= 500) & early), turned.where("score >= 300")
+        nodes(t), "node", turned.where((F.col("score") >= 25) & early), turned.where("score >= 15")
     )
 
 
@@ -140,7 +140,7 @@ FROM p"""
 )
 def partner_distribution(t: Tables) -> DataFrame:
     """A-42: sizes of partner lists, with the upper median."""
-    both = E.directed(raw_edges(t), "protein1", "protein2", "score", 700)
+    both = E.directed(raw_edges(t), "protein1", "protein2", "score", 35)
     sizes = E.of_sources(both, nodes(t), "node").groupBy("src").agg(F.count(F.lit(1)).alias("c"))
     median = scan.upper_median(sizes, (), "c", "median_partners")
     return sizes.agg(
@@ -185,7 +185,7 @@ FROM x LEFT JOIN own o ON o.bare = x.bare LEFT JOIN ext e ON e.bare = x.bare GRO
 )
 def endpoint_resolution(t: Tables) -> DataFrame:
     """P-04, J-20: partner ids resolved by the own map first, then by the external map."""
-    both = E.directed(raw_edges(t), "protein1", "protein2", "score", 700)
+    both = E.directed(raw_edges(t), "protein1", "protein2", "score", 35)
     partners = both.select(strip_prefix(F.col("dst"), PREFIX).alias("bare")).distinct()
     bare = lambda c: F.concat(F.lit("N"), F.col(c).cast("string")).alias("bare")
     own = t.supplier.where("s_acctbal > 4000").select(bare("s_suppkey"), F.col("s_name").alias("name"))

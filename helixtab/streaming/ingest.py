@@ -62,14 +62,12 @@ def ingest_distinct(
     from helixtab.operators.select import first_wins
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         fresh = first_wins(batch, list(ids), list(ord_cols))
         if batch_id > 0:
-            earlier = [f"{out}/batch-{i:012d}" for i in _written(spark, out) if i < batch_id]
-            if earlier:
-                seen = spark.read.parquet(*earlier).select(*ids)
-                fresh = fresh.join(seen, list(ids), "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{out}/batch-{batch_id:012d}")
+            seen = batch.sparkSession.read.parquet(out).where(F.col("batch") < batch_id).select(*ids)
+            fresh = fresh.join(seen, list(ids), "left_anti")
+        # a repeated batch replaces its own folder
+        fresh.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
@@ -77,19 +75,8 @@ def ingest_distinct(
     )
 
 
-def _written(spark: SparkSession, out: str) -> list[int]:
-    """Numbers of the batch folders already there, from their names only."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(out)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(path)]
-    return sorted(int(n.split("-", 1)[1]) for n in names if n.startswith("batch-"))
-
-
 def read_distinct(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.parquet(f"{out}/batch-*")
+    return spark.read.parquet(out).drop("batch")
 
 
 def drop_seen_state(stream: DataFrame, ids: Sequence[str]) -> DataFrame:
