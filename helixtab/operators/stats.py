@@ -10,7 +10,7 @@ from helixtab.workspace import stage
 
 
 def correlations(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Linear and rank correlation of two numeric columns over rows that have both."""
+    """A-40: linear and rank correlation of two numeric columns over rows that have both."""
     both = df.select(x, y).dropna()
     ranked = average_rank(average_rank(both, x, "_rx"), y, "_ry")
     return ranked.agg(
@@ -19,7 +19,7 @@ def correlations(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def rank_sum(df: DataFrame, value: str, in_first: Column) -> DataFrame:
-    """Rank-sum U of a group against the rest, its z and two-sided p by the normal approximation.
+    """A-40: rank-sum U of a group against the rest, its z and two-sided p by the normal approximation.
 
     Ranks are averages over ties and the variance is corrected for them.
     """
