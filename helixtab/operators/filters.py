@@ -62,7 +62,8 @@ def coordinate_reason(text: Column, ref: Column, alt: Column) -> Column:
 def bulk_only(df: DataFrame, cell_type: str, label: str, fallback: str, name: str) -> DataFrame:
     """P-10: rows without a cell type, labelled by the first name given."""
     kept = df.where(~is_filled(F.col(cell_type)))
-    return kept.withColumn(name, F.coalesce(F.col(label), F.col(fallback), F.lit("")))
+    given = lambda c: F.nullif(F.col(c), F.lit(""))
+    return kept.withColumn(name, F.coalesce(given(label), given(fallback), F.lit("")))
 
 
 def split_quarantine(df: DataFrame, corrupt: Column) -> tuple[DataFrame, DataFrame]:

@@ -69,12 +69,20 @@ def lengths(table: str, columns: Sequence[str]) -> list[Measure]:
 
 
 def numbers(
-    table: str, columns: Sequence[str], exclude_zero: bool = True, count_zero_as_populated: bool = True
+    df: DataFrame,
+    table: str,
+    columns: Sequence[str],
+    exclude_zero: bool = True,
+    count_zero_as_populated: bool = True,
 ) -> list[Measure]:
-    """A-24: numbers, with or without zeros; a zero may or may not count as populated."""
+    """A-24: numbers, with or without zeros; a zero may or may not count as populated.
+
+    Text is read as numbers; columns that are numbers already are taken as they are.
+    """
+    texts = {n for n, kind in df.dtypes if kind == "string"}
     out = []
     for c in columns:
-        n = parse_float(F.col(c).cast("string"))
+        n = parse_float(F.col(c)) if c in texts else F.col(c).cast("double")
         kept = F.when(n != 0, n) if exclude_zero else n
         out.append(Measure(table, c, "numeric", kept, (n if count_zero_as_populated else kept).isNotNull()))
     return out
@@ -140,7 +148,7 @@ def length_profile(df: DataFrame, table: str, columns: Sequence[str]) -> DataFra
 
 def numeric_profile(df: DataFrame, table: str, columns: Sequence[str], **options: bool) -> DataFrame:
     """A-24 alone."""
-    return measured_profile([(df, numbers(table, columns, **options))])
+    return measured_profile([(df, numbers(df, table, columns, **options))])
 
 
 def list_profile(df: DataFrame, table: str, columns: Sequence[str], sep: str = ";") -> DataFrame:

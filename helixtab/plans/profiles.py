@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from helixtab.functions.rules import first_rule
 from helixtab.operators import profile, rollup, scan
 from helixtab.plans.registry import Tables, query
+from helixtab.workspace import spread
 
 _SHAPE = """CAST({d} AS BIGINT) AS n_distinct, CAST({lo} AS DOUBLE) AS "min", CAST({hi} AS DOUBLE) AS "max",
  round(CAST({mean} AS DOUBLE), 6) AS mean, round(CAST({med} AS DOUBLE), 6) AS median, {notes} AS notes"""
@@ -64,15 +65,15 @@ def column_profile(t: Tables) -> DataFrame:
         profile.measured_profile(
             [
                 (t.customer, profile.lengths("customer", ["c_name"])),
-                (t.orders, profile.numbers("orders", ["o_totalprice"])),
+                (t.orders, profile.numbers(t.orders, "orders", ["o_totalprice"])),
                 (
                     t.lineitem,
                     [
-                        *profile.numbers("lineitem", ["l_tax"], count_zero_as_populated=False),
-                        *profile.numbers("lineitem", ["l_discount"], exclude_zero=False),
+                        *profile.numbers(t.lineitem, "lineitem", ["l_tax"], count_zero_as_populated=False),
+                        *profile.numbers(t.lineitem, "lineitem", ["l_discount"], exclude_zero=False),
                     ],
                 ),
-                (t.documents, profile.list_lengths("documents", ["text"], " ")),
+                (spread(t.documents), profile.list_lengths("documents", ["text"], " ")),
             ]
         ),
         profile.category_profile(t.orders, "orders", ["o_orderpriority"]),
