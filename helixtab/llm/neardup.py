@@ -10,14 +10,17 @@ even that leaves more.
 Candidates are taken from regions in three rounds, each of which verifies pairs on full shingle sets
 and then joins what is linked, so that large families need few pairs:
 
-1. each member with the smallest member it meets in its regions;
+1. each member with the leader it meets in its regions, the member that most others share sequences with;
 2. each member with the most promising neighbour in the orders that is still in another component;
 3. whatever is left: in each region that still spans several components, the members outside its
    largest component with all members of other components.
 
 Round 3 sets no limit on partners, so no pair that meets in a region is lost.  Pairs are skipped
-without verification only if their set sizes rule out the similarity, or if 128 signature bits say
-it is out of reach (at a similarity of 0.8 a pair would have to be over five standard deviations off).
+without verification only if their set sizes rule out the similarity; if 128 signature bits say
+it is out of reach (at a similarity of 0.8 a pair would have to be over five standard deviations off);
+or, in regions larger than ``REGION``, if either has too few shingles that any other member of such a
+region has, or if 1024-bit parity maps show that the sets differ by too many.  These last two bounds are
+exact, and spare a family of very many differently changed copies the verification of all with all.
 
 Two sets of similarity 0.8 meet in a region of a sparse order with probability above 0.999999.
 
@@ -199,7 +202,7 @@ def _regions(trees: DataFrame) -> DataFrame:
         sizes = level.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         level = level.join(sizes, "region")
         if depth == FIRST_DEPTH:
-            level = stage(level, "forest")
+            level = stage(level.withColumn("crowd", F.col("size")), "forest")
         last = depth == DEPTH
         done = level if last else level.where(F.col("size") <= REGION)
         done = done.withColumn("big", F.col("size") > REGION).drop("size")
@@ -268,6 +271,63 @@ def _in(table: DataFrame, joined: DataFrame, column: str, name: str) -> DataFram
     return table.join(roots, column, "left").withColumn(name, F.coalesce("__root", column)).drop("__root")
 
 
+WORDS = 16  # of 64 bits, in the parity maps
+
+
+def _parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per node, for each of ``64 * WORDS`` shares of all shingles, whether its set has an odd number of
+    them.  Two sets differ by at least as many shingles as their maps differ by bits."""
+    for batch in batches:
+        maps = np.zeros((batch.num_rows, 64 * WORDS), np.uint8)
+        for row, shingles in enumerate(batch.column("shingles")):
+            own = np.frombuffer(shingles.as_py(), np.uint64) % np.uint64(64 * WORDS)
+            maps[row] = np.bincount(own.astype(np.int64), minlength=64 * WORDS) & 1
+        words = np.packbits(maps, axis=1).view(np.int64).reshape(-1, WORDS)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node"), *[pa.array(words[:, k]) for k in range(WORDS)]],
+            names=["node", *[f"w{k}" for k in range(WORDS)]],
+        )
+
+
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for node, shingles in zip(batch.column("node"), batch.column("shingles")):
+            own = np.frombuffer(shingles.as_py(), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own), pa.array(np.full(len(own), node.as_py(), np.int64))], names=["shingle", "node"]
+            )
+
+
+def _cross_pairs(placed: DataFrame, percent: int, words: int = 0) -> DataFrame:
+    """Pairs of members of one region in different components, those of its main component not among themselves.
+
+    ``m`` bounds how many shingles a member shares with any other one.  A member outside the main
+    component that can't reach the similarity with ``m``, whatever the sizes in its region, is out; and so is
+    a pair whose parity maps (``words`` of them) differ by more than the sets may.
+    """
+    maps = [f"w{k}" for k in range(words)]
+
+    def reach(m: Column, a: Column, b: Column) -> Column:
+        return m * 100 >= (a + b - m) * percent
+
+    least = placed.groupBy("region").agg(F.min("n").alias("least"))
+    strays = placed.where("c != main").join(least, "region").where(reach(F.col("m"), F.col("n"), F.greatest("least", "m")))
+    strays = strays.select("region", F.col("c").alias("d"), *[F.col(x).alias(f"q{x}") for x in ("node", "n", "s1", "s2", "m", *maps)])
+    differ = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"q{w}"))) for w in maps), F.lit(0))
+    return (
+        strays.join(placed.select("region", "c", "main", "node", "n", "s1", "s2", "m", *maps), "region")
+        .where(
+            (F.col("c") != F.col("d"))
+            & ((F.col("c") == F.col("main")) | (F.col("qnode") < F.col("node")))
+            & reach(F.least("m", "qm"), F.col("n"), F.col("qn"))
+            & _possible("", "q", percent)
+            & (differ * (100 + percent) <= (F.col("n") + F.col("qn")) * (100 - percent))
+        )
+        .select(F.least("node", "qnode").alias("a"), F.greatest("node", "qnode").alias("b"))
+        .distinct()
+    )
+
+
 def near_classes(
     docs: DataFrame, width: int = 5, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -284,11 +344,20 @@ def near_classes(
     reps = stage(reps, "classes")  # the numbers are fixed by being written
     members = _regions(reps.select("node", "n", "signature").mapInPandas(_plant, _TREE))
 
-    lead = members.groupBy("region").agg(F.min(F.struct("node", "n", "s1", "s2")).alias("l"))
+    # the text from which a family was made shares most sequences with others: its regions are crowded
+    score = members.groupBy("node").agg(F.sum("crowd").alias("score"))
+    members = stage(members.drop("crowd").join(score, "node"), "scored")
+    mine = F.struct("score", "node", "n", "s1", "s2")
+    lead = members.groupBy("region").agg(F.max(mine).alias("l"))
     met = members.join(lead, "region").where(F.col("l.node") != F.col("node"))
-    met = met.select("node", "n", "s1", "s2", F.col("l.node").alias("m"), F.col("l.n").alias("ln"), F.col("l.s1").alias("ls1"), F.col("l.s2").alias("ls2"))
+    met = met.select("node", "n", "s1", "s2", "l.score", F.col("l.node").alias("m"), F.col("l.n").alias("ln"), F.col("l.s1").alias("ls1"), F.col("l.s2").alias("ls2"))
     stars = stage(
-        met.where(_possible("", "l", percent)).groupBy(F.col("node").alias("b")).agg(F.min("m").alias("a")).select("a", "b"), "stars"
+        met.where(_possible("", "l", percent))
+        .groupBy("node")
+        .agg(F.max(F.struct("score", "m")).alias("l"))
+        .select(F.least("node", "l.m").alias("a"), F.greatest("node", "l.m").alias("b"))
+        .distinct(),
+        "stars",
     )
     order = Window.partitionBy("region").orderBy("r", "node")  # regions of bounded size
     before = members.where("not big").select("*", *[F.lag(c).over(order).alias(f"p{c}") for c in ("node", "n", "s1", "s2")])
@@ -316,25 +385,30 @@ def near_classes(
     joined = components(links.unionByName(joined.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
     # round 3: regions that still span several components
-    placed = _in(members.select("region", "node", "n", "s1", "s2"), joined, "node", "c")
+    placed = _in(members.select("region", "big", "node", "n", "s1", "s2"), joined, "node", "c")
     spread = placed.groupBy("region", "c").agg(F.count(F.lit(1)).alias("size"))
     main = spread.groupBy("region").agg(F.max_by("c", F.struct("size", "c")).alias("main"), F.count(F.lit(1)).alias("parts"))
     placed = stage(placed.join(main.where("parts > 1").drop("parts"), "region"), "open")
-    strays = placed.where("c != main").select("region", "c", *[F.col(x).alias(f"q{x}") for x in ("node", "n", "s1", "s2")])
-    others = placed.select("region", F.col("c").alias("d"), "main", "node", "n", "s1", "s2")
-    rest = (
-        strays.join(others, "region")
-        .where((F.col("c") != F.col("d")) & ((F.col("d") == F.col("main")) | (F.col("qnode") < F.col("node"))))
-        .where(_possible("", "q", percent))
-        .select(F.least("node", "qnode").alias("a"), F.greatest("node", "qnode").alias("b"))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
-    )
-    rest = stage(rest, "rest")
-    more = rest.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(shingles.select("node"), "node", "left_anti")
-    more = stage(reps.join(more, "node"), "more")
+    rest = _cross_pairs(placed.where("not big").withColumn("m", F.col("n")), percent)
+    crowded = placed.where("big").select("node").distinct()
+    asked = rest.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowded).distinct()
+    more = stage(reps.join(asked.join(shingles.select("node"), "node", "left_anti"), "node"), "more")
     if not more.isEmpty():
         shingles = shingles.unionByName(stage(_sets_of(docs, more, width, id_col, text_col), "shingles"))
+    # the members of regions without a bound on their size: what they share with any other of them
+    single = (
+        shingles.join(crowded, "node")
+        .mapInArrow(_shingle_rows, "shingle long, node long")
+        .groupBy("shingle")
+        .agg(F.count(F.lit(1)).alias("df"), F.max("node").alias("node"))
+        .where("df = 1")
+        .groupBy("node")
+        .agg(F.count(F.lit(1)).cast("int").alias("own"))
+    )
+    parity = shingles.join(crowded, "node").mapInArrow(_parities, "node long, " + ", ".join(f"w{k} long" for k in range(WORDS)))
+    shared = placed.where("big").join(single, "node", "left").withColumn("m", F.col("n") - F.coalesce("own", F.lit(0)))
+    rest = rest.unionByName(_cross_pairs(shared.drop("own").join(parity, "node"), percent, WORDS)).distinct().join(tried, ["a", "b"], "left_anti")
+    rest = stage(rest, "rest")
     if not rest.isEmpty():
         links = stage(_verified(rest, shingles, percent), "links")
         joined = components(links.unionByName(joined.select(F.col("node").alias("a"), F.col("root").alias("b"))))
