@@ -24,6 +24,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stage
+
 TREE = ("domain", "lang", "source")
 #: Weight of a child at each level; children not named have the weight under None.
 WEIGHTS: dict[str, dict[str | None, int]] = {
@@ -127,13 +129,16 @@ def mix(
     rows = docs.select("*", tokens.alias("__tokens"), *[
         F.coalesce(F.col(x).cast("string"), F.lit("\x00none")).alias(f"__n_{x}") for x in tree
     ])
-    leaves = rows.groupBy(*names).agg(F.sum("__tokens").alias("__supply"))
+    leaves = stage(rows.groupBy(*names).agg(F.sum("__tokens").alias("__supply")), "leaves")
+    # written tables have a known size: Spark broadcasts them below its threshold, so texts stay in
+    # place, and joins by shuffle above it
     plan = leaf_budgets(leaves, tree, weights, budget_percent, max_epochs).select(
         *names,
         "__supply",
         F.expr("if(__supply > 0, cast(__budget as bigint) div __supply, 0)").alias("__epochs"),
         F.expr("if(__supply > 0, cast(__budget as bigint) % __supply, 0)").alias("__rest"),
     )
+    plan = stage(plan.coalesce(1), "budgets")
     rank = F.md5(F.concat_ws(":", F.lit(seed), (F.col("__epochs") + 1).cast("string"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
     ranked = rows.join(plan, names).withColumn("__rank", rank).withColumn("__range", F.substring("__rank", 1, 3))
     sums = ranked.groupBy(*names, "__range", "__rest").agg(F.sum("__tokens").alias("__n"))
@@ -145,7 +150,7 @@ def mix(
         .groupBy(*names)
         .agg(F.min(F.struct("__range", (F.col("__upto") - F.col("__n")).alias("before"))).alias("__cut"))
     )
-    ranked = ranked.join(cut, names, "left")
+    ranked = ranked.join(stage(cut.coalesce(1), "cuts"), names, "left")
     takes = F.expr("__rest > 0 or __supply = 0")
     whole = F.coalesce(F.col("__range") < F.col("__cut.__range"), F.lit(True))
     inside = F.coalesce(F.col("__range") == F.col("__cut.__range"), F.lit(False))
