@@ -200,11 +200,21 @@ def unpack_parallel(**columns: Column) -> Column:
 
 def coordinate(c: Column) -> dict[str, Column]:
     """P-07: ``7:123-125`` to its parts, null in another form."""
-    pattern = r"^([0-9XYMT]+):(\d+)-(\d+)$"
-    ok = c.rlike(pattern)
-    part = lambda i: F.when(ok, F.regexp_extract(c, pattern, i))
+    halves = F.split(c, ":", -1)
+    ends = F.split(F.get(halves, F.lit(1)), "-", -1)
+    contig, start, stop = F.get(halves, F.lit(0)), F.get(ends, F.lit(0)), F.get(ends, F.lit(1))
+    digits = "^[0-9]+$"
+    # contigs are numbers or named by the letters of X, Y and MT
+    ok = (
+        (F.size(halves) == 2)
+        & (F.size(ends) == 2)
+        & (contig != "")
+        & (F.translate(contig, "0123456789XYMT", "") == "")
+        & start.rlike(digits)
+        & stop.rlike(digits)
+    )
     return {
-        "contig": part(1),
-        "start": part(2).try_cast("bigint"),
-        "stop": part(3).try_cast("bigint"),
+        "contig": F.when(ok, contig),
+        "start": F.when(ok, start).try_cast("bigint"),
+        "stop": F.when(ok, stop).try_cast("bigint"),
     }

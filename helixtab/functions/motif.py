@@ -44,6 +44,27 @@ def full_match(text: Column, motif: Column, classes: dict[str, str]) -> Column:
     return out
 
 
+def match_ranges(text: Column, pattern: str, found: Column) -> Column:
+    """First and last place of every match in ``found``, counted from 1.
+
+    The text between the matches, cut at the pattern, and the matches themselves add up to the text.
+    """
+    gaps = F.split(text, pattern, -1)
+    lengths = F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("g"), F.length(m).alias("m")))
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<array<int>>").alias("out"))
+
+    def step(done: Column, x: Column) -> Column:
+        at = done["at"] + x["g"]
+        return F.struct(
+            (at + F.coalesce(x["m"], F.lit(0))).alias("at"),
+            F.when(x["m"].isNull(), done["out"])
+            .otherwise(F.concat(done["out"], F.array(F.array(at, at + x["m"] - 1))))
+            .alias("out"),
+        )
+
+    return F.aggregate(lengths, start, step)["out"]
+
+
 def unpack_instances(ranges: Column, classes: Column, seqs: Column) -> Column:
     """F-38: parallel JSON cells to an array of instances; null when a cell or the lengths are bad."""
     r = F.from_json(ranges, "array<array<int>>")

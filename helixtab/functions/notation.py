@@ -30,7 +30,6 @@ DEFERRED_CLASSES = (
     "Nonstop extension",
 )
 SILENT_CLASSES = ("Substitution - coding silent",)
-NAME_PATTERN = r"^([A-Z]{2}_\d+\.\d+)\([^)]*\):.*?\(p\.([^)]+)\)"
 
 
 def residue_code(name: Column, selenocysteine: bool = True) -> Column:
@@ -42,11 +41,14 @@ def residue_code(name: Column, selenocysteine: bool = True) -> Column:
 
 def split_name(name: Column) -> tuple[Column, Column]:
     """F-08: accession and protein part of a full variant name, both null without a protein part."""
-    has = name.rlike(NAME_PATTERN)
-    return (
-        F.when(has, F.regexp_extract(name, NAME_PATTERN, 1)),
-        F.when(has, F.regexp_extract(name, NAME_PATTERN, 2)),
-    )
+    head = F.substring_index(name, "(", 1)
+    # what follows the gene in brackets and a colon, from the protein part on
+    rest = F.split(F.substring(name, F.length(head) + F.lit(1), F.length(name)), r"\):", 2)
+    protein = F.get(F.split(F.get(rest, F.lit(1)), r"\(p\.", 2), F.lit(1))
+    change = F.substring_index(protein, ")", 1)
+    has = head.rlike(r"^[A-Z][A-Z]_[0-9]+[.][0-9]+$") & protein.contains(")") & (change != "")
+    has = has & ~F.substring(F.get(rest, F.lit(0)), 2, 1_000_000).contains(")")
+    return F.when(has, head), F.when(has, change)
 
 
 def _int(c: Column) -> Column:
@@ -198,17 +200,20 @@ def mutation_id(accession: Column, gene: Column, wt: Column, position: Column, m
     )
 
 
-_ID_PATTERN = r"^([^|]+)\|([^|]+)\|([A-Z])(\d+)([A-Z])$"
-
-
 def parse_mutation_id(mutation: Column) -> dict[str, Column]:
     """F-14: the parts of a mutation id; all null when it has another form."""
-    ok = mutation.rlike(_ID_PATTERN)
-    part = lambda i: F.when(ok, F.regexp_extract(mutation, _ID_PATTERN, i))
+    parts = F.split(mutation, r"\|", -1)
+    change = F.get(parts, F.lit(2))
+    ok = (
+        (F.size(parts) == 3)
+        & (F.get(parts, F.lit(0)) != "")
+        & (F.get(parts, F.lit(1)) != "")
+        & change.rlike("^[A-Z][0-9]+[A-Z]$")
+    )
     return {
-        "accession": part(1),
-        "gene": part(2),
-        "wt_aa": part(3),
-        "position": part(4).try_cast("int"),
-        "mut_aa": part(5),
+        "accession": F.when(ok, F.get(parts, F.lit(0))),
+        "gene": F.when(ok, F.get(parts, F.lit(1))),
+        "wt_aa": F.when(ok, F.left(change, F.lit(1))),
+        "position": F.when(ok, F.regexp_replace(change, "[A-Z]", "")).try_cast("int"),
+        "mut_aa": F.when(ok, F.right(change, F.lit(1))),
     }

@@ -11,9 +11,8 @@ from helixtab.functions import terms
 from helixtab.functions.cells import id_term_entries, packed_items
 
 
-def any_word(text: Column, words: Sequence[str] | str) -> Column:
-    """Does the text contain one of the words (a list or one comma-separated string)?"""
-    words = words.split(",") if isinstance(words, str) else words
+def any_word(text: Column, words: Sequence[str]) -> Column:
+    """Does the text contain one of the words?"""
     hit = F.lit(False)
     for w in words:
         hit = hit | text.contains(w)
@@ -51,7 +50,7 @@ def gene_category(
         pseudo = F.rtrim(F.regexp_replace(F.upper(sym), ";+$", "")).endswith("P")
         pseudo_label, other = "Pseudogene (symbol ends in P)", "UNCLASSIFIED (potentially fixable)"
     else:
-        ig_words = f"{terms.IG_WORDS},{terms.IG_NAME_WORDS}"
+        ig_words = [*terms.IG_WORDS, *terms.IG_NAME_WORDS]
         pseudo = F.trim(both).endswith("p") & F.exists(
             F.split(sym, ";"), lambda g: g.endswith("P")
         )
@@ -107,7 +106,7 @@ def mismatch_category(
 
 def biotype_category(biotype: Column) -> Column:
     """F-18: category from an authoritative biotype."""
-    listed = lambda words: biotype.isin(*words.split())
+    listed = lambda words: biotype.isin(*words)
     return first_rule(
         [
             (listed(terms.IG_BIOTYPES), "Immunoglobulin gene segment"),
@@ -196,7 +195,7 @@ def with_prefix_classes(
 ) -> DataFrame:
     """F-23: per class, Y/N and the entries that start with one of its ids (of equal length)."""
     if classes is None:
-        classes = {c: ids.split() for c, ids in terms.RNA_CLASS_FUNCTION_IDS.items()}
+        classes = terms.RNA_CLASS_FUNCTION_IDS
 
     def matching(ids: Sequence[str]) -> Column:
         starts = lambda e: F.substr(e, F.lit(1), F.lit(len(ids[0]))).isin(*ids)
@@ -227,7 +226,7 @@ def gap_filled(
     otherwise ``BP``, ``Family`` or ``BP+Family`` for a filled class and an empty text for none.
     """
     if process_ids is None:
-        process_ids = {c: ids.split() for c, ids in terms.RNA_CLASS_PROCESS_IDS.items()}
+        process_ids = terms.RNA_CLASS_PROCESS_IDS
     families = terms.RNA_CLASS_FAMILIES if families is None else families
     any_class = F.lit(False)
     for c in classes:

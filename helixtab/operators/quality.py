@@ -74,21 +74,29 @@ def check_same_keys(tables: Mapping[str, DataFrame], key: str) -> None:
 def table_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Q-01, Q-14: differences of two versions of a table, in long form.
 
-    One full outer join and one aggregation give the row counts, the keys on one side only, and for
-    each shared column the number of differing cells with the sample of the lowest such key.
+    Each side is counted by key first.  One full outer join of the keys and one aggregation then give the
+    row counts, the rows of keys on one side only, the keys that repeat on either side, and for each shared column
+    the number of differing cells with the sample of the lowest such key.  Cells are compared for keys that
+    stand once on both sides.
     """
     shared = [c for c in old.columns if c in new.columns and c != key]
     added = [c for c in new.columns if c not in old.columns]
     lost = [c for c in old.columns if c not in new.columns]
-    o = old.select(F.col(key).alias("_k"), F.lit(True).alias("_o"), *[F.col(c).alias(f"o_{c}") for c in shared])
-    n = new.select(F.col(key).alias("_k"), F.lit(True).alias("_n"), *[F.col(c).alias(f"n_{c}") for c in shared])
-    both = o.join(n, "_k", "full_outer")
-    paired = F.col("_o") & F.col("_n")
+
+    def by_key(table: DataFrame, mark: str) -> DataFrame:
+        firsts = [F.first(c).alias(f"{mark}_{c}") for c in shared]
+        return table.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias(f"_{mark}"), *firsts)
+
+    both = by_key(old, "o").join(by_key(new, "n"), "_k", "full_outer")
+    paired = (F.col("_o") == 1) & (F.col("_n") == 1)
+    rows = lambda x: F.coalesce(F.sum(x), F.lit(0))
     aggs = [
-        F.count("_o").alias("rows_old"),
-        F.count("_n").alias("rows_new"),
-        F.count_if(F.col("_n").isNull()).alias("only_old"),
-        F.count_if(F.col("_o").isNull()).alias("only_new"),
+        rows("_o").alias("rows_old"),
+        rows("_n").alias("rows_new"),
+        rows(F.when(F.col("_n").isNull(), F.col("_o"))).alias("only_old"),
+        rows(F.when(F.col("_o").isNull(), F.col("_n"))).alias("only_new"),
+        F.count_if(F.col("_o") > 1).alias("repeated_old"),
+        F.count_if(F.col("_n") > 1).alias("repeated_new"),
     ]
     for c in shared:
         differs = paired & ~F.col(f"o_{c}").eqNullSafe(F.col(f"n_{c}"))
@@ -114,7 +122,7 @@ def table_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
         )
 
     none = F.lit("")
-    items = [item(c, F.col(c), none) for c in ("rows_old", "rows_new", "only_old", "only_new")]
+    items = [item(c, F.col(c), none) for c in ("rows_old", "rows_new", "only_old", "only_new", "repeated_old", "repeated_new")]
     items += [item(f"mismatch:{c}", F.col(f"d_{c}"), F.col(f"s_{c}")) for c in shared]
     items += [item("columns_added", F.lit(len(added)), F.lit(",".join(added)))]
     items += [item("columns_lost", F.lit(len(lost)), F.lit(",".join(lost)))]

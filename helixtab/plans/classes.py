@@ -18,15 +18,15 @@ _GENE_SYMBOLS = f"""CASE {_KIND} WHEN 4 THEN 'ABCP;XYZP' WHEN 5 THEN 'ABC-AS1' W
  WHEN 8 THEN 'TRBV' || CAST(p_size AS STRING) ELSE 'GENE' || CAST(p_size AS STRING) END"""
 
 
-def _any_sql(text: str, words: str) -> str:
-    return "(" + " OR ".join(f"contains({text}, '{w}')" for w in words.split(",")) + ")"
+def _any_sql(text: str, words: list[str]) -> str:
+    return "(" + " OR ".join(f"contains({text}, '{w}')" for w in words) + ")"
 
 
 _CATEGORY_SQL = f"""
 WITH g AS (SELECT p_partkey, p_size, {_GENE_NAME} AS nm, {_GENE_SYMBOLS} AS sy FROM part),
 b AS (SELECT *, lower(nm || ' ' || sy) AS txt FROM g),
 c AS (SELECT *, CASE WHEN {_any_sql('txt', terms.TCR_WORDS)} THEN 'TCR gene segment'
-  WHEN {_any_sql('txt', terms.IG_WORDS + ',' + terms.IG_NAME_WORDS)} THEN 'Immunoglobulin gene segment'
+  WHEN {_any_sql('txt', terms.IG_WORDS + terms.IG_NAME_WORDS)} THEN 'Immunoglobulin gene segment'
   WHEN trim(txt) LIKE '%p' AND NOT contains(txt, '-as1') AND len(list_filter(string_split(sy, ';'), lambda x: x LIKE '%P')) > 0 THEN 'Pseudogene (gene symbol ends in P)'
   WHEN {_any_sql('txt', terms.NONCODING_WORDS)} THEN 'Antisense/lncRNA/uncharacterized locus'
   WHEN contains(lower(sy), 'mt-') OR contains(txt, 'mitochondri') THEN 'Mitochondrial-encoded micropeptide'
@@ -86,9 +86,9 @@ _CC_NAMES = [f"{i}:{n}" for i, n in _CC] + [
     "GO:0005643:nuclear pore complex",
     "bad",
 ]
-_MF_IDS = [i for ids in terms.RNA_CLASS_FUNCTION_IDS.values() for i in ids.split()]
+_MF_IDS = [i for ids in terms.RNA_CLASS_FUNCTION_IDS.values() for i in ids]
 _MF_NAMES = [f"{i}:function {n}" for n, i in enumerate(_MF_IDS)] + [f"{terms.GENERAL_RNA_BINDING}:RNA binding"] * 20 + ["GO:0005515:protein binding"] * 8
-_BP_IDS = [i for ids in terms.RNA_CLASS_PROCESS_IDS.values() for i in ids.split()[:4]]
+_BP_IDS = [i for ids in terms.RNA_CLASS_PROCESS_IDS.values() for i in ids[:4]]
 _BP_NAMES = [f"{i}:process of mRNA {n}" for n, i in enumerate(_BP_IDS)] + ["GO:0008150:other tRNA step"] * 9
 _FAMILIES = [f for fs in terms.RNA_CLASS_FAMILIES.values() for f in fs] + ["Ring finger proteins"] * 5
 
@@ -158,7 +158,7 @@ _CLASSES = list(terms.RNA_CLASS_FUNCTION_IDS)
 
 def _flags_sql() -> str:
     cases = ", ".join(
-        f"list_filter(string_split(mf, ';'), lambda x: x <> '' AND list_contains({_sql_list(ids.split())}, left(x, 10))) AS h_{c}"
+        f"list_filter(string_split(mf, ';'), lambda x: x <> '' AND list_contains({_sql_list(ids)}, left(x, 10))) AS h_{c}"
         for c, ids in terms.RNA_CLASS_FUNCTION_IDS.items()
     )
     return f"""WITH m AS (SELECT {_MF_TEXT} AS mf, {_BP_TEXT} AS bp, {_FAM_TEXT} AS fam FROM lineitem), h AS (SELECT *, {cases} FROM m)"""
@@ -186,7 +186,7 @@ def _gap_sql() -> str:
     any_ = " OR ".join(f"len(h_{c}) > 0" for c in _CLASSES)
     cols, outs = [], []
     for c in _CLASSES:
-        ids = _sql_list(terms.RNA_CLASS_PROCESS_IDS[c].split())
+        ids = _sql_list(terms.RNA_CLASS_PROCESS_IDS[c])
         bp = f"len(list_filter(string_split(bp, ';'), lambda x: list_contains({ids}, left(x, 10)))) > 0"
         fams = terms.RNA_CLASS_FAMILIES.get(c, [])
         fam = "(" + " OR ".join(f"contains(fam, '{f}')" for f in fams) + ")" if fams else "false"

@@ -291,19 +291,19 @@ _SCORED = "AEHT"
 
 @query(
     f"""WITH w AS (SELECT doc_id, regexp_replace(text, '[^A-Za-z]', '', 'g') AS s0 FROM documents), u AS (SELECT doc_id, upper(s0) AS s FROM w)
-SELECT doc_id, CASE WHEN length(s) > 20000 THEN 'too_long' ELSE 'scored' END AS score_status, """
+SELECT doc_id, 'scored' AS score_status, """
     + ", ".join(
-        f"coalesce(round(CASE WHEN length(s) <= 20000 THEN CASE WHEN length(s) = 0 THEN 0.0 ELSE (length(s) - length(replace(s, '{x}', ''))) / length(s) END END, 9), -1.0) AS share_{x.lower()}"
+        f"coalesce(round(CASE WHEN length(s) = 0 THEN 0.0 ELSE (length(s) - length(replace(s, '{x}', ''))) / length(s) END, 9), -1.0) AS share_{x.lower()}"
         for x in _SCORED
     )
     + " FROM u"
 )
 def batch_score(t: Tables) -> DataFrame:
-    """X-01, T-07: every sequence scored once, in batches by length; over-long ones are marked."""
+    """X-01, T-07: every sequence scored once, whole, in batches by length."""
     letters = F.upper(F.regexp_replace("text", "[^A-Za-z]", ""))
     rows = spread(t.documents).select("doc_id", letters.alias("seq"))
     names = [f"share_{x.lower()}" for x in _SCORED]
-    out = scoring.score_sequences(rows, "doc_id", "seq", scoring.ResidueShare(_SCORED), names, max_len=20000)
+    out = scoring.score_sequences(rows, "doc_id", "seq", scoring.ResidueShare(_SCORED), names)
     return out.withColumns({n: F.coalesce(F.round(n, 9), F.lit(-1.0)) for n in names})
 
 

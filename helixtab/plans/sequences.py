@@ -302,8 +302,9 @@ _FULL_NAME = f"""CASE WHEN l_tax = 0 THEN 'NC_000001.11:g.' || {_P} || 'A>G'
 @query(
     f"WITH l AS (SELECT {_FULL_NAME} AS nm FROM lineitem)"
     + r"""
-SELECT coalesce(nullif(regexp_extract(nm, '^([A-Z]{2}_\d+\.\d+)\([^)]*\):.*?\(p\.([^)]+)\)', 1), ''), 'none') AS accession, count(*) AS n,
-  max(regexp_extract(nm, '^([A-Z]{2}_\d+\.\d+)\([^)]*\):.*?\(p\.([^)]+)\)', 2)) AS last_change FROM l GROUP BY 1"""
+SELECT accession, count(*) AS n, max(CASE WHEN accession <> 'none' THEN change ELSE '' END) AS last_change
+FROM (SELECT change, CASE WHEN regexp_full_match(head, '[A-Z]{2}_[0-9]+[.][0-9]+') AND change <> '' THEN head ELSE 'none' END AS accession
+  FROM (SELECT split_part(nm, '(', 1) AS head, CASE WHEN contains(split_part(nm, '(p.', 2), ')') THEN split_part(split_part(nm, '(p.', 2), ')', 1) ELSE '' END AS change FROM l)) GROUP BY 1"""
 )
 def variant_name_split(t: Tables) -> DataFrame:
     """F-08."""
@@ -411,12 +412,11 @@ _GOOD = {k: v for k, v in MOTIFS.items() if k != "BROKEN"}
 
 
 def motif_instances(t: Tables) -> DataFrame:
-    """Motif matches as the JSON cells of an annotation table, unpacked again."""
+    """All motif matches, each with its own place, as the JSON cells of an annotation table, unpacked again."""
     ranges, classes, seqs = [], [], []
     for name, pattern in [*_GOOD.items(), ("UNKNOWN", "W.")]:
-        found = F.array_distinct(F.regexp_extract_all("sequence", F.lit(pattern), 0))
-        at = lambda m: F.position(m, F.col("sequence"))
-        ranges.append(F.transform(found, lambda m: F.array(at(m), at(m) + F.length(m) - 1)))
+        found = F.regexp_extract_all("sequence", F.lit(pattern), 0)
+        ranges.append(motif.match_ranges(F.col("sequence"), pattern, found))
         classes.append(F.array_repeat(F.lit(name), F.size(found)))
         seqs.append(found)
     cells = proteins(t).select(
@@ -431,13 +431,14 @@ def motif_instances(t: Tables) -> DataFrame:
 
 def _instances_sql() -> str:
     parts = [
-        f"SELECT accession, s, '{n}' AS motif, unnest(list_distinct(regexp_extract_all(s, '{p}'))) AS m FROM w"
+        f"SELECT accession, '{n}' AS motif, regexp_extract_all(s, '{p}') AS ms, string_split_regex(s, '{p}') AS gaps FROM w"
         for n, p in _GOOD.items()
     ]
     cases = " ".join(f"WHEN '{n}' THEN NOT regexp_full_match(mm, '{p}')" for n, p in _GOOD.items())
     return f"""WITH w AS (SELECT item_id AS accession, {_RESIDUES} AS s FROM benchmark),
-i AS ({" UNION ALL ".join(parts)}),
-j AS (SELECT accession, motif, m, strpos(s, m) AS st FROM i),
+f AS ({" UNION ALL ".join(parts)}),
+i AS (SELECT *, unnest(range(1, len(ms) + 1)) AS nth FROM f),
+j AS (SELECT accession, motif, ms[nth] AS m, 1 + coalesce(length(array_to_string(gaps[1:nth], '')), 0) + coalesce(length(array_to_string(ms[1:nth - 1], '')), 0) AS st FROM i),
 o AS (SELECT *, unnest(range(1, length(m) + 1)) AS k FROM j),
 a AS (SELECT *, substr(m, k, 1) AS wt_aa, unnest(string_split('{",".join(_ONE)}', ',')) AS mut_aa FROM o),
 b AS (SELECT *, substr(m, 1, k - 1) || mut_aa || substr(m, k + 1) AS mm FROM a WHERE wt_aa <> mut_aa),

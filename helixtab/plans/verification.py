@@ -26,6 +26,8 @@ SELECT 'rows_old' AS "check", (SELECT count(*) FROM orders) AS n, '' AS has_samp
 UNION ALL SELECT 'rows_new', count(*), '' FROM n
 UNION ALL SELECT 'only_old', (SELECT count(*) FROM orders) - count(*), '' FROM n
 UNION ALL SELECT 'only_new', 0, ''
+UNION ALL SELECT 'repeated_old', (SELECT count(*) - count(DISTINCT o_orderkey) FROM orders), ''
+UNION ALL SELECT 'repeated_new', count(*) - count(DISTINCT o_orderkey), '' FROM n
 UNION ALL SELECT 'mismatch:o_custkey', 0, '' UNION ALL SELECT 'mismatch:o_orderstatus', 0, '' UNION ALL SELECT 'mismatch:o_orderpriority', 0, ''
 UNION ALL SELECT 'mismatch:o_totalprice', count(*), (SELECT k::VARCHAR FROM m) FROM d
 UNION ALL SELECT 'columns_added', 1, 'origin' UNION ALL SELECT 'columns_lost', 1, 'o_orderdate'"""
@@ -123,8 +125,10 @@ i AS (SELECT * FROM (VALUES (1)) AS v(x))
 SELECT 'order key unique' AS invariant, (SELECT count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)) AS n_violations
 UNION ALL SELECT 'line key unique', (SELECT count(*) FROM c WHERE n > 1)
 UNION ALL SELECT 'every line has an order', (SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders))
-UNION ALL SELECT 'copy equals original', 0
-UNION ALL SELECT 'outcomes add up', 0"""
+UNION ALL SELECT 'copy equals original', (SELECT count(*) FROM (SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+  EXCEPT ALL SELECT o_orderkey, o_custkey, o_totalprice FROM (SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders)))
+UNION ALL SELECT 'outcomes add up', (SELECT sum(n) FROM (SELECT CASE WHEN l_discount = 0 THEN 'free' WHEN l_tax = 0 THEN 'untaxed' ELSE 'plain' END AS o,
+  count(*) AS n FROM lineitem GROUP BY 1))::BIGINT - (SELECT count(*) FROM lineitem)"""
 )
 def invariant_checks(t: Tables) -> DataFrame:
     """Q-03, Q-06, Q-11, Q-14: violations per invariant."""
@@ -149,8 +153,11 @@ def invariant_checks(t: Tables) -> DataFrame:
 
 
 @query(
-    """WITH p AS (SELECT l_orderkey AS k, sum(l_quantity::DECIMAL(18,2))::DOUBLE AS a FROM lineitem GROUP BY 1)
-SELECT count(*) AS n_compared, count(CASE WHEN abs(a - a) < 0.001 THEN 1 END) AS n_agree, 0::BIGINT AS n_differ FROM p"""
+    """WITH p AS (SELECT l_orderkey AS k, sum(l_quantity::DECIMAL(18,2))::DOUBLE AS a FROM lineitem GROUP BY 1),
+f AS (SELECT l_orderkey AS k, l_returnflag, sum(l_quantity::DECIMAL(18,2)) AS q FROM lineitem GROUP BY 1, 2),
+g AS (SELECT k, sum(q)::DOUBLE AS b FROM f GROUP BY 1)
+SELECT count(*) AS n_compared, count(CASE WHEN abs(a - b) < 0.001 THEN 1 END) AS n_agree,
+  count(CASE WHEN abs(a - b) >= 0.001 THEN 1 END) AS n_differ FROM p JOIN g ON g.k = p.k"""
 )
 def reconcile_paths(t: Tables) -> DataFrame:
     """Q-08: totals summed from lines and from groups of lines."""

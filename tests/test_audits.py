@@ -102,9 +102,13 @@ def test_diff_and_guards(spark):
     got = {r.check: (r.n, r.sample) for r in quality.table_diff(old, new, "k").collect()}
     assert got == {
         "rows_old": (3, ""), "rows_new": (3, ""), "only_old": (1, ""), "only_new": (1, ""),
+        "repeated_old": (0, ""), "repeated_new": (0, ""),
         "mismatch:v": (1, "2: b -> B"), "mismatch:w": (1, "1: x -> n"),
         "columns_added": (1, "extra"), "columns_lost": (0, ""),
     }
+    twice = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
+    got = {r.check: r.n for r in quality.table_diff(twice, twice, "k").collect()}
+    assert (got["rows_old"], got["rows_new"], got["repeated_old"], got["mismatch:v"]) == (3, 3, 1, 0)
     with pytest.raises(quality.QualityError):
         quality.check_diff_clean(quality.table_diff(old, new, "k"))
     quality.check_diff_clean(quality.table_diff(old, old.withColumn("e", F.lit(1)), "k"))

@@ -43,3 +43,11 @@ def test_disruption_against_model(spark):
                     hit = re.fullmatch(CLASSES[name], seq[:i] + a + seq[i + 1 :])
                     want[("P1", name, start + i, wt, a)] = hit is None
     assert got == want
+
+
+def test_every_match_has_its_own_place(spark):
+    """Equal matches at several places are all listed."""
+    df = spark.createDataFrame([("AXTIAXTI-AXTI",), ("none",), ("",), (None,)], "s string")
+    found = F.regexp_extract_all("s", F.lit("A.[TI]."), 0)
+    out = df.select(motif.match_ranges(F.col("s"), "A.[TI].", found).alias("r")).collect()
+    assert [r.r for r in out] == [[[1, 4], [5, 8], [10, 13]], [], [], None]
