@@ -307,14 +307,31 @@ def batch_score(t: Tables) -> DataFrame:
     return out.withColumns({n: F.coalesce(F.round(n, 9), F.lit(-1.0)) for n in names})
 
 
-@query()
+def _runs_sql(table: str, key: str) -> str:
+    return f"""SELECT DISTINCT {key}, array_to_string(w[k:k + 4], ' ') AS run FROM (SELECT {key}, w, unnest(range(1, len(w) - 3)) AS k
+  FROM (SELECT {key}, list_filter(string_split_regex(text, '[ \n\t\r]+'), lambda x: x <> '') AS w FROM {table}))"""
+
+
+@query(
+    f"""WITH a AS ({_runs_sql("benchmark", "item_id")}), b AS ({_runs_sql("documents", "doc_id")}),
+n AS (SELECT item_id, count(*) AS n FROM a GROUP BY 1), p AS (SELECT item_id, doc_id, count(*) AS m FROM a JOIN b USING (run) GROUP BY 1, 2)
+SELECT item_id, doc_id, round(m / n, 4) AS matching_share FROM p JOIN n USING (item_id)"""
+)
 def similar_pairs(t: Tables) -> DataFrame:
-    """F-42, X-02: how much of one whole text is found in the next one of the table."""
-    a = t.benchmark.select(F.col("item_id").alias("a_id"), F.col("text").alias("a_text"))
-    b = t.benchmark.select(F.col("item_id").alias("b_id"), F.col("text").alias("b_text"))
-    pairs = a.join(b, F.col("b_id") == F.col("a_id") + 1)
-    out = scoring.similarity(pairs, "a_text", "b_text")
-    return out.select("a_id", "b_id", F.round("matching_share", 4).alias("matching_share"))
+    """F-42, X-02: how much of one whole text, in runs of five words, is found in each text that shares any."""
+
+    def runs(table: DataFrame, key: str) -> DataFrame:
+        words = F.filter(F.split("text", "[ \n\t\r]+"), lambda x: x != "")
+        starts = F.when(F.size("w") >= 5, F.sequence(F.lit(1), F.size("w") - 4))
+        rows = table.select(key, words.alias("w")).select(key, "w", F.explode(starts).alias("k"))
+        return rows.select(key, F.array_join(F.slice("w", F.col("k"), F.lit(5)), " ").alias("run")).distinct()
+
+    items = runs(t.benchmark, "item_id")
+    sizes = items.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+    shared = items.join(runs(t.documents, "doc_id"), "run").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("m"))
+    return shared.join(sizes, "item_id").select(
+        "item_id", "doc_id", F.round(F.col("m") / F.col("n"), 4).alias("matching_share")
+    )
 
 
 @query(

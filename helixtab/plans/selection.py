@@ -100,8 +100,7 @@ def best_per_group(t: Tables) -> DataFrame:
 
 @query(
     """WITH x AS (
-  SELECT o_custkey, o_orderkey, CASE o_orderstatus WHEN 'O' THEN o_custkey || '-1' ELSE o_custkey || '-2' END AS tag FROM orders
-  WHERE o_totalprice > 300000),
+  SELECT o_custkey, o_orderkey, CASE o_orderstatus WHEN 'O' THEN o_custkey || '-1' ELSE o_custkey || '-2' END AS tag FROM orders),
 p AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY (tag = o_custkey || '-1') DESC, o_orderkey) AS r FROM x)
 SELECT c_custkey AS o_custkey, coalesce(o_orderkey, -1) AS o_orderkey,
        CASE WHEN p.tag IS NULL THEN 'no_ensembl_xref' WHEN p.tag = c_custkey || '-1' THEN 'canonical_isoform_match'
@@ -111,7 +110,7 @@ FROM customer LEFT JOIN p ON p.o_custkey = c_custkey AND r = 1"""
 def tagged_pick(t: Tables) -> DataFrame:
     """W-05."""
     end = F.when(F.col("o_orderstatus") == "O", "-1").otherwise("-2")
-    refs = t.orders.where("o_totalprice > 300000").select(
+    refs = t.orders.select(
         "o_custkey",
         "o_orderkey",
         F.col("o_orderkey").alias("ord"),
