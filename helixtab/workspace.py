@@ -28,6 +28,7 @@ def build_session(app: str = "helixtab", cores: int | str = "*") -> SparkSession
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", os.environ.get("HELIXTAB_SHUFFLE", "8"))
         .config("spark.driver.memory", os.environ.get("HELIXTAB_DRIVER_MEM", "12g"))
+        .config("spark.checkpoint.dir", os.environ.get("HELIXTAB_WORK") or tempfile.mkdtemp(prefix="helixtab-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -37,8 +38,9 @@ def build_session(app: str = "helixtab", cores: int | str = "*") -> SparkSession
 def work_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
-    It is the folder the session names in ``spark.checkpoint.dir``.  Only a local session, where
-    driver and executors share one disk, may fall back to a fresh temporary folder.
+    It is the folder the session names in ``spark.checkpoint.dir``; ``build_session`` names one.  Only a
+    foreign local session without the setting, where driver and executors share one disk, gets a fresh
+    temporary folder; a cluster session raises.
     """
     root = spark.conf.get(_CHECKPOINT_CONF, None)
     if root:
