@@ -20,8 +20,8 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
 LONGEST_KEPT = 64
-MOST_KEPT = 1_200_000
-BATCH_BYTES = 16 << 20
+MOST_KEPT = 400_000
+BATCH_BYTES = 4 << 20
 
 SPACE, LETTER, MARK, LEAD, OTHER = 1, 2, 3, 4, 0
 
@@ -112,9 +112,10 @@ class Encoder:
         if None in ids:
             new = self._new([p for p, x in zip(pieces, ids) if x is None])
             ids = [new[p] if x is None else x for p, x in zip(pieces, ids)]
-            if len(self.kept) > MOST_KEPT:
-                self.kept = {}
             self.kept.update((p, x) for p, x in new.items() if len(p) <= LONGEST_KEPT)
+            if len(self.kept) > MOST_KEPT:
+                # those of the present batch hold most of the pieces that come again
+                self.kept = {p: x for p, x in zip(pieces, ids) if len(p) <= LONGEST_KEPT}
         return ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
