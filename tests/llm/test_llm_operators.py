@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -16,7 +17,7 @@ from cases import nothing, ugly, ugly_rows  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from helixtab.llm import ann, deepshallow, exactdup, linealign, mixing, neardup, packing  # noqa: E402
-from helixtab.llm import sharding, substrings, token_store, toxicity  # noqa: E402
+from helixtab.llm import sharding, substrings, token_store, tokens, toxicity  # noqa: E402
 from helixtab.llm.common import new_folder  # noqa: E402
 from helixtab.llm.tokens import encoder  # noqa: E402
 
@@ -39,6 +40,20 @@ def order_key(row):
 # --- tokens -----------------------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("most_kept", [0, 3, 1000])
+def test_ids_with_few_kept_pieces(monkeypatch, most_kept):
+    monkeypatch.setattr(tokens, "MOST_KEPT", most_kept)
+    own = tokens.Encoder(tokens.vocabulary_path())
+    texts = ["", "one two three", "two,three  four\n", "naïve Größe one", "x" * 100 + " one two", "one two three"]
+    want = [own.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in range(3):
+        for part in (texts[:2], texts[2:], texts):
+            ids, bounds = own.encode(pa.array(part))
+            got = [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+            assert got == [want[texts.index(t)] for t in part]
+        assert len(own.kept) <= max(most_kept, 30)
+
+
 def test_store(spark):
     path = new_folder(spark, "store")
     token_store.write_store(ugly(spark), path, shard_ids=500)
