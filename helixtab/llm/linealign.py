@@ -1,14 +1,15 @@
 """Line de-duplication by pairwise alignment.
 
-Documents that overlap are found through the rare lines they share: each distinct text takes its
-``anchors`` rarest lines among those that other texts have too, and meets, for each of them, the earliest text
-with that line.  So a line of any frequency gives at most one partner to a text, and a text whose
-lines are all frequent still meets partners.  Each pair is aligned by patience diff over line hashes;
-common blocks of the alignment that are long enough are deleted from the later text.  Identical
+Documents that overlap are found through the runs of adjacent lines they share: a text meets, for each of
+its shortest runs that are long enough to be deleted, the earliest text with that run.  Such runs cover every block
+that is long enough, so no repeated block lies beside all of a text's partners, and a run of any
+frequency gives at most one partner to a text.  Each pair is aligned by patience diff over line hashes;
+common blocks of the alignment that are long enough are deleted from the later text.  What two texts share in
+another order isn't all aligned.  Identical
 texts are one text for this: every later copy is deleted whole, and the rest is aligned once.
 
 "Later" is by (smallest id of the text, digest); lines are parts between line feeds, compared without
-surrounding white space; blank lines are never anchors but may lie within a block.
+surrounding white space; blank lines alone are never followed but may lie within a block.
 
 Defined results: a null text has no lines and stays null; an empty text keeps its one empty line;
 of rows equal in id and text one stays and the others are copies; null ids come after all others; an empty table gives an empty table; other columns aren't read.
@@ -19,6 +20,7 @@ from __future__ import annotations
 import bisect
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -28,10 +30,9 @@ from pyspark.sql import functions as F
 
 from .common import discard, stage
 
-ANCHORS = 8
 LEAST_LINES = 2
 LEAST_BYTES = 40
-LINES = "hashes array<long>, sizes array<int>"
+LINES = "hashes array<long>, sizes array<int>, widths array<int>"
 LEFT = "kept_text string, n_lines int, n_removed int"
 
 
@@ -108,12 +109,60 @@ def line_hash(line: str) -> int:
 
 
 def _lines(texts: pd.Series) -> pd.DataFrame:
-    hashes, sizes = [], []
+    hashes, sizes, widths = [], [], []
     for text in texts:
         lines = split_lines(text) if text is not None else []
         hashes.append([line_hash(x) for x in lines])
         sizes.append([len(x.encode()) for x in lines])
-    return pd.DataFrame({"hashes": hashes, "sizes": sizes})
+        widths.append([len(x.strip().encode()) for x in lines])
+    return pd.DataFrame({"hashes": hashes, "sizes": sizes, "widths": widths})
+
+
+def runs(widths: list[int], least_lines: int, least_bytes: int) -> set[tuple[int, int]]:
+    """(start, end) of the shortest runs of lines that are long enough, from each start and to each end.
+
+    Widths are bytes without surrounding white space, so equal lines have the same runs in all texts.
+    Any block that is long enough is the union of such runs.  Runs of ``least_lines`` lines that reach
+    ``least_bytes`` by white space at most are among them too, unless they are blank.
+    """
+    n = len(widths)
+    upto = [0, *accumulate(widths)]
+
+    def enough(i: int, j: int) -> bool:
+        size = upto[j] - upto[i]
+        return size > 0 and j - i >= least_lines and size >= least_bytes
+
+    out = set()
+    j = 0
+    for i in range(n):
+        while j <= n and not (j > i and enough(i, j)):
+            j += 1
+        if j > n:
+            break
+        out.add((i, j))
+    i = 0
+    for j in range(1, n + 1):
+        if enough(i, j):
+            while enough(i + 1, j):
+                i += 1
+            out.add((i, j))
+    for i in range(n - least_lines + 1):
+        j = i + least_lines
+        if upto[j] > upto[i] and not enough(i, j):
+            out.add((i, j))
+    return out
+
+
+def _run_keys(least_lines: int, least_bytes: int):
+    def keys(hashes: pd.Series, widths: pd.Series) -> pd.Series:
+        out = []
+        for h, w in zip(hashes, widths):
+            h = np.asarray(h, np.int64)
+            spans = runs([int(x) for x in w], least_lines, least_bytes)
+            out.append(list({xxhash.xxh64_intdigest(h[i:j].tobytes()) - (1 << 63) for i, j in spans}))
+        return pd.Series(out, dtype=object)
+
+    return F.pandas_udf(keys, "array<long>")
 
 
 def _blocks(least_lines: int, least_bytes: int):
@@ -137,7 +186,6 @@ def _key(digest: Column, ident: Column) -> Column:
 
 def aligned_lines(
     docs: DataFrame,
-    anchors: int = ANCHORS,
     least_lines: int = LEAST_LINES,
     least_bytes: int = LEAST_BYTES,
     id_col: str = "doc_id",
@@ -160,20 +208,17 @@ def aligned_lines(
         base.withColumn("key", _key(F.col("digest"), F.col("doc_id")))
         .join(first.select(_key(F.col("digest"), F.col("age.doc_id")).alias("key"), "age"), "key")
         .dropDuplicates(["key"])
-        .select("digest", "age", "hashes", "sizes"),
+        .select("digest", "age", "hashes", "sizes", "widths"),
         "distinct",
     )
-    lines = stage(
-        texts.select("digest", "age", F.explode(F.array_distinct("hashes")).alias("line")).where("line <> 0"), "anchors"
-    )
-    shared = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min("age").alias("leader")).where("n > 1")
-    # a line leads to its earliest text; the rarest lines of a text come first
-    met = lines.join(shared, "line").where(F.col("leader.digest") != F.col("digest"))
-    rank = F.row_number().over(Window.partitionBy("digest").orderBy("n", "line"))
+    keys = _run_keys(least_lines, least_bytes)(F.col("hashes"), F.col("widths"))
+    lines = stage(texts.select("age", F.explode(keys).alias("run")), "runs")
+    # a run leads to its earliest text
+    shared = lines.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("age").alias("leader")).where("n > 1")
     partners = (
-        met.withColumn("rank", rank)
-        .where(F.col("rank") <= anchors)
-        .select("digest", F.col("leader.digest").alias("partner"))
+        lines.join(shared.drop("n"), "run")
+        .where(F.col("leader.digest") != F.col("age.digest"))
+        .select(F.col("age.digest").alias("digest"), F.col("leader.digest").alias("partner"))
         .distinct()
     )
     early = texts.select(F.col("digest").alias("partner"), F.col("hashes").alias("early"))
@@ -214,14 +259,13 @@ def _without(texts: pd.Series, copies: pd.Series, gone: pd.Series) -> pd.DataFra
 
 def drop_aligned_lines(
     docs: DataFrame,
-    anchors: int = ANCHORS,
     least_lines: int = LEAST_LINES,
     least_bytes: int = LEAST_BYTES,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, copy, n_lines, n_removed, kept_text (what is left of the text)."""
-    plan = aligned_lines(docs, anchors, least_lines, least_bytes, id_col, text_col)
+    plan = aligned_lines(docs, least_lines, least_bytes, id_col, text_col)
     own = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).alias("text"),

@@ -278,6 +278,41 @@ def test_lines(spark):
     assert linealign.drop_aligned_lines(nothing(spark)).count() == 0
 
 
+def left_lines(spark, texts):
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.kept_text for r in linealign.drop_aligned_lines(table).orderBy("doc_id").collect()]
+
+
+def test_lines_of_many_earlier_texts(spark):
+    """A text that repeats passages of a dozen others, and blocks whose parts stand in still earlier texts."""
+    passages = ["\n".join(f"passage {p} has its own line, number {k}" for k in range(10)) for p in range(12)]
+    whole = "\n".join(f"{p}\nan own line after passage {k}" for k, p in enumerate(passages))
+    got = left_lines(spark, [*passages, whole])
+    assert got == [*passages, "\n".join(f"an own line after passage {k}" for k in range(12))]
+    lines = [f"a line of the block with number {k}" for k in range(4)]
+    alone = [f"text {k}\n{x}\nthe end of {k}" for k, x in enumerate(lines)]
+    got = left_lines(spark, [*alone, "b\n" + "\n".join(lines) + "\nb end", "c\n" + "\n".join(lines) + "\nc end"])
+    assert got == [*alone, "b\n" + "\n".join(lines) + "\nb end", "c\nc end"]
+    # two lines of this block are too short to be deleted, the whole is not
+    short = [f"fifteen bytes {k}" for k in range(4)]
+    parts = [f"text {k}\n{short[k]}\n{short[k + 1]}\nthe end of {k}" for k in range(3)]
+    got = left_lines(spark, [*parts, "b\n" + "\n".join(short) + "\nb end", "c\n" + "\n".join(short) + "\nc end"])
+    assert got == [*parts, "b\n" + "\n".join(short) + "\nb end", "c\nc end"]
+
+
+def test_runs_cover_each_block():
+    random = np.random.default_rng(5)
+    for _ in range(300):
+        widths = random.choice([0, 3, 15, 30, 60], random.integers(1, 12)).tolist()
+        least = int(random.integers(1, 4))
+        spans = linealign.runs(widths, least, 40)
+        for i in range(len(widths)):
+            for j in range(i + least, len(widths) + 1):
+                if sum(widths[i:j]) >= 40:
+                    inside = [s for s in spans if i <= s[0] and s[1] <= j and sum(widths[s[0] : s[1]]) >= 40]
+                    assert {x for a, b in inside for x in range(a, b)} == set(range(i, j))
+
+
 # --- choice and layout ------------------------------------------------------------------------
 
 
