@@ -4,7 +4,8 @@ Documents that overlap are found through the runs of adjacent lines they share:
 its shortest runs that are long enough to be deleted, the earliest text with that run.  Such runs cover every block
 that is long enough, so no repeated block lies beside all of a text's partners, and a run of any
 frequency gives at most one partner to a text.  Each pair is aligned by patience diff over line hashes;
-common blocks of the alignment that are long enough are deleted from the later text.  What two texts share in
+common blocks of the alignment that are long enough are deleted from the later text: ``least_lines`` lines
+of ``least_bytes`` in all, or ``lone_bytes`` in however few lines, so that a paragraph of one line counts.  What two texts share in
 another order isn't all aligned.  Identical
 texts are one text for this: every later copy is deleted whole, and the rest is aligned once.
 
@@ -32,6 +33,8 @@ from .common import discard, stage
 
 LEAST_LINES = 2
 LEAST_BYTES = 40
+#: Bytes of a block that counts with fewer lines; a line of more than 50 words has at least so many.
+LONE_BYTES = 100
 LINES = "hashes array<long>, sizes array<int>, widths array<int>"
 LEFT = "kept_text string, n_lines int, n_removed int"
 
@@ -118,7 +121,11 @@ def _lines(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"hashes": hashes, "sizes": sizes, "widths": widths})
 
 
-def runs(widths: list[int], least_lines: int, least_bytes: int) -> set[tuple[int, int]]:
+def long_enough(lines: int, size: int, least_lines: int, least_bytes: int, lone_bytes: int) -> bool:
+    return (lines >= least_lines and size >= least_bytes) or size >= lone_bytes
+
+
+def runs(widths: list[int], least_lines: int, least_bytes: int, lone_bytes: int = LONE_BYTES) -> set[tuple[int, int]]:
     """(start, end) of the shortest runs of lines that are long enough, from each start and to each end.
 
     Widths are bytes without surrounding white space, so equal lines have the same runs in all texts.
@@ -130,7 +137,7 @@ def runs(widths: list[int], least_lines: int, least_bytes: int) -> set[tuple[int
 
     def enough(i: int, j: int) -> bool:
         size = upto[j] - upto[i]
-        return size > 0 and j - i >= least_lines and size >= least_bytes
+        return size > 0 and long_enough(j - i, size, least_lines, least_bytes, lone_bytes)
 
     out = set()
     j = 0
@@ -143,7 +150,7 @@ def runs(widths: list[int], least_lines: int, least_bytes: int) -> set[tuple[int
     i = 0
     for j in range(1, n + 1):
         if enough(i, j):
-            while enough(i + 1, j):
+            while i + 1 < j and enough(i + 1, j):
                 i += 1
             out.add((i, j))
     for i in range(n - least_lines + 1):
@@ -153,25 +160,25 @@ def runs(widths: list[int], least_lines: int, least_bytes: int) -> set[tuple[int
     return out
 
 
-def _run_keys(least_lines: int, least_bytes: int):
+def _run_keys(least_lines: int, least_bytes: int, lone_bytes: int):
     def keys(hashes: pd.Series, widths: pd.Series) -> pd.Series:
         out = []
         for h, w in zip(hashes, widths):
             h = np.asarray(h, np.int64)
-            spans = runs([int(x) for x in w], least_lines, least_bytes)
+            spans = runs([int(x) for x in w], least_lines, least_bytes, lone_bytes)
             out.append(list({xxhash.xxh64_intdigest(h[i:j].tobytes()) - (1 << 63) for i, j in spans}))
         return pd.Series(out, dtype=object)
 
     return F.pandas_udf(keys, "array<long>")
 
 
-def _blocks(least_lines: int, least_bytes: int):
+def _blocks(least_lines: int, least_bytes: int, lone_bytes: int):
     def find(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             out: dict[str, list] = {"digest": [], "first": [], "lines": []}
             for digest, early, late, sizes in zip(part["digest"], part["early"], part["hashes"], part["sizes"]):
                 for _, start, n in align(list(early), list(late)):
-                    if n >= least_lines and int(np.sum(sizes[start : start + n])) >= least_bytes:
+                    if long_enough(n, int(np.sum(sizes[start : start + n])), least_lines, least_bytes, lone_bytes):
                         out["digest"].append(digest)
                         out["first"].append(start)
                         out["lines"].append(n)
@@ -188,6 +195,7 @@ def aligned_lines(
     docs: DataFrame,
     least_lines: int = LEAST_LINES,
     least_bytes: int = LEAST_BYTES,
+    lone_bytes: int = LONE_BYTES,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -211,7 +219,7 @@ def aligned_lines(
         .select("digest", "age", "hashes", "sizes", "widths"),
         "distinct",
     )
-    keys = _run_keys(least_lines, least_bytes)(F.col("hashes"), F.col("widths"))
+    keys = _run_keys(least_lines, least_bytes, lone_bytes)(F.col("hashes"), F.col("widths"))
     lines = stage(texts.select("age", F.explode(keys).alias("run")), "runs")
     # a run leads to its earliest text
     shared = lines.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("age").alias("leader")).where("n > 1")
@@ -226,7 +234,7 @@ def aligned_lines(
         partners.join(early, "partner")
         .join(texts.select("digest", "hashes", "sizes"), "digest")
         .select("digest", "early", "hashes", "sizes")
-        .mapInPandas(_blocks(least_lines, least_bytes), "digest binary, first int, lines int")
+        .mapInPandas(_blocks(least_lines, least_bytes, lone_bytes), "digest binary, first int, lines int")
     )
     numbers = F.flatten(F.collect_list(F.sequence("first", F.col("first") + F.col("lines") - 1)))
     gone = found.groupBy("digest").agg(F.array_sort(F.array_distinct(numbers)).alias("gone"))
@@ -261,11 +269,12 @@ def drop_aligned_lines(
     docs: DataFrame,
     least_lines: int = LEAST_LINES,
     least_bytes: int = LEAST_BYTES,
+    lone_bytes: int = LONE_BYTES,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, copy, n_lines, n_removed, kept_text (what is left of the text)."""
-    plan = aligned_lines(docs, least_lines, least_bytes, id_col, text_col)
+    plan = aligned_lines(docs, least_lines, least_bytes, lone_bytes, id_col, text_col)
     own = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).alias("text"),

@@ -300,16 +300,29 @@ def test_lines_of_many_earlier_texts(spark):
     assert got == [*parts, "b\n" + "\n".join(short) + "\nb end", "c\nc end"]
 
 
+def test_lines_that_stand_alone(spark):
+    """A passage of over 50 words in one line goes, in whichever texts it stands; a short line stays."""
+    words = " ".join(f"w{k}" for k in range(51))
+    least = " ".join("abcdefghijklmnopqrstuvwxyz"[k % 26] for k in range(51))
+    texts = [f"first {k}\n{x}\nlast {k}" for k, x in enumerate((words, least, words, least, "just a short line of six", "just a short line of six"))]
+    got = left_lines(spark, [*texts, f"both\n{words}\nbetween\n{least}\nends"])
+    assert got == [*texts[:2], "first 2\nlast 2", "first 3\nlast 3", *texts[4:], "both\nbetween\nends"]
+
+
 def test_runs_cover_each_block():
     random = np.random.default_rng(5)
     for _ in range(300):
-        widths = random.choice([0, 3, 15, 30, 60], random.integers(1, 12)).tolist()
+        widths = random.choice([0, 3, 15, 30, 60, 120], random.integers(1, 12)).tolist()
         least = int(random.integers(1, 4))
+
+        def enough(i, j):
+            return (j - i >= least and sum(widths[i:j]) >= 40) or sum(widths[i:j]) >= 100
+
         spans = linealign.runs(widths, least, 40)
         for i in range(len(widths)):
-            for j in range(i + least, len(widths) + 1):
-                if sum(widths[i:j]) >= 40:
-                    inside = [s for s in spans if i <= s[0] and s[1] <= j and sum(widths[s[0] : s[1]]) >= 40]
+            for j in range(i + 1, len(widths) + 1):
+                if enough(i, j):
+                    inside = [s for s in spans if i <= s[0] and s[1] <= j and enough(*s)]
                     assert {x for a, b in inside for x in range(a, b)} == set(range(i, j))
 
 
