@@ -7,6 +7,8 @@ the text as a whole.  Pieces repeat far more often than texts: the pieces of a b
 dictionary-encoded, only distinct ones reach the tokenizer, and each worker keeps what it has met.
 Cuts are made only beside characters whose class is known here (ASCII and the letters of Latin-1);
 everything else stays inside longer pieces.
+
+The file's added tokens are matched before the pattern, so a text that holds one is encoded as it is.
 """
 
 from __future__ import annotations
@@ -84,8 +86,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype(dtype)
         if self.tokenizer.get_vocab_size() > np.iinfo(self.dtype).max + 1:
             raise ValueError(f"ids of {vocabulary} don't fit {dtype}")
@@ -121,6 +123,21 @@ class Encoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``texts`` without nulls.  Text k has the ids ``ids[bounds[k]:bounds[k + 1]]``."""
         texts = texts.cast(pa.large_binary())
+        whole = np.zeros(len(texts), bool)
+        for content in self.added:
+            whole |= pa.compute.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return self._cut_and_encode(texts)
+        ids, bounds = self._cut_and_encode(pa.compute.if_else(pa.array(whole), pa.scalar(b"", pa.large_binary()), texts))
+        parts = [
+            np.array(self.tokenizer.encode(texts[k].as_py().decode(), add_special_tokens=False).ids, self.dtype)
+            if whole[k]
+            else ids[bounds[k] : bounds[k + 1]]
+            for k in range(len(texts))
+        ]
+        return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(x) for x in parts]))).astype(np.int64)
+
+    def _cut_and_encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         first, last = int(offsets[0]), int(offsets[-1])
         if first == last:

@@ -54,6 +54,20 @@ def test_ids_with_few_kept_pieces(monkeypatch, most_kept):
         assert len(own.kept) <= max(most_kept, 30)
 
 
+def test_ids_of_texts_with_added_tokens():
+    """Those of the vocabulary file as it is, also where a text holds one of its added tokens."""
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokens.vocabulary_path())
+    texts = ["one<|endoftext|>two", "no such token", "", "<|endoftext|>", "a <|endoftext|> b, c<|endoftext|>", "<|endoftext", "|> end"]
+    own = tokens.Encoder(tokens.vocabulary_path())
+    for _ in range(2):
+        for part in (texts, texts[3:5], texts[1:3], texts[3:4]):
+            ids, bounds = own.encode(pa.array(part))
+            assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [plain.encode(t, add_special_tokens=False).ids for t in part]
+    assert own.encode(pa.array(texts[:1]))[0].tolist() == [505, 50256, 11545]
+
+
 def test_store(spark):
     path = new_folder(spark, "store")
     token_store.write_store(ugly(spark), path, shard_ids=500)
