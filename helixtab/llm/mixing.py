@@ -21,10 +21,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage
+from .tokens import encoded
 
 TREE = ("domain", "lang", "source")
 #: Weight of a child at each level; children not named have the weight under None.
@@ -49,6 +52,18 @@ def token_estimate(text: Column) -> Column:
     return F.coalesce(F.floor((F.octet_length(text) + 3) / 4), F.lit(0)).cast("long")
 
 
+def token_count(text: Column, vocabulary: str | None = None) -> Column:
+    """Ids of the text by the vocabulary; for a column to be staged, as ``mix`` reads it several times."""
+
+    def count(texts: pa.Array) -> pa.Array:
+        n = np.zeros(len(texts), np.int64)
+        for row, ids in encoded(pa.RecordBatch.from_arrays([texts], ["text"]), "text", vocabulary):
+            n[row] = len(ids)
+        return pa.array(n)
+
+    return F.arrow_udf(count, "long")(text)
+
+
 def _weight(level: str, weights: Mapping[str, Mapping[str | None, int]]) -> Column:
     named = weights.get(level, {})
     out = F.lit(named.get(None, 1))

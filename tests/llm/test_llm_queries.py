@@ -29,6 +29,32 @@ def test_ten_queries():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
 
 
+def test_pipeline_mixes_by_tokens(spark, monkeypatch):
+    """Budgets are tokens of the vocabulary, not bytes: both languages have the same bytes, one twice the tokens."""
+    from tokenizers import Tokenizer
+
+    from helixtab.llm import mixing, tokens
+
+    plain = Tokenizer.from_file(tokens.vocabulary_path())
+    texts = [("en", f"the house of the people {k:05d} and the water") for k in range(60)]
+    texts += [("fr", f"q0z x9w 7kj v3b 8hg zzq {k:05d} jx k2w 0p4 3v") for k in range(60)] + [("en", None), ("fr", "a<|endoftext|>b")]
+    docs = spark.createDataFrame([(k, t, lang, "src0") for k, (lang, t) in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    seen = []
+    mix = mixing.mix
+    monkeypatch.setattr(mixing, "mix", lambda *a, **b: seen.append(mix(*a, **b)) or seen[-1])
+    corpus_pipeline.mixed(spark, docs, "").count()
+    rows = seen[0].collect()
+    want = {k: len(plain.encode(t or "", add_special_tokens=False).ids) for k, (_, t) in enumerate(texts)}
+    assert {r.doc_id: r["__tokens"] for r in rows} == want
+    # the mix's budget is 80 % of these tokens, 5:2 between the languages as far as their supplies reach
+    supply = {x: sum(want[k] for k, (lang, _) in enumerate(texts) if lang == x) for x in ("en", "fr")}
+    share = {"en": min(2 * supply["en"], sum(want.values()) * 8 // 10 * 50 // 70)}
+    share["fr"] = sum(want.values()) * 8 // 10 - share["en"]
+    for lang in share:
+        used = sum(want[r.doc_id] * r["__copies"] for r in rows if r.lang == lang)
+        assert share[lang] - max(want.values()) - 1 <= used <= share[lang] + 1
+
+
 @pytest.mark.parametrize("table", [ugly, nothing])
 def test_pipeline(spark, table):
     folder = new_folder(spark, "tables")
