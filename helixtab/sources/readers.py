@@ -63,24 +63,32 @@ def clean_headers(df: DataFrame, strip: str = "#") -> DataFrame:
     return df.toDF(*[c.lstrip(strip) for c in df.columns])
 
 
-def read_after_preamble(
-    spark: SparkSession, path: str, header_start: str, sep: str = "\t", look_at: int = 1000
-) -> DataFrame:
-    """S-06: a table whose header is the first line that starts with a known token.
+def read_after_preamble(spark: SparkSession, path: str | list[str], header_start: str, sep: str = "\t") -> DataFrame:
+    """S-06: a table whose header is, in each file, the first line that starts with a known token.
 
-    Only the first lines, where the header must be, are looked at by the driver.
+    Headers are found by an aggregate over all lines; the driver sees the distinct ones.  Files whose
+    columns differ are put together by name.
     """
-    lines = spark.read.text(path)
-    top = [r.value.rstrip("\r") for r in lines.head(look_at)]
-    at = next((i for i, v in enumerate(top) if v.startswith(header_start)), None)
-    if at is None:
-        raise ValueError(f"no line of the first {look_at} starts with {header_start!r}")
-    names = [n.strip('"') for n in top[at].split(sep)]
-    body = lines.withColumn("_i", F.monotonically_increasing_id()).where(F.col("_i") > at)
+    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), place.alias("_at"))
+    is_header = F.startswith("value", F.lit(header_start))
     text = F.regexp_replace("value", "\r$", "")
-    ddl = ", ".join(f"`{n}` string" for n in names)
-    parsed = F.from_csv(text, ddl, {"sep": sep, "quote": '"', "escape": '"'})
-    return body.where(F.trim("value") != "").select(parsed.alias("_r")).select("_r.*")
+    heads = stage(
+        lines.where(F.trim(text) != "").groupBy("_file").agg(F.min(F.when(is_header, F.struct("_at", text.alias("header")))).alias("_head")),
+        "headers",
+    )
+    without = heads.where(F.col("_head").isNull()).agg(F.min("_file")).first()[0]
+    headers = heads.where(F.col("_head").isNotNull()).groupBy("_head.header").agg(F.min("_file").alias("_first")).orderBy("_first").collect()
+    if without is not None or not headers:
+        raise ValueError(f"no line of {without or path} starts with {header_start!r}")
+    out = None
+    for header in (r.header for r in headers):
+        ddl = ", ".join(f"`{n}` string" for n in (x.strip('"') for x in header.split(sep)))
+        parsed = F.from_csv(text, ddl, {"sep": sep, "quote": '"', "escape": '"'})
+        body = lines.join(heads.where(F.col("_head.header") == header), "_file").where(F.col("_at") > F.col("_head._at"))
+        table = body.where(F.trim("value") != "").select(parsed.alias("_r")).select("_r.*")
+        out = table if out is None else out.unionByName(table, allowMissingColumns=True)
+    return out
 
 
 def _records(spark: SparkSession, path: str | list[str], line_sep: str) -> DataFrame:

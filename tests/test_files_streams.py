@@ -32,6 +32,20 @@ def test_headers_comments_preamble(spark, tmp_path):
         readers.read_after_preamble(spark, p, "absent")
 
 
+def test_preamble_of_each_file(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    put(folder / "a.tsv", "note\tof a tool\n" * 1500 + '"Id"\tn\n"A1"\t1\n\n"A2"\t2\n')
+    put(folder / "b.tsv", 'Title\n"Id"\tn\r\n"B1"\t3\r\n')
+    put(folder / "c.tsv", 'n\n\nx\n"Id"\tn\tmore\n"C1"\t4\ty\n"Id"\tagain\tz\n')
+    got = readers.read_after_preamble(spark, str(folder), '"Id"')
+    assert got.columns == ["Id", "n", "more"]
+    assert rows(got) == rows(spark.createDataFrame([("A1", "1", None), ("A2", "2", None), ("B1", "3", None), ("C1", "4", "y"), ("Id", "again", "z")], "a string, b string, c string"))
+    put(folder / "d.tsv", "no header\n")
+    with pytest.raises(ValueError):
+        readers.read_after_preamble(spark, str(folder), '"Id"')
+
+
 def test_gzip_lands_as_parquet(spark, tmp_path):
     with gzip.open(tmp_path / "m.tsv.gz", "wt") as f:
         f.write("GENE\tN\n" + "".join(f"g{i % 3}\t{i}\n" for i in range(50)))
