@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exactdup, linealign, mixing, neardup, packing, sharding, substrings, token_store, toxicity
+from . import ann, exactdup, linealign, manifest, mixing, neardup, packing, sharding, substrings, token_store, toxicity
 from .common import LOWER, UPPER, new_folder, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,76 @@ def op10_aligned_lines(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "copy", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op12_path_copying_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, root and proof of every document, and the root of the version without its line feeds."""
+    rows = manifest.manifest(
+        read_table(spark, folder, "documents"),
+        tampered=manifest.newlines_removed(),
+        when=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0,
+    )
+    return rows.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        manifest.proof_digest().alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def _hashed(text: str) -> str:
+    values = ["doc_id", "source", "lang", "n_chars", text]
+    fields = [f"case when {v} is null then '-' else strlen({v}::varchar) || ':' || {v} end" for v in values]
+    return f"sha256({' || '.join(fields)})"
+
+
+#: crc32 bit by bit over the decimal digits, trees and versions level by level
+OP12_SQL = f"""
+with recursive marked as (
+  select *, 4294967295 - list_reduce(
+    list_prepend(4294967295::bigint, flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: [ascii(c)::bigint, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, x: xor(xor(c, x) >> 1, case when xor(c, x) & 1 = 1 then 3988292384 else 0 end)) as crc from documents),
+leaf as (
+  select doc_id, source, {_hashed("text")} as leaf,
+    case when crc % 2 = 0 then {_hashed("replace(text, chr(10), '')")} end as other from marked),
+base as (
+  select *, coalesce(':' || source, '-') as grp,
+    row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos,
+    count(*) over (partition by source) as n from leaf),
+tree as (
+  select 0 as lvl, grp, pos, n, leaf as digest from base
+  union all
+  select lvl + 1, grp, pos // 3, (max(n) + 2) // 3, sha256(string_agg(digest, '' order by pos)) from tree where n > 1
+  group by lvl, grp, pos // 3),
+subroot as (select grp, digest as subroot, row_number() over (order by grp) - 1 as place, count(*) over () as n from tree where n = 1),
+upper as (
+  select 0 as lvl, place as pos, n, subroot as digest from subroot
+  union all
+  select lvl + 1, pos // 3, (max(n) + 2) // 3, sha256(string_agg(digest, '' order by pos)) from upper where n > 1 group by lvl, pos // 3),
+run as (select *, list(digest) over w as ds, list(pos) over w as ps
+  from tree window w as (partition by lvl, grp, pos // 3 order by pos rows between unbounded preceding and unbounded following)),
+side as (select lvl, grp, pos, n, array_to_string(ds[1:list_position(ps, pos) - 1], '') as l, array_to_string(ds[list_position(ps, pos) + 1:], '') as r from run where n > 1),
+upper_run as (select *, list(digest) over w as ds, list(pos) over w as ps
+  from upper window w as (partition by lvl, pos // 3 order by pos rows between unbounded preceding and unbounded following)),
+upper_side as (select lvl, pos, array_to_string(ds[1:list_position(ps, pos) - 1], '') as l, array_to_string(ds[list_position(ps, pos) + 1:], '') as r from upper_run where n > 1),
+fold as (
+  select doc_id, leaf, 0 as lvl, grp, pos, coalesce(other, leaf) as now, '' as proof, row_number() over () as id from base
+  union all
+  select doc_id, leaf, f.lvl + 1, f.grp, f.pos // 3, sha256(l || now || r), proof || l || r, id
+  from fold f join side s on f.lvl = s.lvl and f.grp = s.grp and f.pos = s.pos),
+folded as (select * from fold qualify row_number() over (partition by id order by lvl desc) = 1),
+up as (
+  select doc_id, leaf, subroot, 0 as lvl, place as pos, now, proof, id from folded join subroot using (grp)
+  union all
+  select doc_id, leaf, subroot, u.lvl + 1, u.pos // 3, sha256(l || now || r), proof || l || r, id
+  from up u join upper_side s on u.lvl = s.lvl and u.pos = s.pos),
+done as (select * from up qualify row_number() over (partition by id order by lvl desc) = 1)
+select doc_id, leaf, subroot, (select digest from upper where n = 1) as root, sha256(proof) as proof_sha256, now as folded_root,
+  now = (select digest from upper where n = 1) as verified from done
+"""
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -113,6 +183,11 @@ QUERIES: dict[str, Query] = {
         op8_repeated_strings,
         op9_exact_duplicates,
         op10_aligned_lines,
+        op12_path_copying_manifest,
     )
 }
-SQL: dict[str, str] = {"op3_source_mix": mixing.oracle(), "op9_exact_duplicates": OP9_SQL}
+SQL: dict[str, str] = {
+    "op3_source_mix": mixing.oracle(),
+    "op9_exact_duplicates": OP9_SQL,
+    "op12_path_copying_manifest": OP12_SQL,
+}
