@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exactdup, linealign, manifest, mixing, neardup, packing, sharding, substrings, token_store, toxicity
+from . import ann, exactdup, linealign, manifest, mixing, neardup, ngramjoin, packing, sharding, substrings, token_store, toxicity
 from .common import LOWER, UPPER, new_folder, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,11 @@ def op10_aligned_lines(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "copy", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_prefix_tree_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents that share 90 % of their three-word shingles."""
+    return ngramjoin.ngram_classes(read_table(spark, folder, "documents"), width=3, percent=90)
+
+
 def op12_path_copying_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Leaf, root and proof of every document, and the root of the version without its line feeds."""
     rows = manifest.manifest(
@@ -183,6 +188,7 @@ QUERIES: dict[str, Query] = {
         op8_repeated_strings,
         op9_exact_duplicates,
         op10_aligned_lines,
+        op11_prefix_tree_join,
         op12_path_copying_manifest,
     )
 }
