@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exactdup, linealign, manifest, mixing, neardup, ngramjoin, packing, sharding, substrings, token_store, toxicity
+from . import ann, exactdup, hardneg, linealign, manifest, mixing, neardup, ngramjoin, packing, sharding, substrings, token_store, toxicity
 from .common import LOWER, UPPER, new_folder, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,6 +175,34 @@ select doc_id, leaf, subroot, (select digest from upper where n = 1) as root, sh
 """
 
 
+def op13_angular_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of another label that score nearly as high with every hundredth vector as its positives do."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(read_table(spark, folder, "embeddings"), label=moved, every=100)
+
+
+OP13_SQL = """
+with v as (
+  select row_number() over () as row, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as q
+  from embeddings where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.row, a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_inner_product(a.q, b.q)::bigint as score
+  from v a join v b on a.row <> b.row where a.vec_id % 100 = 0),
+positive as (
+  select row, anchor_id, vec_id as positive_id, score as positive_score,
+    row_number() over (partition by row order by score desc, vec_id) as place
+  from scored where same qualify place <= 5)
+select anchor_id, positive_id,
+  row_number() over (partition by row, place order by score desc, vec_id)::int as rank,
+  vec_id as negative_id, positive_score, score as negative_score
+from positive join scored using (row, anchor_id)
+where not same and 100 * score between 80 * positive_score and 100 * positive_score
+qualify rank <= 5
+"""
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -190,10 +218,12 @@ QUERIES: dict[str, Query] = {
         op10_aligned_lines,
         op11_prefix_tree_join,
         op12_path_copying_manifest,
+        op13_angular_hard_negatives,
     )
 }
 SQL: dict[str, str] = {
     "op3_source_mix": mixing.oracle(),
     "op9_exact_duplicates": OP9_SQL,
     "op12_path_copying_manifest": OP12_SQL,
+    "op13_angular_hard_negatives": OP13_SQL,
 }
