@@ -277,10 +277,10 @@ def _join_blocks(percent: int):
         a, b = [], []
         for _, part in group.groupby(["region", "block", "part"], sort=False):
             part = part.sort_values("role").drop_duplicates(["node", "role"])  # members, then queries
-            if len(part) < 2:
-                continue
             nodes = part["node"].tolist()
             role = part["role"].tolist()
+            if len(nodes) < 2 or set(role) in ({1}, {2}):  # nobody to ask, or to be asked
+                continue
             pairs = links_of(
                 [np.frombuffer(x, np.uint64) for x in part["ngrams"]],
                 part["label"].tolist(),
