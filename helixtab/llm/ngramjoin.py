@@ -137,6 +137,36 @@ def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+_MET = "a long, b long, key long"
+
+
+def _sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From a slice of (key, node) in order of the keys: each node (b) that shares a key with the key's first node
+    here (a).  The first node of the slice's first and last key is also given with that key and no partner,
+    as neighbouring slices may hold the same key."""
+
+    def out(a, b, key) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, key)], names=["a", "b", "key"])
+
+    last = None
+    for batch in batches:
+        key, node = (batch.column(c).to_numpy() for c in ("key", "node"))
+        if not len(key):
+            continue
+        begins = np.concatenate(([True], key[1:] != key[:-1]))
+        if last is None:
+            yield out([node[0]], [None], [key[0]])
+        lead = node[np.flatnonzero(begins)][np.cumsum(begins) - 1]
+        if last is not None and key[0] == last[0]:
+            lead[: int(np.argmax(begins[1:])) + 1 if begins[1:].any() else None] = last[1]
+        met = lead != node
+        if met.any():
+            yield out(lead[met], node[met], np.full(int(met.sum()), key[0]))
+        last = key[-1], lead[-1]
+    if last is not None:
+        yield out([last[1]], [None], [last[0]])
+
+
 # --- the tree ---------------------------------------------------------------------------------
 
 
@@ -342,9 +372,11 @@ def ngram_classes(
 
     # regions: sets that share a key, directly or over others
     keyed = sets.select("node", "keys").join(classes.select("node"), "node", "left_semi").mapInArrow(_key_rows, "key long, node long")
-    met = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("sets"), F.min("node").alias("lead")).where("sets > 1")
-    met = stage(met.select("key", "lead"), "met")
-    ties = keyed.join(met, "key").where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    keyed = keyed.repartitionByRange(shuffle_partitions(spark), "key", "node").sortWithinPartitions("key", "node")
+    met = stage(keyed.mapInArrow(_sharing, _MET), "met")
+    edges = met.where("b is null").select("key", F.col("a").alias("node"))  # two rows a slice
+    across = edges.join(edges.groupBy("key").agg(F.min("node").alias("lead")), "key").where("node != lead")
+    ties = met.where("b is not null").select("a", "b").unionByName(across.select(F.col("lead").alias("a"), F.col("node").alias("b")))
     region = components(ties)
     region = stage(region.unionByName(region.select(F.col("root").alias("node"), "root").distinct()), "regions")
     members = sets.select("node", "who", "n").join(region.withColumnRenamed("root", "region"), "node")

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -119,6 +120,19 @@ def test_similar_sets_share_a_key(percent):
                 assert set(ngramjoin.keys_of(np.sort(a), percent)) & set(ngramjoin.keys_of(np.sort(b), percent))
 
 
+def test_nodes_that_share_a_key():
+    """Whatever the batches, each key's nodes hang together, over the edges of the slice too."""
+    own = random.Random(8)
+    rows = sorted((own.choice([1, 2, 3, 50, 51, 52, 53]), k) for k in range(90))
+    for cuts in ([], [0, 1, 2, 30, 31], [10, 20, 40, 60, 89], list(range(90))):
+        batches = [rows[a:b] for a, b in zip([0, *cuts], [*cuts, 90])]
+        batches = [pa.RecordBatch.from_pydict({"key": [k for k, _ in b], "node": [n for _, n in b]}, pa.schema([("key", pa.int64()), ("node", pa.int64())])) for b in batches]
+        out = [r for b in ngramjoin._sharing(iter(batches)) for r in b.to_pylist()]
+        first = {k: min(n for j, n in rows if j == k) for k, _ in rows}
+        assert sorted((r["a"], r["b"]) for r in out if r["b"] is not None) == sorted((first[k], n) for k, n in rows if n != first[k])
+        assert [(r["key"], r["a"]) for r in out if r["b"] is None] == [(rows[0][0], rows[0][1]), (rows[-1][0], first[rows[-1][0]])]
+
+
 def test_tree_finds_all_links():
     own = random.Random(3)
     for percent in (60, 80, 90):
