@@ -128,13 +128,19 @@ def _describe(width: int, percent: int):
 
 
 def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The keys of the first of a task's rows with each set."""
+    seen: set[bytes] = set()
     for batch in batches:
         for low in range(0, batch.num_rows, 1000):
-            keys = [np.frombuffer(k.as_py(), np.int64) for k in batch.column("keys").slice(low, 1000)]
-            nodes = batch.column("node").slice(low, 1000).to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys)), pa.array(np.repeat(nodes, [len(k) for k in keys]))], names=["key", "node"]
-            )
+            part = batch.slice(low, 1000)
+            keys, nodes = [np.zeros(0, np.int64)], []
+            for set_key, own, node in zip(part.column("set_key").to_pylist(), part.column("keys"), part.column("node").to_pylist()):
+                if set_key not in seen:
+                    seen.add(set_key)
+                    keys.append(np.frombuffer(own.as_py(), np.int64))
+                    nodes.append(node)
+            repeated = np.repeat(np.array(nodes, np.int64), [len(k) for k in keys[1:]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(repeated)], names=["key", "node"])
 
 
 _MET = "a long, b long, key long"
@@ -334,10 +340,13 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _ngrams_of(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(node, ngrams) of the representatives in ``wanted`` (node, who)."""
+    """(node, ngrams) of the representatives in ``wanted`` (node, who), at most once a task."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # rows equal in id and text give the same set: a task gives one
         for batch in batches:
+            nodes = batch.column("node").to_pylist()
+            batch = batch.filter(pa.array([not (x in seen or seen.add(x)) for x in nodes], pa.bool_()))
             texts = pc.fill_null(batch.column("text"), "")
             for low, high in slices(texts, 1 << 20):
                 sets = shingle_sets(texts.slice(low, high - low), width)
@@ -347,8 +356,7 @@ def _ngrams_of(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text
                 )
 
     rows = _rows(docs, id_col, text_col).select("who", "text").join(wanted, "who").select("node", "text")
-    # rows equal in id and text give the same set: any of them will do
-    return rows.mapInArrow(cut, "node long, ngrams binary").dropDuplicates(["node"])
+    return rows.mapInArrow(cut, "node long, ngrams binary")
 
 
 def _labelled(members: DataFrame, joined: DataFrame) -> DataFrame:
@@ -371,12 +379,16 @@ def ngram_classes(
     classes = stage(sets.where("n > 0").groupBy("set_key").agg(F.min("node").alias("node")), "classes")
 
     # regions: sets that share a key, directly or over others
-    keyed = sets.select("node", "keys").join(classes.select("node"), "node", "left_semi").mapInArrow(_key_rows, "key long, node long")
+    keyed = sets.where("n > 0").select("set_key", "node", "keys").mapInArrow(_key_rows, "key long, node long")
     keyed = keyed.repartitionByRange(shuffle_partitions(spark), "key", "node").sortWithinPartitions("key", "node")
     met = stage(keyed.mapInArrow(_sharing, _MET), "met")
     edges = met.where("b is null").select("key", F.col("a").alias("node"))  # two rows a slice
     across = edges.join(edges.groupBy("key").agg(F.min("node").alias("lead")), "key").where("node != lead")
     ties = met.where("b is not null").select("a", "b").unionByName(across.select(F.col("lead").alias("a"), F.col("node").alias("b")))
+    # a set may stand in several tasks; its representative takes their places
+    stands = sets.where("n > 0").select("set_key", F.col("node").alias("of")).join(classes, "set_key").select("of", "node")
+    for side in ("a", "b"):
+        ties = ties.join(stands.select(F.col("of").alias(side), F.col("node").alias("rep")), side).drop(side).withColumnRenamed("rep", side)
     region = components(ties)
     region = stage(region.unionByName(region.select(F.col("root").alias("node"), "root").distinct()), "regions")
     members = sets.select("node", "who", "n").join(region.withColumnRenamed("root", "region"), "node")
