@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from helixtab.workspace import stage
+
 
 def _names(cols: Sequence[str] | str) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
@@ -71,32 +73,99 @@ def check_same_keys(tables: Mapping[str, DataFrame], key: str) -> None:
         raise QualityError(f"key sets differ between {list(tables)}")
 
 
-def table_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+RANGE_BITS = 12
+_DIGESTS = ("d1", "d2", "d3", "d4")
+
+
+def _range(key: str, bits: int) -> Column:
+    """The range of a key: the upper bits of its hash."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(1), F.col(key)), 64 - bits)
+
+
+def digest_tree(df: DataFrame, key: str, cols: Sequence[str] | None = None, bits: int = RANGE_BITS, fan_bits: int = 6) -> DataFrame:
+    """Q-01: a hash tree over the ranges of a key, as (level, range, rows, keys, repeated, d1 .. d4).
+
+    A leaf is a range of key hashes, the node above it the range of all hashes that agree in ``fan_bits`` bits
+    less, and so on up to level 0, the whole table.  ``d1`` to ``d4`` add up two 64-bit digests of each row, in halves
+    that don't overflow, so they depend neither on the order of the rows nor on their partitions, and the digests of a
+    node are the sums of its children's.  Equal digests mean equal rows (of the columns ``cols``; all by default).  Only keys
+    and digests are shuffled.  The tree has at most ``2 ** bits`` leaves and can be written next to the table.
+    """
+    cols = [c for c in (df.columns if cols is None else cols) if c != key]
+    cells = [x for c in [key, *cols] for x in (F.col(c), F.col(c).isNull())]
+    own = df.select(
+        F.col(key).alias("_key"), F.xxhash64(F.lit(7), *cells).alias("a"), F.xxhash64(F.lit(8), *cells).alias("b")
+    )
+    halves = {"d1": F.col("a").bitwiseAND(F.lit(0xFFFFFFFF)), "d2": F.shiftrightunsigned("a", 32),
+              "d3": F.col("b").bitwiseAND(F.lit(0xFFFFFFFF)), "d4": F.shiftrightunsigned("b", 32)}
+    per_key = own.groupBy("_key").agg(F.count(F.lit(1)).alias("rows"), *[F.sum(x).alias(d) for d, x in halves.items()])
+    sums = [F.sum(c).alias(c) for c in ("rows", "keys", "repeated", *_DIGESTS)]
+    leaves = per_key.groupBy(_range("_key", bits).alias("range")).agg(
+        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("keys"), F.count_if(F.col("rows") > 1).alias("repeated"),
+        *[F.sum(d).alias(d) for d in _DIGESTS],
+    )
+    depths = sorted({0, *range(bits, 0, -fan_bits)})
+    # every node from the leaves below it: a leaf has one row per level
+    ranges = F.array(
+        *[F.struct(F.lit(k).alias("level"), F.shiftrightunsigned("range", bits - d).alias("range")) for k, d in enumerate(depths)]
+    )
+    return leaves.withColumn("_node", F.explode(ranges)).groupBy("_node.level", "_node.range").agg(*sums)
+
+
+def differing_ranges(old: DataFrame, new: DataFrame, bits: int = RANGE_BITS, fan_bits: int = 6) -> DataFrame:
+    """Q-01: the leaves at which two trees of ``digest_tree`` differ, by descent from the root.
+
+    A level is looked at only below nodes that differ; ranges that agree are skipped with all that is below.
+    """
+    depths = sorted({0, *range(bits, 0, -fan_bits)})
+    sides = ["rows", *_DIGESTS]
+    found = None
+    for k, depth in enumerate(depths):
+        one, other = (t.where(F.col("level") == k).select("range", F.struct(*sides).alias(n)) for t, n in ((old, "o"), (new, "n")))
+        if found is not None:
+            below = F.shiftrightunsigned("range", depth - depths[k - 1])
+            parents = found.withColumnRenamed("range", "_up")
+            one, other = (t.join(parents, below == F.col("_up"), "left_semi") for t in (one, other))
+        found = one.join(other, "range", "full_outer").where(~F.col("o").eqNullSafe(F.col("n"))).select("range")
+    return found
+
+
+def rows_in_ranges(df: DataFrame, ranges: DataFrame, key: str, bits: int = RANGE_BITS) -> DataFrame:
+    """The rows whose keys lie in the given leaves."""
+    return df.withColumn("_range", _range(key, bits)).join(ranges.withColumnRenamed("range", "_range"), "_range", "left_semi").drop("_range")
+
+
+def table_diff(old: DataFrame, new: DataFrame, key: str, bits: int = RANGE_BITS) -> DataFrame:
     """Q-01, Q-14: differences of two versions of a table, in long form.
 
-    Each side is counted by key first.  One full outer join of the keys and one aggregation then give the
-    row counts, the rows of keys on one side only, the keys that repeat on either side, and for each shared column
-    the number of differing cells with the sample of the lowest such key.  Cells are compared for keys that
-    stand once on both sides.
+    Both versions get a hash tree over key ranges, and those are compared before the result is put together.  Counts of rows and of repeated keys come from the roots; only rows in
+    ranges that differ are joined by key, which gives the rows of keys on one side only and, for each shared
+    column, the number of differing cells with the sample of the lowest such key.  Cells are compared for
+    keys that stand once on both sides.
     """
     shared = [c for c in old.columns if c in new.columns and c != key]
     added = [c for c in new.columns if c not in old.columns]
     lost = [c for c in old.columns if c not in new.columns]
 
+    marked = [digest_tree(t, key, shared, bits).withColumn("_side", F.lit(m)) for m, t in (("o", old), ("n", new))]
+    trees = stage(marked[0].unionByName(marked[1]), "digests")
+    ranges = stage(differing_ranges(trees.where("_side = 'o'"), trees.where("_side = 'n'"), bits), "ranges")
+    roots = {r["_side"]: r for r in trees.where("level = 0").collect()}  # two rows at most
+    root = lambda m, c: roots[m][c] if m in roots else 0
+
     def by_key(table: DataFrame, mark: str) -> DataFrame:
+        near = rows_in_ranges(table.select(key, *shared), ranges, key, bits)
+        if not root(mark, "repeated"):
+            return near.select(F.col(key).alias("_k"), F.lit(1).alias(f"_{mark}"), *[F.col(c).alias(f"{mark}_{c}") for c in shared])
         firsts = [F.first(c).alias(f"{mark}_{c}") for c in shared]
-        return table.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias(f"_{mark}"), *firsts)
+        return near.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias(f"_{mark}"), *firsts)
 
     both = by_key(old, "o").join(by_key(new, "n"), "_k", "full_outer")
     paired = (F.col("_o") == 1) & (F.col("_n") == 1)
     rows = lambda x: F.coalesce(F.sum(x), F.lit(0))
     aggs = [
-        rows("_o").alias("rows_old"),
-        rows("_n").alias("rows_new"),
         rows(F.when(F.col("_n").isNull(), F.col("_o"))).alias("only_old"),
         rows(F.when(F.col("_o").isNull(), F.col("_n"))).alias("only_new"),
-        F.count_if(F.col("_o") > 1).alias("repeated_old"),
-        F.count_if(F.col("_n") > 1).alias("repeated_new"),
     ]
     for c in shared:
         differs = paired & ~F.col(f"o_{c}").eqNullSafe(F.col(f"n_{c}"))
@@ -113,6 +182,8 @@ def table_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
             F.min_by(sample, F.when(differs, F.col("_k"))).alias(f"s_{c}"),
         ]
     row = both.agg(*aggs)
+    for m, side in (("o", "old"), ("n", "new")):
+        row = row.withColumns({f"{c}_{side}": F.lit(root(m, c)) for c in ("rows", "repeated")})
 
     def item(check: str, n_: Column, sample: Column) -> Column:
         return F.struct(

@@ -366,21 +366,18 @@ def stream_counts(t: Tables) -> DataFrame:
     return ingest.latest_counts(spark, f"{base}/out", ["user_id", "event_type"])
 
 
+ARRIVALS = 3
+
+
 @query("SELECT user_id, min(event_id) AS event_id FROM events GROUP BY 1")
 def stream_distinct(t: Tables) -> DataFrame:
-    """R-03: the first row of every id over all batches."""
+    """R-03: the first row of every id over all batches, by a query that is started anew for each arrival."""
     spark, base = t.spark, new_folder(t.spark, "distinct")
-    _arriving_in_turn(t, f"{base}/in", 4)
-    stream = ingest.read_chunk_stream(spark, f"{base}/in", _EVENT_SCHEMA, max_files=1)
-    ingest.ingest_distinct(stream, ["user_id"], f"{base}/out", f"{base}/ck", ["event_id"]).awaitTermination()
-    return ingest.read_distinct(spark, f"{base}/out").select("user_id", "event_id")
-
-
-def _arriving_in_turn(t: Tables, path: str, n: int) -> None:
-    """Files written one after the other, so that their times follow the ids."""
     rows = t.events.select("event_id", "user_id", "event_type", "value")
     last = rows.agg(F.max("event_id")).first()[0]
-    width = last // n + 1
-    for i in range(n):
-        part = rows.where(F.col("event_id").between(i * width, (i + 1) * width - 1))
-        part.coalesce(1).write.mode("append").parquet(path)
+    width = last // ARRIVALS + 1
+    for i in range(ARRIVALS):
+        rows.where(F.col("event_id").between(i * width, (i + 1) * width - 1)).write.mode("append").parquet(f"{base}/in")
+        stream = ingest.read_chunk_stream(spark, f"{base}/in", _EVENT_SCHEMA)
+        ingest.ingest_distinct(stream, ["user_id"], f"{base}/out", f"{base}/ck", ["event_id"]).awaitTermination()
+    return ingest.read_distinct(spark, f"{base}/out").select("user_id", "event_id")

@@ -96,6 +96,36 @@ def test_profiles(spark):
     assert rows(profile.mean_and_invalid(df, ["n"])) == [("n", 2, 2, 1.45)]
 
 
+def test_digest_tree(spark):
+    """Copies agree whatever their order and partitions; changed cells are found by the ranges they lie in."""
+    base = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 17).alias("v"), F.concat(F.lit("t"), "id").alias("w"))
+    base = base.unionByName(base.where("k < 40"))  # repeated keys
+    tree = quality.digest_tree(base, "k", bits=10)
+    sums = {r["level"]: r for r in tree.groupBy("level").agg(F.count("range").alias("nodes"), F.sum("rows").alias("rows"), F.sum("keys").alias("keys"), F.sum("repeated").alias("repeated"), F.sum("d1").alias("d1")).collect()}
+    assert sorted(sums) == [0, 1, 2] and sums[0].nodes == 1 and sums[1].nodes <= 16 and 16 < sums[2].nodes <= 1024
+    assert len({(r["rows"], r["keys"], r["repeated"], r.d1) for r in sums.values()}) == 1
+    assert (sums[0]["rows"], sums[0]["keys"], sums[0].repeated) == (5040, 5000, 40)
+    same = quality.digest_tree(base.orderBy(F.desc("w")).repartition(5), "k", bits=10)
+    assert quality.differing_ranges(tree, same, bits=10).count() == 0
+
+    changed = base.withColumn("v", F.when(F.col("k").isin(100, 2000, 4999), None).otherwise(F.col("v")))
+    ranges = quality.differing_ranges(tree, quality.digest_tree(changed, "k", bits=10), bits=10)
+    assert 1 <= ranges.count() <= 3
+    near = quality.rows_in_ranges(base, ranges, "k", bits=10)
+    assert {100, 2000, 4999} <= {r.k for r in near.collect()} and near.count() < 60
+    diff = {r.check: (r.n, r.sample) for r in quality.table_diff(base, changed, "k", bits=10).collect()}
+    assert diff["mismatch:v"] == (3, "100: 15 -> null") and diff["mismatch:w"] == (0, "")
+    assert (diff["rows_old"][0], diff["repeated_old"][0], diff["only_old"][0]) == (5040, 40, 0)
+    # a value that moves to the next column, and rows that are gone or there twice
+    moved = spark.createDataFrame([(1, None, "a"), (2, "b", None)], "k int, v string, w string")
+    other = spark.createDataFrame([(1, "a", None), (2, "b", None)], "k int, v string, w string")
+    assert {r.check: r.n for r in quality.table_diff(moved, other, "k").collect()}["mismatch:v"] == 1
+    less = {r.check: r.n for r in quality.table_diff(base, base.where("k <> 77"), "k").collect()}
+    assert (less["only_old"], less["rows_new"]) == (1, 5039)
+    none = {r.check: r.n for r in quality.table_diff(base.limit(0), base, "k").collect()}
+    assert (none["rows_old"], none["only_new"], none["repeated_new"]) == (0, 5040, 40)
+
+
 def test_diff_and_guards(spark):
     old = spark.createDataFrame([(1, "a", "x"), (2, "b", None), (3, "c", "z")], "k int, v string, w string")
     new = spark.createDataFrame([(1, "a", "n", 1), (2, "B", None, 1), (4, "d", "q", 1)], "k int, v string, w string, extra int")

@@ -182,3 +182,31 @@ def test_counts_and_distinct_over_batches(spark, tmp_path):
     drop(spark, tmp_path, 2, [(0, "a"), (9, "c")])
     assert counts() == [("a", 3), ("b", 1), ("c", 1)]
     assert firsts() == [("a", 1), ("b", 3), ("c", 9)]
+
+
+def test_distinct_over_restarts(spark, tmp_path):
+    """Each start is a new query on the old checkpoint; files that were ingested may go, as nothing reads them again."""
+
+    def go():
+        stream = ingest.read_chunk_stream(spark, str(tmp_path / "in"), SCHEMA)
+        done = ingest.ingest_distinct(stream, ["k"], str(tmp_path / "d"), str(tmp_path / "dck"), ["id"])
+        done.awaitTermination()
+        return rows(ingest.read_distinct(spark, str(tmp_path / "d")).select("k", "id")), done
+
+    drop(spark, tmp_path, 1, [(k, f"k{k % 7}") for k in range(100)] + [(0, None), (-1, None)])
+    first, _ = go()
+    assert first == sorted([(f"k{k}", k) for k in range(7)] + [(None, -1)], key=repr)
+    drop(spark, tmp_path, 2, [(k, f"k{k % 9}") for k in range(100, 200)])
+    # 100 % 9 is 1: the first rows of the new ids are 106 and 107
+    second, _ = go()
+    assert second == sorted([*first, ("k7", 106), ("k8", 107)], key=repr)
+    third, last = go()
+    assert third == second
+    drop(spark, tmp_path, 3, [(500, "k3"), (501, "new")])
+    fourth, last = go()
+    assert fourth == sorted([*second, ("new", 501)], key=repr)
+    assert last.recentProgress[-1]["numInputRows"] == 2
+    assert last.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] >= 11
+    with pytest.raises(ValueError):
+        stream = ingest.read_chunk_stream(spark, str(tmp_path / "in"), SCHEMA)
+        ingest.ingest_distinct(stream, ["k"], str(tmp_path / "d"), str(tmp_path / "other"), ["id"])
