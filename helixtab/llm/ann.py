@@ -62,7 +62,7 @@ def clean_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "e
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(axis=1, keepdims=True)
+    x = _near_one(x)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -126,8 +126,15 @@ def scan(query: np.ndarray, blocks: list[np.ndarray], k: int, epsilon: float = E
     return every[every[:, 1] <= bound + 1e-5, 0].astype(int)
 
 
+def _near_one(x: np.ndarray) -> np.ndarray:
+    """Vectors times a power of two that brings their largest component below 1: no sum of squares overflows or
+    vanishes, and no digit changes."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=-1, keepdims=True))[1])
+
+
 def exact_scores(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Cosines in double precision; equal vectors get equal scores."""
+    query, vectors = _near_one(query), _near_one(vectors)
     dot = (vectors * query).sum(axis=1)
     return dot / (np.sqrt((query * query).sum()) * np.sqrt((vectors * vectors).sum(axis=1)))
 

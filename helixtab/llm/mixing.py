@@ -19,7 +19,7 @@ names, are carried along.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage
-from .tokens import encoded
+from .tokens import encoded, encoder
 
 TREE = ("domain", "lang", "source")
 #: Weight of a child at each level; children not named have the weight under None.
@@ -55,13 +55,15 @@ def token_estimate(text: Column) -> Column:
 def token_count(text: Column, vocabulary: str | None = None) -> Column:
     """Ids of the text by the vocabulary; for a column to be staged, as ``mix`` reads it several times."""
 
-    def count(texts: pa.Array) -> pa.Array:
-        n = np.zeros(len(texts), np.int64)
-        for row, ids in encoded(pa.RecordBatch.from_arrays([texts], ["text"]), "text", vocabulary):
-            n[row] = len(ids)
-        return pa.array(n)
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        held = encoder(vocabulary)  # for the whole task
+        for texts in batches:
+            n = np.zeros(len(texts), np.int64)
+            for row, ids in encoded(pa.RecordBatch.from_arrays([texts], ["text"]), "text", held.vocabulary):
+                n[row] = len(ids)
+            yield pa.array(n)
 
-    return F.arrow_udf(count, "long")(text)
+    return F.arrow_udf(count, "long", F.ArrowUDFType.SCALAR_ITER)(text)
 
 
 def _weight(level: str, weights: Mapping[str, Mapping[str | None, int]]) -> Column:

@@ -81,8 +81,8 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     place = np.flatnonzero(begins)
     if not len(place):
         return [none] * len(texts)
-    dense = np.concatenate(([0], np.cumsum(solid)))  # position among the solid bytes
-    bounds = np.append(dense[place], dense[-1]).astype(np.int64)
+    solids = np.cumsum(solid, dtype=np.int32 if len(data) < 1 << 31 else np.int64)  # position among the solid bytes
+    bounds = np.append(solids[place] - 1, solids[-1]).astype(np.int64)
     words = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(place), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data[solid]))]
     ).dictionary_encode()
@@ -118,8 +118,8 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     """``TREES * DEPTH`` MinHash values of 32 bits."""
     least = np.full(len(_FACTORS), ~np.uint64(0))
     with np.errstate(over="ignore"):
-        for low in range(0, len(shingles), 4096):
-            own = np.multiply.outer(_FACTORS, shingles[low : low + 4096])
+        for low in range(0, len(shingles), 1024):
+            own = np.multiply.outer(_FACTORS, shingles[low : low + 1024])
             own += _TERMS[:, None]
             np.minimum(least, own.min(axis=1), out=least)
     return (least >> np.uint64(32)).astype(np.uint32)
@@ -129,7 +129,7 @@ def _describe(width: int, schema: pa.Schema):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pc.fill_null(batch.column("text"), "")
-            for low, high in slices(texts, 8 << 20):
+            for low, high in slices(texts, 1 << 20):
                 sets = shingle_sets(texts.slice(low, high - low), width)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -235,7 +235,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, width: int, id_col: str, text_co
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pc.fill_null(batch.column("text"), "")
-            for low, high in slices(texts, 4 << 20):
+            for low, high in slices(texts, 1 << 20):
                 sets = shingle_sets(texts.slice(low, high - low), width)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("node").slice(low, high - low), pa.array([s.tobytes() for s in sets], pa.binary())],

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage
-from .tokens import encoded
+from .tokens import encoded, encoder
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, place long, ids binary"
 
@@ -110,10 +110,11 @@ def _pieces(vocabulary: str | None, end_id: int, capacity: int, dtype: str, sche
         task = TaskContext.get().partitionId()
         seen: Counter = Counter()
         end = np.array([end_id], dtype)
+        held = encoder(vocabulary, dtype)  # for the whole task
         for batch in batches:
             names = batch.column("doc_id")
             out: dict[str, list] = {n: [] for n in schema.names}
-            for row, ids in encoded(batch, "text", vocabulary, dtype):
+            for row, ids in encoded(batch, "text", held.vocabulary, dtype):
                 ids = np.concatenate((ids, end))
                 bounds = _cut(len(ids), capacity)
                 for piece, (low, high) in enumerate(zip(bounds, bounds[1:])):

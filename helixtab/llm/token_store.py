@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import mix64, shuffle_partitions
-from .tokens import encoded
+from .tokens import encoded, encoder
 
 SHARD = (
     "part int, shard int, before long, n_docs int, n_ids long, first_key long, last_key long,"
@@ -152,9 +152,10 @@ def _shard_writer(vocabulary: str | None, end_id: int, dtype: str, shard_ids: in
             return pa.RecordBatch.from_pylist([_shard_row(part, shard, before, keys, held)], schema)
 
         end = np.array([end_id], dtype)
+        own = encoder(vocabulary, dtype)  # for the whole task
         for batch in batches:
             names = batch.column("key").to_pylist()
-            for row, ids in encoded(batch, "text", vocabulary, dtype):
+            for row, ids in encoded(batch, "text", own.vocabulary, dtype):
                 keys.append(names[row])
                 held.append(np.concatenate((ids, end)))
                 size += len(held[-1])

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import re
+import weakref
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,6 +86,7 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
+        self.vocabulary = vocabulary
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.model = self.tokenizer.model
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -177,15 +179,20 @@ def slices(column: pa.Array, limit: int = BATCH_BYTES) -> Iterator[tuple[int, in
         yield start, len(sizes)
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
+_encoders: weakref.WeakValueDictionary[tuple[str, str], Encoder] = weakref.WeakValueDictionary()
 
 
 def encoder(vocabulary: str | None, dtype: str = "<u2") -> Encoder:
-    """One encoder per worker and vocabulary, so that known pieces last for the worker's life."""
+    """The worker's encoder of a vocabulary.
+
+    It lives as long as some task holds it; workers are used again, so that one kept for good would take
+    its memory from all later stages.
+    """
     path = vocabulary or vocabulary_path()
-    if (path, dtype) not in _encoders:
-        _encoders[path, dtype] = Encoder(path, dtype)
-    return _encoders[path, dtype]
+    found = _encoders.get((path, dtype))
+    if found is None:
+        found = _encoders[path, dtype] = Encoder(path, dtype)
+    return found
 
 
 def encoded(

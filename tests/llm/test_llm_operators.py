@@ -37,6 +37,17 @@ def order_key(row):
     return tuple((x is not None, x) for x in row)
 
 
+def test_scores_of_extreme_vectors():
+    own = np.random.default_rng(2)
+    x = own.standard_normal((300, 8))
+    want = ann.exact_scores(x[0], x)
+    size = np.where(np.arange(300) % 3 == 0, 1e200, np.where(np.arange(300) % 3 == 1, 1e-200, 1.0))[:, None]
+    with np.errstate(all="raise", under="ignore"):
+        got = ann.exact_scores(x[0] * 1e-200, x * size)
+        assert np.allclose(got, want, rtol=0, atol=1e-14)
+        assert np.allclose(ann._unit(x * size), ann._unit(x), rtol=0, atol=1e-14)
+
+
 # --- tokens -----------------------------------------------------------------------------------
 
 
