@@ -12,6 +12,8 @@ from helixtab.operators.scan import distribution, running
 
 # about the length of a coding segment: wider bins pair more strangers, narrower ones repeat more rows
 BIN = 256
+# widths up to 256 * 4 ** 12 bases, over 4 billion; longer intervals touch more bins of the last one
+LEVELS = 12
 
 
 def overlaps(
@@ -41,13 +43,57 @@ def overlaps(
     return ranked.withColumns(flags).drop(*scans)
 
 
-def _bins(start: Column, end: Column) -> Column:
-    """Bins touched by a half-open interval; an empty interval touches none."""
-    return F.explode(
-        F.when(
-            end > start, F.sequence(F.floor(start / BIN), F.floor((end - 1) / BIN))
-        ).otherwise(F.array().cast("array<bigint>"))
-    )
+def _width(level: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(BIN).cast("bigint"), (2 * level).cast("int"))
+
+
+def _level(start: Column, end: Column) -> Column:
+    """The first level whose bins are at least as wide as the half-open interval, which so touches two of them at most."""
+    length = end - start
+    return sum((F.when(length > (BIN << (2 * k)), 1).otherwise(0) for k in range(LEVELS)), F.lit(0))
+
+
+def _levels_of(df: DataFrame, level: Column) -> list[int]:
+    """Levels that occur in a table; there are at most ``LEVELS + 1``."""
+    return sorted(r[0] for r in df.select(level.alias("_l")).where("_l is not null").distinct().collect())
+
+
+def _touched(start: Column, end: Column, own: Column, levels: Sequence[int]) -> Column:
+    """One row for each bin that a half-open interval touches on its own level and on the wider ones of ``levels``;
+    an empty interval touches none."""
+
+    def on(k: int) -> Column:
+        width = F.lit(BIN << (2 * k))
+        bins = F.sequence(F.floor(start / width), F.floor((end - 1) / width))
+        places = F.transform(bins, lambda b: F.struct(F.lit(k).alias("level"), b.alias("bin")))
+        return F.when((end > start) & (own <= k), places).otherwise(F.array().cast("array<struct<level:int,bin:bigint>>"))
+
+    places = [on(k) for k in levels]
+    return F.explode(F.flatten(F.array(*places)))
+
+
+def meeting(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], left_span: tuple[str, str], right_span: tuple[str, str]
+) -> DataFrame:
+    """J-18, J-19: all pairs of half-open intervals of one key that share a base, once each.
+
+    Bins come in several widths, each four times the one before.  An interval belongs to the one or two bins that it
+    touches on the first level as wide as itself, and for the other side's sake to those on the wider levels that occur there.
+    Two intervals meet on the wider one's level, in the bin where their common bases begin.  However
+    long an interval is, it has no more than two rows a level, and where all are short there is one level only.
+    """
+    (ls, le), (rs, re) = left_span, right_span
+    own_l, own_r = _level(F.col(ls), F.col(le)), _level(F.col(rs), F.col(re))
+    levels = sorted({*_levels_of(left, own_l), *_levels_of(right, own_r)}) or [0]
+    here = left.withColumn("_ll", own_l).withColumn("_at", _touched(F.col(ls), F.col(le), F.col("_ll"), levels))
+    there = right.withColumn("_lr", own_r).withColumn("_at", _touched(F.col(rs), F.col(re), F.col("_lr"), levels))
+    both = here.select("*", "_at.level", "_at.bin").drop("_at").join(there.select("*", "_at.level", "_at.bin").drop("_at"), [*keys, "level", "bin"])
+    begin = F.greatest(F.col(ls), F.col(rs))
+    return both.where(
+        (F.col("level") == F.greatest("_ll", "_lr"))
+        & (F.col("bin") == F.floor(begin / _width(F.col("level"))))
+        & (begin < F.least(F.col(le), F.col(re)))
+    ).drop("level", "bin", "_ll", "_lr")
 
 
 def span_values(
@@ -55,25 +101,14 @@ def span_values(
 ) -> DataFrame:
     """J-18: the signal pieces inside each distinct span, as (contig, start, end, value, bases).
 
-    Both sides are cut at bin edges, so the join is an equi-join on (contig, bin) and each base is
-    seen once.  Equal spans are joined once.  Missing signal has no row.
+    Equal spans are joined once, and each pair of a span and a piece meets once.  Missing signal has no row.
     """
-    s = (
-        spans.select(contig, start, end).distinct().withColumn("_bin", _bins(F.col(start), F.col(end)))
-    )
-    t = (
-        signal.where(F.col(value).isNotNull())
-        .select(F.col(contig), F.col("start0").alias("_s"), F.col("end").alias("_e"), F.col(value).alias("value"))
-        .withColumn("_bin", _bins(F.col("_s"), F.col("_e")))
-    )
-    lo = F.greatest(F.col(start), F.col("_s"), F.col("_bin") * BIN)
-    hi = F.least(F.col(end), F.col("_e"), (F.col("_bin") + 1) * BIN)
-    return (
-        s.join(t, [contig, "_bin"])
-        .withColumn("bases", hi - lo)
-        .where("bases > 0")
-        .select(contig, start, end, "value", "bases")
+    s = spans.select(contig, start, end).distinct()
+    t = signal.where(F.col(value).isNotNull()).select(
+        F.col(contig), F.col("start0").alias("_s"), F.col("end").alias("_e"), F.col(value).alias("value")
     )
+    bases = F.least(F.col(end), F.col("_e")) - F.greatest(F.col(start), F.col("_s"))
+    return meeting(s, t, [contig], (start, end), ("_s", "_e")).select(contig, start, end, "value", bases.alias("bases"))
 
 
 def segment_signal(
@@ -151,14 +186,10 @@ def per_residue(bases: DataFrame, tx: str, value: str, scale: int = 4) -> DataFr
 
 
 def points_in_spans(points: DataFrame, spans: DataFrame, key: str, pos: str, start: str, end: str) -> DataFrame:
-    """J-19: every (point, span) pair with start <= pos <= end inside one key, by binned equi-join."""
-    binned = spans.withColumn("_bin", _bins(F.col(start), F.col(end) + 1))
-    return (
-        points.withColumn("_bin", F.floor(F.col(pos) / BIN))
-        .join(binned, [key, "_bin"])
-        .where(F.col(pos).between(F.col(start), F.col(end)))
-        .drop("_bin")
-    )
+    """J-19: every (point, span) pair with start <= pos <= end inside one key."""
+    p = points.withColumn("_p0", F.col(pos).cast("bigint")).withColumn("_p1", F.col("_p0") + 1)
+    s = spans.withColumn("_s1", F.col(end).cast("bigint") + 1)
+    return meeting(p, s, [key], ("_p0", "_p1"), (start, "_s1")).drop("_p0", "_p1", "_s1")
 
 
 def boundaries(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:

@@ -149,6 +149,35 @@ def test_per_residue_skips_missing(spark):
     assert rows(intervals.per_residue(df, "tx", "v")) == [("t", 1, 5.5, 2.0), ("t", 2, 1.0, None)]
 
 
+def test_intervals_of_all_lengths_meet(spark):
+    """Against all pairs: single bases, spans at bin edges, whole contigs, empty and repeated spans."""
+    own = random.Random(9)
+    lengths = [0, 1, 1, 2, 255, 256, 257, 1024, 5000, 70_000, 10**6, 10**9]
+
+    def some(n):
+        out = []
+        for _ in range(n):
+            length = own.choice(lengths)
+            start = own.choice([0, 255, 256, 1023, 1024, own.randrange(10**6), own.randrange(10**9)])
+            out.append((own.choice("ab"), start, start + length))
+        return out
+
+    left, right = some(150), [*some(150), ("a", 256, 512), ("a", 256, 512)]
+    one = spark.createDataFrame([(k, *x) for k, x in enumerate(left)], "i int, c string, s long, e long")
+    other = spark.createDataFrame([(k, *x) for k, x in enumerate(right)], "j int, c string, x long, y long")
+    got = rows(intervals.meeting(one, other, ["c"], ("s", "e"), ("x", "y")).select("i", "j"))
+    want = [(i, j) for i, a in enumerate(left) for j, b in enumerate(right) if a[0] == b[0] and max(a[1], b[1]) < min(a[2], b[2])]
+    assert got == sorted(want, key=repr) and len(want) > 2000
+
+
+def test_long_spans_have_few_rows(spark):
+    long = spark.createDataFrame([(5, 5 + 10**9), (0, 3 * 10**9), (7, 8)], "s long, e long")
+    levels = list(range(intervals.LEVELS + 1))
+    own = intervals._level(F.col("s"), F.col("e"))
+    touched = long.withColumn("own", own).select("s", intervals._touched(F.col("s"), F.col("e"), F.col("own"), levels))
+    assert all(r["count"] <= 30 for r in touched.groupBy("s").count().collect())
+
+
 def test_points_in_spans(spark):
     pts = spark.createDataFrame([("p", i) for i in range(1, 600)], "k string, pos long")
     spans = spark.createDataFrame([("p", "a", 250, 260), ("p", "b", 255, 520), ("q", "c", 1, 9)], "k string, n string, s long, e long")
