@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +23,7 @@ __all__ = [
     "mix64",
     "new_folder",
     "read_table",
+    "returning_memory",
     "shuffle_partitions",
     "stage",
     "text_or_empty",
@@ -53,6 +58,23 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def returning_memory(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` over the batches of a task, after which free memory goes back to the system.
+
+    A worker is used again by later stages; what its allocator keeps would count against them.
+    """
+
+    def held(batches: Iterator) -> Iterator:
+        yield from work(batches)
+        gc.collect()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # another C library: nothing to give back
+            pass
+
+    return held
+
+
 def discard(df_or_path: DataFrame | str, spark: SparkSession | None = None) -> None:
     """Delete a staged table that nothing returned to the caller reads any more."""
     if isinstance(df_or_path, DataFrame):

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import returning_memory, stage
 from .tokens import encoded, encoder
 
 TREE = ("domain", "lang", "source")
@@ -63,7 +63,7 @@ def token_count(text: Column, vocabulary: str | None = None) -> Column:
                 n[row] = len(ids)
             yield pa.array(n)
 
-    return F.arrow_udf(count, "long", F.ArrowUDFType.SCALAR_ITER)(text)
+    return F.arrow_udf(returning_memory(count), "long", F.ArrowUDFType.SCALAR_ITER)(text)
 
 
 def _weight(level: str, weights: Mapping[str, Mapping[str | None, int]]) -> Column:

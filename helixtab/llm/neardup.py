@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, mix64, stage
+from .common import discard, mix64, returning_memory, stage
 from .components import components
 from .tokens import slices
 
@@ -245,7 +245,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, width: int, id_col: str, text_co
     wanted = nodes.select("node", F.xxhash64(F.col("doc_id"), F.col("text_key")).alias("who"))
     rows = _rows(docs, id_col, text_col).select(F.xxhash64("doc_id", "text_key").alias("who"), "text")
     # rows equal in id and text give the same set: one of them is enough
-    return rows.join(wanted, "who").select("node", "text").mapInArrow(cut, "node long, shingles binary").dropDuplicates(["node"])
+    return rows.join(wanted, "who").select("node", "text").mapInArrow(returning_memory(cut), "node long, shingles binary").dropDuplicates(["node"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -333,7 +333,7 @@ def near_classes(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_key, n_shingles, component_id (smallest id reachable)
     and root (an internal number of the component, null for empty sets)."""
-    sets = stage(_rows(docs, id_col, text_col).mapInArrow(_describe(width, _SETS_ARROW), _SETS), "sets")
+    sets = stage(_rows(docs, id_col, text_col).mapInArrow(returning_memory(_describe(width, _SETS_ARROW)), _SETS), "sets")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")).alias("who")
     reps = (
         sets.where("n > 0")

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, mix64, shuffle_partitions, stage
+from .common import discard, mix64, returning_memory, shuffle_partitions, stage
 from .components import components
 from .neardup import shingle_sets
 from .tokens import slices
@@ -356,7 +356,7 @@ def _ngrams_of(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text
                 )
 
     rows = _rows(docs, id_col, text_col).select("who", "text").join(wanted, "who").select("node", "text")
-    return rows.mapInArrow(cut, "node long, ngrams binary")
+    return rows.mapInArrow(returning_memory(cut), "node long, ngrams binary")
 
 
 def _labelled(members: DataFrame, joined: DataFrame) -> DataFrame:
@@ -374,7 +374,7 @@ def ngram_classes(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles and component_id, the smallest id reachable by links."""
     spark = docs.sparkSession
-    described = _rows(docs, id_col, text_col).mapInArrow(_describe(width, percent), _SETS)
+    described = _rows(docs, id_col, text_col).mapInArrow(returning_memory(_describe(width, percent)), _SETS)
     sets = stage(described.withColumn("node", F.monotonically_increasing_id()), "sets")
     classes = stage(sets.where("n > 0").groupBy("set_key").agg(F.min("node").alias("node")), "classes")
 

@@ -23,8 +23,8 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
 LONGEST_KEPT = 64
-MOST_KEPT = 400_000
-BATCH_BYTES = 4 << 20
+MOST_KEPT = 100_000
+BATCH_BYTES = 1 << 20
 
 SPACE, LETTER, MARK, LEAD, OTHER = 1, 2, 3, 4, 0
 
