@@ -108,30 +108,24 @@ class ResidueShare:
         return [[s.count(x) / len(s) if s else 0.0 for x in self.letters] for s in seqs]
 
 
-def matching_share(a: Column, b: Column) -> Column:
-    """F-42, X-02: share of the first sequence that lies in blocks matching the second."""
-
-    @F.pandas_udf(T.DoubleType())
-    def share(first: pd.Series, second: pd.Series) -> pd.Series:
-        from difflib import SequenceMatcher
-
-        out = []
-        for x, y in zip(first, second):
-            if x is None or y is None or not x:
-                out.append(None)
-                continue
-            blocks = SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks()
-            out.append(sum(m.size for m in blocks) / len(x))
-        return pd.Series(out, dtype="float64")
-
-    return share(a, b)
-
-
-def similarity(pairs: DataFrame, a: str, b: str, name: str = "matching_share") -> DataFrame:
-    """X-02: similarity of many pairs; each distinct pair is compared once."""
-    once = (
-        pairs.select(a, b).distinct()
-        .repartition(F.xxhash64(a, b))
-        .withColumn(name, matching_share(F.col(a), F.col(b)))
-    )
-    return pairs.join(once, [a, b], "left")
+def word_runs(table: DataFrame, key: str, text: str, width: int = 5) -> DataFrame:
+    """Distinct (key, run): all runs of ``width`` words of each text; a null or shorter text has none."""
+    words = F.filter(F.split(text, "[ \n\t\r]+"), lambda x: x != "")
+    starts = F.when(F.size("w") >= width, F.sequence(F.lit(1), F.size("w") - (width - 1)))
+    rows = table.select(key, words.alias("w")).select(key, "w", F.explode(starts).alias("k"))
+    return rows.select(key, F.array_join(F.slice("w", F.col("k"), F.lit(width)), " ").alias("run")).distinct()
+
+
+def shared_runs(
+    first: DataFrame, second: DataFrame, first_key: str, second_key: str, text: str = "text", width: int = 5, name: str = "matching_share"
+) -> DataFrame:
+    """F-42, X-02: share of the distinct word runs of one text that stand in another, for all pairs with any.
+
+    A coverage by common runs; blocks shorter than ``width`` words count as nothing.  Pairs come from an equi-join on
+    the runs, so texts that share nothing never meet.
+    """
+    own = word_runs(first, first_key, text, width)
+    sizes = own.groupBy(first_key).agg(F.count(F.lit(1)).alias("_n"))
+    met = own.join(word_runs(second, second_key, text, width), "run")
+    shared = met.groupBy(first_key, second_key).agg(F.count(F.lit(1)).alias("_m"))
+    return shared.join(sizes, first_key).select(first_key, second_key, (F.col("_m") / F.col("_n")).alias(name))

@@ -319,19 +319,8 @@ SELECT item_id, doc_id, round(m / n, 4) AS matching_share FROM p JOIN n USING (i
 )
 def similar_pairs(t: Tables) -> DataFrame:
     """F-42, X-02: how much of one whole text, in runs of five words, is found in each text that shares any."""
-
-    def runs(table: DataFrame, key: str) -> DataFrame:
-        words = F.filter(F.split("text", "[ \n\t\r]+"), lambda x: x != "")
-        starts = F.when(F.size("w") >= 5, F.sequence(F.lit(1), F.size("w") - 4))
-        rows = table.select(key, words.alias("w")).select(key, "w", F.explode(starts).alias("k"))
-        return rows.select(key, F.array_join(F.slice("w", F.col("k"), F.lit(5)), " ").alias("run")).distinct()
-
-    items = runs(t.benchmark, "item_id")
-    sizes = items.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
-    shared = items.join(runs(t.documents, "doc_id"), "run").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("m"))
-    return shared.join(sizes, "item_id").select(
-        "item_id", "doc_id", F.round(F.col("m") / F.col("n"), 4).alias("matching_share")
-    )
+    shared = scoring.shared_runs(t.benchmark, t.documents, "item_id", "doc_id")
+    return shared.withColumn("matching_share", F.round("matching_share", 4))
 
 
 @query(

@@ -126,20 +126,20 @@ SELECT 'order key unique' AS invariant, (SELECT count(*) FROM (SELECT o_orderkey
 UNION ALL SELECT 'line key unique', (SELECT count(*) FROM c WHERE n > 1)
 UNION ALL SELECT 'every line has an order', (SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders))
 UNION ALL SELECT 'copy equals original', (SELECT count(*) FROM (SELECT o_orderkey, o_custkey, o_totalprice FROM orders
-  EXCEPT ALL SELECT o_orderkey, o_custkey, o_totalprice FROM (SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders)))
-UNION ALL SELECT 'outcomes add up', (SELECT sum(n) FROM (SELECT CASE WHEN l_discount = 0 THEN 'free' WHEN l_tax = 0 THEN 'untaxed' ELSE 'plain' END AS o,
-  count(*) AS n FROM lineitem GROUP BY 1))::BIGINT - (SELECT count(*) FROM lineitem)"""
+  EXCEPT ALL SELECT o_orderkey, o_custkey + CASE WHEN o_orderkey % 10 = 3 THEN 1 ELSE 0 END, o_totalprice FROM orders))
+UNION ALL SELECT 'outcomes add up', (SELECT count(*) FROM lineitem WHERE l_discount = 0) - (SELECT count(*) FROM lineitem)"""
 )
 def invariant_checks(t: Tables) -> DataFrame:
-    """Q-03, Q-06, Q-11, Q-14: violations per invariant."""
+    """Q-03, Q-06, Q-11, Q-14: violations per invariant; a copied column is altered and outcomes are left out on purpose."""
     lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"))
+    altered = F.col("o_custkey") + F.when(F.col("o_orderkey") % 10 == 3, 1).otherwise(0)
     copied = quality.table_diff(
         t.orders.select("o_orderkey", "o_custkey", "o_totalprice"),
-        t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"),
+        t.orders.select("o_orderkey", altered.alias("o_custkey"), "o_totalprice", "o_orderstatus"),
         "o_orderkey",
     ).where("check like 'mismatch:%' or check like 'only_%'")
     outcome = F.when(F.col("l_discount") == 0, "free").when(F.col("l_tax") == 0, "untaxed").otherwise("plain")
-    outcomes = quality.outcome_counts(t.lineitem.withColumn("outcome", outcome))
+    outcomes = quality.outcome_counts(t.lineitem.withColumn("outcome", outcome)).where("outcome = 'free'")
     named = lambda label, df, n: df.agg(F.lit(label).alias("invariant"), n.cast("bigint").alias("n_violations"))
     rows = F.count(F.lit(1))
     total = t.lineitem.agg(F.count(F.lit(1))).scalar()

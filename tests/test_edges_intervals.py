@@ -207,12 +207,14 @@ def test_scoring_keeps_every_id(spark):
     assert [scoring.batch_size(n) for n in (10, 1000, 1001, 2000, 2001)] == [8, 8, 4, 4, 2]
 
 
-def test_similarity_against_difflib(spark):
-    from difflib import SequenceMatcher
-
-    pairs = [("MKTAYIAKQR", "MKTAYIAKQR"), ("MKTAYIAKQR", "AYIAK"), ("ABC", "XYZ"), ("", "A"), (None, "A")]
-    df = spark.createDataFrame(pairs, "a string, b string")
-    got = {(r.a, r.b): r.matching_share for r in scoring.similarity(df, "a", "b").collect() if r.a}
-    for a, b in pairs[:3]:
-        blocks = SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()
-        assert got[(a, b)] == sum(m.size for m in blocks) / len(a)
+def test_shared_runs(spark):
+    texts = {1: "a b c d e f g", 2: "x a b c d e y", 3: "a b c d", 4: None, 5: "a b c d e f g", 6: "b  c\td e\nf a b c d e f"}
+    df = spark.createDataFrame(list(texts.items()), "i int, text string")
+
+    def runs(text):
+        words = (text or "").split()
+        return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+
+    want = {(i, j): len(runs(a) & runs(b)) / len(runs(a)) for i, a in texts.items() for j, b in texts.items() if runs(a) & runs(b)}
+    got = scoring.shared_runs(df, df.withColumnRenamed("i", "j"), "i", "j").collect()
+    assert {(r.i, r.j): r.matching_share for r in got} == want and len(want) == len(got) == 16
