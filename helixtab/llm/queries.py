@@ -79,7 +79,8 @@ def op7_virtual_slots(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of each document without the 400-byte strings that stand elsewhere too."""
-    return substrings.drop_repeats(read_table(spark, folder, "documents"), length=400)
+    rows = substrings.drop_repeats(read_table(spark, folder, "documents"), length=400)
+    return rows.withColumn("n_kept", F.col("n_bytes") - F.col("n_removed"))
 
 
 def op9_exact_duplicates(spark: SparkSession, folder: str) -> DataFrame:

@@ -12,8 +12,11 @@ bytes before them are put in order by deep-shallow sorting; taking the adjacent
 prefix, and in each class so joined the nearest in the order of the bytes before, gives for every
 anchor all the bytes that belong to a string of ``length`` that stands elsewhere too.
 
-A group of more than ``GROUP`` members is not gathered: its windows are counted by 128-bit
-fingerprints instead, which sums them before the shuffle.  Equal texts are worked on once: a text that two
+A group of more than ``GROUP`` members is divided before any task holds it.  Equal surroundings count as one
+member; then a radix step deals members into classes that agree in more bytes around the anchor.  Two anchors with
+a string in common agree in ``a`` bytes before them and in ``length - a`` from them on, so classes for ranges
+of ``a`` lose no pair; classes still too large are divided by narrower ranges, down to those in which
+members share a whole string and nothing is left to sort.  Equal texts are worked on once: a text that two
 documents have goes as a whole if it has ``length`` bytes.
 
 Defined results: a null text counts as empty and keeps its empty rest; texts shorter than ``length`` stay
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -319,23 +323,67 @@ _CONTEXT_ARROW = pa.schema(
 )
 
 
-def _windows(length: int):
-    """Fingerprints of all windows around the anchors of groups that are too large to gather."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                d1, d2, p, left, right = (batch.column(c)[row].as_py() for c in ("d1", "d2", "p", "left", "right"))
-                text = left[::-1] + right
-                n = len(text) - length + 1
-                marks = b"".join(xxhash.xxh3_128_digest(text[k : k + length]) for k in range(n))
-                pair = np.frombuffer(marks, np.int64).reshape(n, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array([d1] * n, pa.int64()), pa.array([d2] * n, pa.int64()), pa.array(np.arange(n) + p - len(left), pa.int64())],
-                    names=["h1", "h2", "d1", "d2", "low"],
-                )
-
-    return cut
+def _narrower(classes: DataFrame, width: int, step: int, length: int) -> DataFrame:
+    """Members of classes for ``width`` counts of shared bytes before the anchor, from ``low`` on, dealt into
+    classes for ``step`` counts each."""
+    edge = F.least(F.col("low") + width, F.lit(length + 1))
+    dealt = classes.withColumn("low", F.explode(F.sequence(F.col("low"), edge - 1, F.lit(step))))
+    # who shares at most `last` bytes before the anchor needs the rest of the string from it on
+    last = F.least(F.col("low") + step, F.lit(length + 1)) - 1
+    dealt = dealt.withColumn("rest", F.greatest(length - last, F.lit(0)))
+    dealt = dealt.where((F.octet_length("left") >= F.col("low")) & (F.octet_length("right") >= F.col("rest")))
+    shared = [F.col("gram"), F.col("low"), F.expr("substring(left, 1, low)"), F.expr("substring(right, 1, rest)")]
+    return dealt.withColumns({"key": F.xxhash64(*shared), "check": F.xxhash64(F.lit(7), *shared)}).drop("rest")
+
+
+def _divided(contexts: DataFrame, length: int, gram: int, group: int) -> DataFrame:
+    """Spans of the groups of more than ``group`` members, none of which is gathered whole."""
+    parts = shuffle_partitions(contexts.sparkSession)
+    same = ["key", "left", "right"]
+    named = contexts.withColumns({"h1": F.xxhash64(*same), "h2": F.xxhash64(F.lit(7), *same)})
+    # equal surroundings are put together before the shuffle
+    members = stage(
+        named.groupBy("h1", "h2").agg(
+            F.count(F.lit(1)).alias("n"), F.first("key").alias("gram"), F.first("left").alias("left"), F.first("right").alias("right")
+        ),
+        "members",
+    )
+    used = [members]
+    classes = members.select("h1", "h2", "gram", "left", "right", F.col("gram").alias("key"), F.lit(0).alias("low"))
+    whole = F.col("n") > 1
+    found = members.where(whole).select("h1", "h2", F.octet_length("left").alias("near"), F.octet_length("right").alias("far"))
+    # each width is a multiple of the next, so no member meets itself in a class
+    width, step = length + 1, 4 ** max(0, int(math.log((length + 1) / 4, 4)))
+    while True:
+        sizes = classes.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+        large = sizes.where(F.col("size") > group).select("key")
+        small = classes.join(large, "key", "left_anti").select("key", F.col("h1").alias("d1"), F.col("h2").alias("d2"), F.lit(0).alias("p"), "left", "right")
+        matched = small.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_match(length, gram), _SPAN)
+        found = found.unionByName(
+            matched.select(F.col("d1").alias("h1"), F.col("d2").alias("h2"), (-F.col("low")).cast("int").alias("near"), F.col("high").cast("int").alias("far"))
+        )
+        if large.isEmpty():
+            break
+        classes = stage(_narrower(classes.join(large, "key", "left_semi"), width, step, length), "classes")
+        used.append(classes)
+        width, step = step, max(1, step // 4)
+        if width == 1:  # members of a class share the string that starts ``low`` bytes before the anchor
+            twice = classes.groupBy("key", "check").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key", "check")
+            found = found.unionByName(
+                classes.join(twice, ["key", "check"]).select("h1", "h2", F.col("low").alias("near"), (length - F.col("low")).alias("far"))
+            )
+            break
+    # one row per member: the strings of an anchor all cover it, so they are one run
+    reach = found.groupBy("h1", "h2").agg(F.max("near").alias("near"), F.max("far").alias("far"))
+    spans = stage(
+        named.select("h1", "h2", "d1", "d2", "p")
+        .join(reach, ["h1", "h2"])
+        .select("d1", "d2", (F.col("p") - F.col("near")).alias("low"), (F.col("p") + F.col("far")).alias("high")),
+        "divided",
+    )
+    for table in used:
+        discard(table)
+    return spans
 
 
 # --- the job ----------------------------------------------------------------------------------
@@ -372,13 +420,16 @@ def repeated_spans(
 
     found = stage(keyed.select("d1", "d2", "text").mapInArrow(_find_anchors(length, gram), _ANCHOR), "anchors")
     tag = F.xxhash64("d1", "d2", "p")
+    # a gram is hot by the anchors of all documents; copies of a text make one member later on
     again = (
-        found.where("key is not null").groupBy("key").agg(F.min(tag).alias("x"), F.max(tag).alias("y")).where("x != y").select("key")
+        found.where("key is not null")
+        .groupBy("key")
+        .agg(F.min(tag).alias("x"), F.max(tag).alias("y"), (F.count(F.lit(1)) > group).alias("hot"))
+        .where("x != y")
+        .select("key", "hot")
     )
     # copies of a text have the same anchors: one set for each text
-    alive = stage(found.join(again, "key").select("d1", "d2", "key", "p", "before", "after").distinct(), "alive")
-    many = alive.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group).select("key", F.lit(True).alias("hot"))
-    alive = alive.join(many, "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    alive = stage(found.join(again, "key").select("d1", "d2", "key", "hot", "p", "before", "after").distinct(), "alive")
     places = alive.groupBy("d1", "d2").agg(F.collect_list(F.struct("key", "p", "before", "after", "hot")).alias("places"))
     places = places.join(texts.select("d1", "d2", "first.doc_id"), ["d1", "d2"]).select(
         F.xxhash64("d1", "d2", "doc_id").alias("who"), "places"
@@ -394,17 +445,12 @@ def repeated_spans(
     spans = matched.unionByName(
         found.where("key is null").select("d1", "d2", F.col("p").alias("low"), (F.col("p") + F.col("after")).alias("high"))
     )
-    if not many.isEmpty():
-        windows = stage(
-            contexts.where("hot").mapInArrow(_windows(length), "h1 long, h2 long, d1 long, d2 long, low long"), "windows"
-        )
-        place = F.xxhash64("d1", "d2", "low")
-        twice = windows.groupBy("h1", "h2").agg(F.min(place).alias("x"), F.max(place).alias("y")).where("x != y")
-        hot = windows.join(twice.select("h1", "h2"), ["h1", "h2"]).select("d1", "d2", "low", (F.col("low") + length).alias("high"))
-        spans = spans.unionByName(hot)
+    hot = contexts.where("hot")
+    if not hot.isEmpty():
+        spans = spans.unionByName(_divided(hot, length, gram, group))
     spans = stage(spans.distinct(), "spans")
-    discard(contexts)
-    discard(found)
+    for table in (contexts, found, alive):
+        discard(table)
     return rows, spans
 
 

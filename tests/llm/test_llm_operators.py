@@ -255,6 +255,23 @@ def test_repeats(spark, group):
     assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows] == want
 
 
+@pytest.mark.parametrize("group", [4096, 25, 3])
+def test_repeats_in_large_groups(spark, group):
+    """Near copies of one passage: equal surroundings are one member, and classes get narrower until they fit."""
+    random = np.random.default_rng(5)
+    base = [f"w{x}" for x in random.integers(0, 10**6, 60)]
+    texts = []
+    for k in range(150):
+        words = list(base)
+        words[int(random.integers(0, 60))] = f"x{k}"  # no two copies are equal, no anchor lies in all of them
+        texts.append(" ".join(words[: int(random.integers(20, 61))]))
+    texts += ["z" * 500, " ".join(base), " ".join(base[5:])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = substrings.drop_repeats(docs, length=50, gram=12, group=group).orderBy("doc_id").collect()
+    want = brute_repeats([t.encode() for t in texts], 50)
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows] == want
+
+
 def test_repeats_in_ugly_rows(spark, monkeypatch):
     monkeypatch.setattr(substrings, "SEGMENT", 4096)
     rows = substrings.drop_repeats(ugly(spark), length=60, gram=20, with_bytes=True).collect()
