@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +27,7 @@ __all__ = [
     "shuffle_partitions",
     "stage",
     "text_or_empty",
+    "unused_name",
 ]
 
 
@@ -42,6 +43,14 @@ def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def unused_name(columns: Iterable[str], name: str) -> str:
+    """``name``, with underscores added until no column has it in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case; every other character stays."""
     return F.translate(text, UPPER, LOWER)

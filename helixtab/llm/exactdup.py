@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, discard, shuffle_partitions, stage, text_or_empty
+from .common import ascii_lower, discard, shuffle_partitions, stage, text_or_empty, unused_name
 
 RUN = "digest binary, n_bytes long, second long, id long, row long, n long, slot int"
 _KEY = ("digest", "n_bytes", "second")
@@ -135,11 +135,12 @@ def drop_copies(
     def key(digest: Column, ident: Column) -> Column:
         return F.concat(digest, F.coalesce(F.unhex(F.lpad(F.hex(ident), 16, "0")), F.lit(b"")))
 
-    kept = merge_runs(entries, keep_largest).select(key(F.col("digest"), F.col("id")).alias("__copy_key"))
+    name = unused_name(docs.columns, "__copy_key")
+    kept = merge_runs(entries, keep_largest).select(key(F.col("digest"), F.col("id")).alias(name))
     kept = stage(kept, "retained")
     discard(entries)
     keyed = docs.withColumn(
-        "__copy_key", key(digest_of(ascii_lower(text_or_empty(text_col))), F.col(id_col).cast("long"))
+        name, key(digest_of(ascii_lower(text_or_empty(text_col))), F.col(id_col).cast("long"))
     )
     # rows equal in id and text share the key: one of them stays
-    return keyed.join(kept, "__copy_key", "left_semi").dropDuplicates(["__copy_key"]).drop("__copy_key")
+    return keyed.join(kept, name, "left_semi").dropDuplicates([name]).drop(name)

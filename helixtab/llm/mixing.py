@@ -13,8 +13,8 @@ leaf with most of the rows is not gathered anywhere.
 
 Defined results: null text has no tokens; a null in a tree column is a child of its own; documents
 without tokens cost nothing and are taken whenever the prefix reaches them; a leaf without tokens takes its documents
-once; repeated rows are taken or left together where they are cut; an empty table gives an empty table; further columns, whatever their
-names, are carried along.
+once; repeated rows are taken or left together where they are cut; an empty table gives an empty table; further columns are carried along, and
+one that has the name of a result column gets underscores after its name.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import returning_memory, stage
+from .common import returning_memory, stage, unused_name
 from .tokens import encoded, encoder
 
 TREE = ("domain", "lang", "source")
@@ -143,7 +143,9 @@ def mix(
 ) -> DataFrame:
     """``docs`` with their tokens and ``copies``, the number of epochs that take the document."""
     names = [f"__n_{x}" for x in tree]
-    rows = docs.select("*", tokens.alias("__tokens"), *[
+    # columns go by number meanwhile, so that theirs and the working names can't clash
+    held = [F.col(f"`{c.replace('`', '``')}`").alias(f"in{k}") for k, c in enumerate(docs.columns)]
+    rows = docs.select(*held, F.col(id_col).cast("string").alias("__id"), tokens.alias("__tokens"), *[
         F.coalesce(F.col(x).cast("string"), F.lit("\x00none")).alias(f"__n_{x}") for x in tree
     ])
     leaves = stage(rows.groupBy(*names).agg(F.sum("__tokens").alias("__supply")), "leaves")
@@ -156,7 +158,7 @@ def mix(
         F.expr("if(__supply > 0, cast(__budget as bigint) % __supply, 0)").alias("__rest"),
     )
     plan = stage(plan.coalesce(1), "budgets")
-    rank = F.md5(F.concat_ws(":", F.lit(seed), (F.col("__epochs") + 1).cast("string"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    rank = F.md5(F.concat_ws(":", F.lit(seed), (F.col("__epochs") + 1).cast("string"), F.coalesce("__id", F.lit(""))))
     ranked = rows.join(plan, names).withColumn("__rank", rank).withColumn("__range", F.substring("__rank", 1, 3))
     sums = ranked.groupBy(*names, "__range", "__rest").agg(F.sum("__tokens").alias("__n"))
     upto = F.sum("__n").over(Window.partitionBy(*names).orderBy("__range"))
@@ -176,8 +178,12 @@ def mix(
     edge = ranked.where(inside).withColumn(
         "__in", takes & (F.sum("__tokens").over(order) + F.col("__cut.before") <= F.col("__rest"))
     )
+    results = [tokens_name, copies_name]
+    shown: list[str] = []
+    for c in docs.columns:
+        shown.append(unused_name([*results, *shown, *docs.columns], c) if c.lower() in map(str.lower, results) else c)
     return clear.unionByName(edge).select(
-        *[F.col(c) for c in docs.columns],
+        *[F.col(f"in{k}").alias(c) for k, c in enumerate(shown)],
         F.col("__tokens").alias(tokens_name),
         (F.col("__epochs") + F.col("__in").cast("int")).cast("int").alias(copies_name),
     )
@@ -189,9 +195,13 @@ def repeated(mixed: DataFrame, columns: Sequence[str], copies_name: str = "copie
 
 
 def oracle(
-    tree: Sequence[str] = TREE, budget_percent: int = BUDGET_PERCENT, max_epochs: int = MAX_EPOCHS, seed: str = SEED
+    tree: Sequence[str] = TREE,
+    budget_percent: int = BUDGET_PERCENT,
+    max_epochs: int = MAX_EPOCHS,
+    seed: str = SEED,
+    tokens: str = "(coalesce(strlen(text), 0) + 3) // 4",
 ) -> str:
-    """DuckDB SQL for the mixing of ``documents``: the same rule with plain windows."""
+    """DuckDB SQL for the mixing of ``documents``: the same rule with plain windows, over the expression ``tokens``."""
     digits = " ".join(f"when '{d:x}' then 'd{d % 4}'" for d in range(16))
 
     def weight(level: str) -> str:
@@ -202,7 +212,7 @@ def oracle(
     ctes = [
         f"""rows as (select doc_id, case substr(md5(coalesce(source, '')), 1, 1) {digits} end as n_domain,
   coalesce(lang, chr(1)) as n_lang, coalesce(source, chr(1)) as n_source,
-  cast((coalesce(strlen(text), 0) + 3) // 4 as bigint) as n_tokens from documents)""",
+  cast({tokens} as bigint) as n_tokens from documents)""",
         f"""leaf as (select n_domain, n_lang, n_source, cast(sum(n_tokens) as bigint) as supply,
   cast(sum(n_tokens) as hugeint) * {max_epochs} as cap from rows group by all)""",
         f"b0 as (select cast((sum(supply) * {budget_percent}) // 100 as hugeint) as budget from leaf)",

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, mix64, returning_memory, stage
+from .common import discard, mix64, returning_memory, stage, unused_name
 from .components import components
 from .tokens import slices
 
@@ -432,8 +432,9 @@ def drop_near_copies(
     kept = classes.where("root is not null and doc_id <=> component_id").groupBy("root").agg(
         F.min("doc_id").alias("doc_id"), F.min("text_key").alias("text_key")
     )
-    kept = stage(kept.select(F.xxhash64("doc_id", "text_key").alias("__who")), "kept")
-    empty = stage(classes.where("root is null").select(F.xxhash64("doc_id", "text_key").alias("__who")).distinct(), "wordless")
-    keyed = docs.withColumn("__who", F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text_col)))
-    grouped = keyed.join(kept, "__who", "left_semi").dropDuplicates(["__who"])
-    return grouped.unionByName(keyed.join(empty, "__who", "left_semi")).drop("__who")
+    who = unused_name(docs.columns, "__who")
+    kept = stage(kept.select(F.xxhash64("doc_id", "text_key").alias(who)), "kept")
+    empty = stage(classes.where("root is null").select(F.xxhash64("doc_id", "text_key").alias(who)).distinct(), "wordless")
+    keyed = docs.withColumn(who, F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text_col)))
+    grouped = keyed.join(kept, who, "left_semi").dropDuplicates([who])
+    return grouped.unionByName(keyed.join(empty, who, "left_semi")).drop(who)

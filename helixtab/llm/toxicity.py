@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import discard, stage
+from .common import discard, stage, unused_name
 
 SAMPLE_ROWS = 8000
 FEATURES = 160
@@ -102,9 +102,10 @@ def labelled_sample(
     known = labels.select(F.col(id_col).alias("__id"), *[c.cast("int").alias(f"__y_{n}") for n, c in categories.items()])
     known = known.dropna().groupBy("__id").agg(*[F.max(f"__y_{n}").alias(f"__y_{n}") for n in categories])
     picked = known.orderBy(F.xxhash64("__id"), "__id").limit(sample_rows)
-    # the sample is bounded by its parameter; a repeated document is one row of it
+    # the sample is bounded by its parameter; a repeated id is one row of it, with the first of its texts in order
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    return texts.join(F.broadcast(picked), "__id").dropDuplicates(["__id"])
+    marks = [f"__y_{n}" for n in categories]
+    return texts.join(F.broadcast(picked), "__id").groupBy("__id", *marks).agg(F.min("__text").alias("__text")).select("__id", "__text", *marks)
 
 
 def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,4 +251,5 @@ def label_categories() -> dict[str, Column]:
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents whose toxicity reaches the threshold."""
     chain = fit_chain(docs, labels, label_categories())
-    return score(docs, chain, name="__scores").where(F.col("__scores.toxic") < threshold).drop("__scores")
+    name = unused_name(docs.columns, "__scores")
+    return score(docs, chain, name=name).where(F.col(f"{name}.toxic") < threshold).drop(name)

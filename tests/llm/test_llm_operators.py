@@ -381,13 +381,20 @@ def test_mix_meets_shortage_among_siblings_first(spark):
 
 
 def test_mix_on_ugly_rows(spark):
-    docs = mixing.with_domain(ugly(spark).drop("copies", "n"))
-    rows = mixing.mix(docs, mixing.token_estimate(F.col("text"))).collect()
+    """Columns named like results, or like what the mixing works with, come out as they were."""
+    own = {"N_tokens": 7, "copies_": 5, "__tokens": 3, "__range": 2, "in0": 1, "a.b`c": 4}
+    docs = mixing.with_domain(ugly(spark)).withColumns({n: F.lit(v) for n, v in own.items()})
+    mixed = mixing.mix(docs, mixing.token_estimate(F.col("text")))
+    renamed = {"copies": "copies__", "N_tokens": "N_tokens_"}
+    assert mixed.columns == [*(renamed.get(c, c) for c in docs.columns), "n_tokens", "copies"]
+    rows = mixed.collect()
+    assert {(r["copies__"], *(r[renamed.get(n, n)] for n in own)) for r in rows} == {(9, *own.values())}
+    assert Counter((r.doc_id, r.text) for r in rows) == Counter(r[:2] for r in ugly_rows())
     assert len(rows) == len(ugly_rows())
     total = sum(r.n_tokens for r in rows)
     assert sum(r.n_tokens * r.copies for r in rows) <= total * 0.8
     assert all(0 <= r.copies <= 3 for r in rows)
-    assert mixing.mix(mixing.with_domain(nothing(spark).drop("copies")), F.lit(1)).count() == 0
+    assert mixing.mix(mixing.with_domain(nothing(spark)), F.lit(1)).count() == 0
 
 
 def test_shards(spark):
