@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixtab.llm import exactdup, mixing, neardup, packing, toxicity
-from helixtab.llm.common import new_folder, read_table, stage
+from helixtab.llm.common import new_folder, read_table, stage, unused_name
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -35,12 +35,13 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target weights take them."""
     columns = docs.columns
-    wide = mixing.with_domain(docs, name="__domain").withColumn("__counted", mixing.token_count(F.col("text")))
+    domain, counted, tokens, copies = (unused_name(columns, f"__{x}") for x in ("domain", "counted", "tokens", "copies"))
+    wide = mixing.with_domain(docs, name=domain).withColumn(counted, mixing.token_count(F.col("text")))
     wide = stage(wide, "counted")
-    tree = ("__domain", "lang", "source")
-    weights = {"__domain": mixing.WEIGHTS["domain"], "lang": mixing.WEIGHTS["lang"], "source": mixing.WEIGHTS["source"]}
-    chosen = mixing.mix(wide, F.col("__counted"), tree=tree, weights=weights, tokens_name="__tokens", copies_name="__copies")
-    return mixing.repeated(chosen, columns, "__copies")
+    tree = (domain, "lang", "source")
+    weights = {domain: mixing.WEIGHTS["domain"], "lang": mixing.WEIGHTS["lang"], "source": mixing.WEIGHTS["source"]}
+    chosen = mixing.mix(wide, F.col(counted), tree=tree, weights=weights, tokens_name=tokens, copies_name=copies)
+    return mixing.repeated(chosen, columns, copies)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
