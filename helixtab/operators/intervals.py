@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixtab.functions.codon import codon_number, codon_position
+from helixtab.functions.sums import exact_sum, exact_weighted_sum
 from helixtab.operators.scan import distribution, running
 
 # about the length of a coding segment: wider bins pair more strangers, narrower ones repeat more rows
@@ -112,14 +113,13 @@ def span_values(
 
 
 def segment_signal(
-    segments: DataFrame, signal: DataFrame, contig: str = "chrom", start: str = "start0", end: str = "end",
-    scale: int = 4,
+    segments: DataFrame, signal: DataFrame, contig: str = "chrom", start: str = "start0", end: str = "end"
 ) -> DataFrame:
     """A-36: mean value and covered bases per segment; nothing covered gives a null mean."""
     pieces = span_values(segments, signal, contig, start, end)
-    total = F.sum((F.col("value").cast(f"decimal(18,{scale})") * F.col("bases").cast("decimal(12,0)")))
+    total = exact_weighted_sum(F.col("value"), F.col("bases"))
     per_span = pieces.groupBy(contig, start, end).agg(
-        total.cast("double").alias("_total"), F.sum("bases").alias("_covered")
+        total.alias("_total"), F.sum("bases").alias("_covered")
     )
     return (
         segments.join(per_span, [contig, start, end], "left")
@@ -133,7 +133,7 @@ def segment_signal(
 
 def transcript_signal(
     segments: DataFrame, signal: DataFrame, tx: str, cutoff: float, contig: str = "chrom",
-    start: str = "start0", end: str = "end", scale: int = 4,
+    start: str = "start0", end: str = "end",
 ) -> DataFrame:
     """A-35: pooled mean, median, share of bases at or above a cutoff and coverage per transcript.
 
@@ -142,7 +142,7 @@ def transcript_signal(
     pieces = span_values(segments, signal, contig, start, end)
     valued = segments.join(pieces, [contig, start, end]).select(tx, "value", "bases")
     stats = distribution(
-        valued, tx, "value", {"median": 0.5}, {"frac_conserved": cutoff}, weight="bases", scale=scale
+        valued, tx, "value", {"median": 0.5}, {"frac_conserved": cutoff}, weight="bases"
     ).withColumnRenamed("n", "covered_bases")
     sizes = segments.groupBy(tx).agg(F.sum(F.col(end) - F.col(start)).alias("cds_bases"))
     return (
@@ -175,13 +175,12 @@ def per_base(
     )
 
 
-def per_residue(bases: DataFrame, tx: str, value: str, scale: int = 4) -> DataFrame:
+def per_residue(bases: DataFrame, tx: str, value: str) -> DataFrame:
     """A-37: mean over a codon and over its positions 1 and 2; missing values are left out."""
-    exact = lambda c: F.sum(c.cast(f"decimal(18,{scale})")).cast("double")
     first_two = F.when(F.col("codon_position") < 3, F.col(value))
     return bases.groupBy(tx, "codon_number").agg(
-        (exact(F.col(value)) / F.count(value)).alias("codon_mean"),
-        F.when(F.count(first_two) > 0, exact(first_two) / F.count(first_two)).alias("pos12_mean"),
+        (exact_sum(F.col(value)) / F.count(value)).alias("codon_mean"),
+        F.when(F.count(first_two) > 0, exact_sum(first_two) / F.count(first_two)).alias("pos12_mean"),
     )
 
 

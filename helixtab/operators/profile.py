@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixtab.functions.cells import blank_to_null, is_filled, parse_float
+from helixtab.functions.sums import exact_sum, exact_weighted_sum
 from helixtab.operators.scan import quantiles
 from helixtab.operators.select import first_rows
 from helixtab.workspace import stage
@@ -125,14 +126,13 @@ def measured_profile(sources: Sequence[tuple[DataFrame, Sequence[Measure]]]) ->
         reduce(DataFrame.unionByName, parts).groupBy(*key, "v", "p").agg(F.count(F.lit(1)).alias("n")),
         "measures",
     )
-    total = (F.col("v").cast("decimal(18,6)") * F.col("n").cast("decimal(19,0)")).cast("decimal(38,6)")
     valued = F.sum(F.when(F.col("v").isNotNull(), F.col("n")))
     per = counts.groupBy(*key).agg(
         F.sum("n").alias("_rows"),
         F.coalesce(F.sum(F.when(F.col("p"), F.col("n"))), F.lit(0)).alias("n_populated"),
         F.min("v").alias("min"),
         F.max("v").alias("max"),
-        (F.sum(total).cast("double") / valued).alias("mean"),
+        (exact_weighted_sum(F.col("v"), F.col("n")) / valued).alias("mean"),
     )
     medians = quantiles(counts, key, "v", {"median": 0.5}, weight="n")
     both = per.join(medians, key, "left")
@@ -214,7 +214,7 @@ def mean_and_invalid(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for c in columns:
         n = parse_float(F.col(c))
         aggs += [
-            F.sum(n.cast("decimal(38,6)")).cast("double").alias(f"s_{c}"),
+            exact_sum(n).alias(f"s_{c}"),
             F.count(n).alias(f"v_{c}"),
             F.count_if(n.isNull()).alias(f"i_{c}"),
         ]

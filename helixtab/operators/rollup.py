@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixtab.functions.cells import blank_to_null, is_filled, packed_items
+from helixtab.functions.sums import exact_sum
 from helixtab.operators.select import first_rows
 
 
@@ -15,11 +16,6 @@ def _names(cols: Sequence[str] | str) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def exact_sum(c: Column, scale: int = 2) -> Column:
-    """Sum of decimal-like doubles that does not depend on the order of addition."""
-    return F.sum(c.cast(f"decimal(18,{scale})")).cast("double")
-
-
 def key_audit(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """A-01, A-03: rows, empty cells, distinct values and repeated values per column.
 

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from helixtab.functions.sums import exact_weighted_sum
 from helixtab.workspace import stage
 
 LIMIT_CONF = "helixtab.maxGroupRows"
@@ -337,20 +338,18 @@ def distribution(
     probs: dict[str, float],
     above: dict[str, float] | None = None,
     weight: str | None = None,
-    scale: int = 2,
 ) -> DataFrame:
     """Count, mean, exact quantiles and shares at or above cut-offs per key, from one pass.
 
     The rows are read once to count equal values; all measures come from the counts.  The mean adds
-    ``scale``-digit decimals, so it does not depend on the order of addition.
+    decimals, so it does not depend on the order of addition.
     """
     keys = _names(keys)
     counts = stage(_value_counts(df, keys, value, weight), "values")
     n = F.sum("_n")
-    term = F.col(value).cast(f"decimal(18,{scale})") * F.col("_n").cast("decimal(19,0)")
     stats = counts.groupBy(*keys).agg(
         n.alias("n"),
-        (F.sum(term.cast(f"decimal(38,{scale})")).cast("double") / n).alias("mean"),
+        (exact_weighted_sum(F.col(value), F.col("_n")) / n).alias("mean"),
         *[
             (F.sum(F.when(F.col(value) >= cut, F.col("_n")).otherwise(0)) / n).alias(name)
             for name, cut in (above or {}).items()

@@ -275,7 +275,7 @@ def observed_distributions(
         F.lit("background").alias("bucket"), value
     )
     return scan.distribution(
-        matched.unionAll(background), "bucket", value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, scale=6
+        matched.unionAll(background), "bucket", value, {"q1": 0.25, "median": 0.5, "q3": 0.75}
     )
 
 

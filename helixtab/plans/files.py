@@ -169,7 +169,7 @@ def vcf_scores(t: Tables) -> DataFrame:
     return back.groupBy("chrom").agg(
         F.count(F.lit(1)).alias("n"),
         F.count(first).alias("n_scored"),
-        F.coalesce(rollup.exact_sum(first, 5), F.lit(0.0)).alias("total"),
+        F.coalesce(rollup.exact_sum(first), F.lit(0.0)).alias("total"),
         F.sum(F.col("id").cast("bigint")).alias("id_check"),
     )
 
