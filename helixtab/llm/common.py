@@ -7,6 +7,7 @@ import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,10 @@ from helixtab.workspace import new_folder, stage
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _MASK = (1 << 64) - 1
+
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of a batch that goes to Python while texts are staged; a longer text is a batch of its own.
+TEXT_BATCH = 2 << 20
 _M1, _M2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
 __all__ = [
@@ -26,6 +31,7 @@ __all__ = [
     "returning_memory",
     "shuffle_partitions",
     "stage",
+    "stage_texts",
     "text_or_empty",
     "unused_name",
 ]
@@ -76,6 +82,7 @@ def returning_memory(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator
     def held(batches: Iterator) -> Iterator:
         yield from work(batches)
         gc.collect()
+        pa.default_memory_pool().release_unused()
         try:
             ctypes.CDLL(None).malloc_trim(0)
         except (OSError, AttributeError):  # another C library: nothing to give back
@@ -84,6 +91,23 @@ def returning_memory(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator
     return held
 
 
+def stage_texts(df: DataFrame, label: str = "stage") -> DataFrame:
+    """``stage`` for a table made from whole texts in Python, which get there in batches of bounded size.
+
+    The setting is the session's as it was afterwards, as the table is written by then.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_BATCH_CONF, None)
+    conf.set(_BATCH_CONF, str(TEXT_BATCH))
+    try:
+        return stage(df, label)
+    finally:
+        if before is None:
+            conf.unset(_BATCH_CONF)
+        else:
+            conf.set(_BATCH_CONF, before)
+
+
 def discard(df_or_path: DataFrame | str, spark: SparkSession | None = None) -> None:
     """Delete a staged table that nothing returned to the caller reads any more."""
     if isinstance(df_or_path, DataFrame):

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, mix64, returning_memory, stage, unused_name
+from .common import discard, mix64, returning_memory, stage, stage_texts, unused_name
 from .components import components
 from .tokens import slices
 
@@ -333,7 +333,7 @@ def near_classes(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_key, n_shingles, component_id (smallest id reachable)
     and root (an internal number of the component, null for empty sets)."""
-    sets = stage(_rows(docs, id_col, text_col).mapInArrow(returning_memory(_describe(width, _SETS_ARROW)), _SETS), "sets")
+    sets = stage_texts(_rows(docs, id_col, text_col).mapInArrow(returning_memory(_describe(width, _SETS_ARROW)), _SETS), "sets")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")).alias("who")
     reps = (
         sets.where("n > 0")
@@ -369,7 +369,7 @@ def near_classes(
         "neighbours",
     )
     named = stars.select(F.explode(F.array("a", "b")).alias("node")).unionByName(beside.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
-    shingles = stage(_sets_of(docs, reps.join(named, "node"), width, id_col, text_col), "shingles")
+    shingles = stage_texts(_sets_of(docs, reps.join(named, "node"), width, id_col, text_col), "shingles")
 
     links = stage(_verified(stars, shingles, percent), "links")
     joined = components(links)
@@ -394,7 +394,7 @@ def near_classes(
     asked = rest.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowded).distinct()
     more = stage(reps.join(asked.join(shingles.select("node"), "node", "left_anti"), "node"), "more")
     if not more.isEmpty():
-        shingles = shingles.unionByName(stage(_sets_of(docs, more, width, id_col, text_col), "shingles"))
+        shingles = shingles.unionByName(stage_texts(_sets_of(docs, more, width, id_col, text_col), "shingles"))
     # the members of regions without a bound on their size: what they share with any other of them
     single = (
         shingles.join(crowded, "node")

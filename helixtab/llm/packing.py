@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import returning_memory, stage
+from .common import returning_memory, stage_texts
 from .tokens import encoded, encoder
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, place long, ids binary"
@@ -128,7 +128,7 @@ def _pieces(vocabulary: str | None, end_id: int, capacity: int, dtype: str, sche
                     out["place"].append(seen[high - low])
                     out["ids"].append(own.tobytes())
                     seen[high - low] += 1
-                if len(out["ids"]) >= 4096:
+                if len(out["ids"]) >= 1024:
                     yield pa.RecordBatch.from_pydict(out, schema)
                     out = {n: [] for n in schema.names}
             if out["ids"]:
@@ -153,7 +153,7 @@ def cut_pieces(
 ) -> DataFrame:
     """The pieces of all documents with their ids, written once: places are tied to the tasks that wrote them."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return stage(rows.mapInArrow(returning_memory(_pieces(vocabulary, end_id, capacity, dtype, _schema())), PIECE), "pieces")
+    return stage_texts(rows.mapInArrow(returning_memory(_pieces(vocabulary, end_id, capacity, dtype, _schema())), PIECE), "pieces")
 
 
 def place_pieces(pieces: DataFrame, capacity: int = 2048) -> DataFrame:

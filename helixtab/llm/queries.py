@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, exactdup, hardneg, linealign, manifest, mixing, neardup, ngramjoin, packing, sharding, substrings, token_store, toxicity
-from .common import LOWER, UPPER, new_folder, read_table, stage
+from .common import LOWER, UPPER, new_folder, read_table, stage_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +29,7 @@ def op2_bin_slack_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """How often each document enters a mix with target weights by domain, language and source."""
     docs = read_table(spark, folder, "documents")
-    counted = stage(docs.select("doc_id", "lang", "source", mixing.token_count(F.col("text")).alias("n")), "counted")
+    counted = stage_texts(docs.select("doc_id", "lang", "source", mixing.token_count(F.col("text")).alias("n")), "counted")
     mixed = mixing.mix(mixing.with_domain(counted), F.col("n"))
     return mixed.select("doc_id", "domain", "lang", "source", "n_tokens", "copies")
 

@@ -17,14 +17,15 @@ import os
 import re
 import weakref
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
 LONGEST_KEPT = 64
-MOST_KEPT = 100_000
-BATCH_BYTES = 1 << 20
+MOST_KEPT = 200_000
+BATCH_BYTES = 2 << 20
 
 SPACE, LETTER, MARK, LEAD, OTHER = 1, 2, 3, 4, 0
 
@@ -94,32 +95,45 @@ class Encoder:
         if self.tokenizer.get_vocab_size() > np.iinfo(self.dtype).max + 1:
             raise ValueError(f"ids of {vocabulary} don't fit {dtype}")
         self.kept: dict[bytes, bytes] = {}
-
-    def _new(self, pieces: list[bytes]) -> dict[bytes, bytes]:
-        found, rest = {}, []
-        for piece in pieces:
-            if _ONE_WORD.match(piece):
-                named = piece.decode("latin-1").translate(_NAMES)
-                ids = [t.id for t in self.model.tokenize(named)]
-                found[piece] = np.array(ids, self.dtype).tobytes()
-            else:
-                rest.append(piece)
+        self.kept_before: dict[bytes, bytes] = {}
+
+    def _new(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece, as bytes."""
+        out: list[bytes] = [b""] * len(pieces)
+        # a line for each piece; those that hold a line break are none of the words
+        lines = [p if _ONE_WORD.match(p) else b"" for p in pieces]
+        words = b"\n".join(lines).decode("latin-1").translate(_NAMES).split(_NAMES[0x0A])
+        tokenize = self.model.tokenize
+        found = [[t.id for t in tokenize(w)] if w else () for w in words]
+        flat = np.fromiter(chain.from_iterable(found), self.dtype).tobytes()
+        width, low = self.dtype.itemsize, 0
+        for k, ids in enumerate(found):
+            high = low + width * len(ids)
+            out[k] = flat[low:high]
+            low = high
+        rest = [k for k, line in enumerate(lines) if not line]
         if rest:
-            for piece, x in zip(
-                rest, self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False)
-            ):
-                found[piece] = np.array(x.ids, self.dtype).tobytes()
-        return found
+            texts = [pieces[k].decode() for k in rest]
+            for k, x in zip(rest, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                out[k] = np.array(x.ids, self.dtype).tobytes()
+        return out
 
     def _ids(self, pieces: list[bytes]) -> list[bytes]:
         ids = list(map(self.kept.get, pieces))
-        if None in ids:
-            new = self._new([p for p, x in zip(pieces, ids) if x is None])
-            ids = [new[p] if x is None else x for p, x in zip(pieces, ids)]
-            self.kept.update((p, x) for p, x in new.items() if len(p) <= LONGEST_KEPT)
-            if len(self.kept) > MOST_KEPT:
-                # those of the present batch hold most of the pieces that come again
-                self.kept = {p: x for p, x in zip(pieces, ids) if len(p) <= LONGEST_KEPT}
+        missing = [k for k, x in enumerate(ids) if x is None]
+        if not missing:
+            return ids
+        names = [pieces[k] for k in missing]
+        before = list(map(self.kept_before.get, names))
+        unknown = [k for k, x in enumerate(before) if x is None]
+        for k, x in zip(unknown, self._new([names[k] for k in unknown]) if unknown else ()):
+            before[k] = x
+        for k, x in zip(missing, before):
+            ids[k] = x
+        self.kept.update((p, x) for p, x in zip(names, before) if len(p) <= LONGEST_KEPT)
+        if len(self.kept) > MOST_KEPT:
+            # a piece stays if it comes again before as many others have come
+            self.kept, self.kept_before = {}, self.kept
         return ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
