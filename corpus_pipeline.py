@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixtab.llm import exactdup, mixing, neardup, packing, toxicity
-from helixtab.llm.common import new_folder, read_table, stage, unused_name
+from helixtab.llm.common import new_folder, read_table, stage_texts, unused_name
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -37,7 +37,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns = docs.columns
     domain, counted, tokens, copies = (unused_name(columns, f"__{x}") for x in ("domain", "counted", "tokens", "copies"))
     wide = mixing.with_domain(docs, name=domain).withColumn(counted, mixing.token_count(F.col("text")))
-    wide = stage(wide, "counted")
+    wide = stage_texts(wide, "counted")
     tree = (domain, "lang", "source")
     weights = {domain: mixing.WEIGHTS["domain"], "lang": mixing.WEIGHTS["lang"], "source": mixing.WEIGHTS["source"]}
     chosen = mixing.mix(wide, F.col(counted), tree=tree, weights=weights, tokens_name=tokens, copies_name=copies)
