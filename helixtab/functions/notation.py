@@ -78,6 +78,7 @@ class _Parts:
         self.residue, self.position = cell(0), _int(cell(1))
         self.is_range = cell(3) != ""
         self.end = F.when(self.is_range, _int(cell(3))).otherwise(self.position)
+        self.end_residue = F.when(self.is_range, cell(2)).otherwise(self.residue)
         self.op, self.tail = cell(4), cell(5)
 
     def when(self, op: str, ranged: bool | None = None) -> Column:
@@ -94,7 +95,7 @@ def _details(
 ) -> Column:
     """The fields each category fills; all others are null.
 
-    ``named`` are the categories that keep their residues.
+    ``named`` are the categories that keep their residues; spans name the residues at both ends.
     """
     filled = lambda value, *kinds: F.when(category.isin(*kinds), value)
     spans, inserts = ("del", "dup", "delins"), ("ins", "delins")
@@ -106,6 +107,8 @@ def _details(
         filled(stop, "nonsense").alias("keep_to"),
         filled(parts.position, *spans).alias("start"),
         filled(parts.end, *spans).alias("end"),
+        filled(parts.residue, *spans).alias("wt_start"),
+        filled(parts.end_residue, *spans).alias("wt_end"),
         filled(parts.position, "ins").alias("after"),
         filled(inserted, *inserts).alias("inserted"),
         filled(n_inserted, *inserts).alias("n_inserted"),

@@ -206,6 +206,7 @@ def _summary(df: DataFrame) -> DataFrame:
         total("n_inserted").alias("n_inserted"),
         _checksum(F.coalesce("details.inserted", F.lit(""))).alias("inserted_check"),
         F.count_if("details.truncate").alias("n_truncated"),
+        _checksum(F.coalesce(F.concat_ws("-", "details.wt_start", "details.wt_end"), F.lit(""))).alias("ends_check"),
     )
 
 
@@ -213,7 +214,8 @@ _SUMMARY_SQL = """
 SELECT category, count(*) AS n, coalesce(sum(pos), 0)::BIGINT AS sum_pos, coalesce(sum(s), 0)::BIGINT AS sum_start,
   coalesce(sum(e), 0)::BIGINT AS sum_end, coalesce(sum(aft), 0)::BIGINT AS sum_after, coalesce(sum(keep), 0)::BIGINT AS sum_keep,
   coalesce(sum(n_ins), 0)::BIGINT AS n_inserted, sum(('0x' || left(md5(coalesce(ins, '')), 7))::BIGINT)::BIGINT AS inserted_check,
-  count(CASE WHEN trunc THEN 1 END) AS n_truncated FROM d GROUP BY 1"""
+  count(CASE WHEN trunc THEN 1 END) AS n_truncated,
+  sum(('0x' || left(md5(coalesce(ends, '')), 7))::BIGINT)::BIGINT AS ends_check FROM d GROUP BY 1"""
 
 _CODES = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in {**notation.THREE_TO_ONE, "Sec": "U"}.items()) + "}"
 
@@ -245,7 +247,8 @@ d AS (SELECT *,
     CASE WHEN category = 'ins' THEN p1 END AS aft, CASE WHEN category = 'nonsense' THEN CASE WHEN op = 'ins' THEN p1 ELSE p1 - 1 END END AS keep,
     CASE WHEN category IN ('ins', 'delins') THEN len(kept) END AS n_ins,
     CASE WHEN category IN ('ins', 'delins') THEN array_to_string(list_filter(list_transform(kept, lambda x: {_CODES}[x]), lambda y: y IS NOT NULL), '') END AS ins,
-    CASE WHEN category IN ('ins', 'delins') THEN cut END AS trunc FROM c)
+    CASE WHEN category IN ('ins', 'delins') THEN cut END AS trunc,
+    CASE WHEN category IN ('delins', 'del', 'dup') THEN w1 || '-' || coalesce(nullif(w2, ''), w1) END AS ends FROM c)
 """
 
 
@@ -272,7 +275,7 @@ _DESCR1 = """CASE WHEN l_returnflag = 'A' AND l_tax = 0 THEN 'Substitution - cod
     f"WITH l AS (SELECT {_CHANGE1} AS ch, {_DESCR1} AS ds FROM lineitem),"
     + r"""
 g AS (SELECT ch, ds, regexp_extract(ch, '^p\.([A-Z])(\d+)(?:_([A-Z])(\d+))?(delins|ins|del|dup)?([A-Z*]*)$', ['w1', 'p1', 'w2', 'p2', 'op', 'tail']) AS g FROM l),
-n AS (SELECT ch, ds, g.w1 AS w1, try_cast(g.p1 AS INTEGER) AS p1, try_cast(g.p2 AS INTEGER) AS p2, g.op AS op, g.tail AS tail,
+n AS (SELECT ch, ds, g.w1 AS w1, g.w2 AS w2, try_cast(g.p1 AS INTEGER) AS p1, try_cast(g.p2 AS INTEGER) AS p2, g.op AS op, g.tail AS tail,
   regexp_full_match(g.tail, '[ACDEFGHIKLMNPQRSTVWY]+') AS ok FROM g),
 c AS (SELECT *, CASE WHEN ds = 'Substitution - coding silent' THEN 'synonymous' WHEN ds = 'Frameshift' THEN 'frameshift_or_stoploss'
   WHEN ch NOT LIKE 'p.%' THEN 'no_protein_notation'
@@ -285,7 +288,8 @@ c AS (SELECT *, CASE WHEN ds = 'Substitution - coding silent' THEN 'synonymous'
 d AS (SELECT category, CASE WHEN category = 'missense' THEN p1 END AS pos, CASE WHEN category IN ('del', 'dup', 'delins') THEN p1 END AS s,
   CASE WHEN category IN ('del', 'dup', 'delins') THEN coalesce(p2, p1) END AS e, CASE WHEN category = 'ins' THEN p1 END AS aft,
   CASE WHEN category = 'nonsense' THEN p1 - 1 END AS keep, CASE WHEN category IN ('ins', 'delins') THEN length(tail) END AS n_ins,
-  CASE WHEN category IN ('ins', 'delins') THEN tail END AS ins, false AS trunc FROM c)
+  CASE WHEN category IN ('ins', 'delins') THEN tail END AS ins, false AS trunc,
+  CASE WHEN category IN ('del', 'dup', 'delins') THEN w1 || '-' || coalesce(nullif(w2, ''), w1) END AS ends FROM c)
 """
     + _SUMMARY_SQL
 )

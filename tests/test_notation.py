@@ -8,20 +8,20 @@ THREE = {
     "=": ("synonymous_explicit", {}),
     "Gly12=": ("synonymous_explicit", {}),
     "Leu473fs": ("frameshift", {}),
-    "Gly10_Ala12delinsTrpVal": ("delins", {"start": 10, "end": 12, "inserted": "WV", "n_inserted": 2, "truncate": False}),
-    "Gly10delinsTrpTer": ("delins", {"start": 10, "end": 10, "inserted": "W", "n_inserted": 1, "truncate": True}),
-    "Gly10delinsTer": ("delins", {"start": 10, "end": 10, "inserted": "", "n_inserted": 0, "truncate": True}),
+    "Gly10_Ala12delinsTrpVal": ("delins", {"start": 10, "end": 12, "wt_start": "Gly", "wt_end": "Ala", "inserted": "WV", "n_inserted": 2, "truncate": False}),
+    "Gly10delinsTrpTer": ("delins", {"start": 10, "end": 10, "wt_start": "Gly", "wt_end": "Gly", "inserted": "W", "n_inserted": 1, "truncate": True}),
+    "Gly10delinsTer": ("delins", {"start": 10, "end": 10, "wt_start": "Gly", "wt_end": "Gly", "inserted": "", "n_inserted": 0, "truncate": True}),
     "Gly10delinsTrpVa": ("unparsed", {}),
     "Gly10delinsFoo": ("unparsed", {}),
-    "Gly10delinsTerTrp": ("delins", {"start": 10, "end": 10, "inserted": "W", "n_inserted": 2, "truncate": False}),
+    "Gly10delinsTerTrp": ("delins", {"start": 10, "end": 10, "wt_start": "Gly", "wt_end": "Gly", "inserted": "W", "n_inserted": 2, "truncate": False}),
     "Thr33_Trp34insTer": ("nonsense", {"keep_to": 33}),
     "Ala42_Ala43insAspAla": ("ins", {"after": 42, "inserted": "DA", "n_inserted": 2, "truncate": False}),
     "Ala42_Ala43insXaa": ("ins", {"after": 42, "inserted": "", "n_inserted": 1, "truncate": False}),
     "Ala42insAla": ("unparsed", {}),
-    "Glu10_Gly12del": ("del", {"start": 10, "end": 12}),
-    "Glu315del": ("del", {"start": 315, "end": 315}),
-    "Ala5_Gly7dup": ("dup", {"start": 5, "end": 7}),
-    "Thr123dup": ("dup", {"start": 123, "end": 123}),
+    "Glu10_Gly12del": ("del", {"start": 10, "end": 12, "wt_start": "Glu", "wt_end": "Gly"}),
+    "Glu315del": ("del", {"start": 315, "end": 315, "wt_start": "Glu", "wt_end": "Glu"}),
+    "Ala5_Gly7dup": ("dup", {"start": 5, "end": 7, "wt_start": "Ala", "wt_end": "Gly"}),
+    "Thr123dup": ("dup", {"start": 123, "end": 123, "wt_start": "Thr", "wt_end": "Thr"}),
     "Gly1046Arg": ("missense", {"pos": 1046, "wt": "Gly", "mut": "Arg"}),
     "Gly12Gly": ("synonymous", {"pos": 12, "wt": "Gly", "mut": "Gly"}),
     "Arg5Ter": ("nonsense", {"keep_to": 4}),
@@ -43,14 +43,14 @@ ONE = {
     ("p.G12G", ""): ("synonymous", {}),
     ("p.B12G", ""): ("unparsed", {}),
     ("p.G12B", ""): ("unparsed", {}),
-    ("p.E5_K7del", ""): ("del", {"start": 5, "end": 7}),
-    ("p.E5del", ""): ("del", {"start": 5, "end": 5}),
-    ("p.E5_K7dup", ""): ("dup", {"start": 5, "end": 7}),
-    ("p.E5dup", ""): ("dup", {"start": 5, "end": 5}),
+    ("p.E5_K7del", ""): ("del", {"start": 5, "end": 7, "wt_start": "E", "wt_end": "K"}),
+    ("p.E5del", ""): ("del", {"start": 5, "end": 5, "wt_start": "E", "wt_end": "E"}),
+    ("p.E5_K7dup", ""): ("dup", {"start": 5, "end": 7, "wt_start": "E", "wt_end": "K"}),
+    ("p.E5dup", ""): ("dup", {"start": 5, "end": 5, "wt_start": "E", "wt_end": "E"}),
     ("p.E5_K6insGG", ""): ("ins", {"after": 5, "inserted": "GG", "n_inserted": 2, "truncate": False}),
     ("p.E5_K6insGX", ""): ("unparsed", {}),
-    ("p.E5_K7delinsW", ""): ("delins", {"start": 5, "end": 7, "inserted": "W", "n_inserted": 1, "truncate": False}),
-    ("p.E5delinsWK", ""): ("delins", {"start": 5, "end": 5, "inserted": "WK", "n_inserted": 2, "truncate": False}),
+    ("p.E5_K7delinsW", ""): ("delins", {"start": 5, "end": 7, "wt_start": "E", "wt_end": "K", "inserted": "W", "n_inserted": 1, "truncate": False}),
+    ("p.E5delinsWK", ""): ("delins", {"start": 5, "end": 5, "wt_start": "E", "wt_end": "E", "inserted": "WK", "n_inserted": 2, "truncate": False}),
 }
 
 
