@@ -28,6 +28,21 @@ def exact_sum(c: Column) -> Column:
     return _or_plain(value, F.try_sum(value.try_cast(_VALUE)).cast("double"), F.sum(value))
 
 
+def exact_total(*cols: Column) -> Column:
+    """``exact_sum`` of up to three columns of one row."""
+    if len(cols) > 3:
+        raise ValueError("the decimals hold the sum of three values")
+    values = [c.cast("double") for c in cols]
+    missing = F.coalesce(*values).isNull()
+    plain = sum((F.coalesce(v, F.lit(0.0)) for v in values[1:]), F.coalesce(values[0], F.lit(0.0)))
+    exact = [F.when(v.isNull(), F.lit(0).cast(_VALUE)).otherwise(v.try_cast(_VALUE)) for v in values]
+    total = sum(exact[1:], exact[0])
+    sizes = [F.abs(F.coalesce(v, F.lit(0.0))) for v in values]
+    largest = F.greatest(*sizes) if len(sizes) > 1 else sizes[0]
+    fits = total.isNotNull() & ((largest >= LEAST) | (largest == 0))
+    return F.when(~missing, F.when(fits, total.cast("double")).otherwise(plain))
+
+
 def exact_weighted_sum(c: Column, times: Column) -> Column:
     """Aggregate: the sum of each value as often as the whole number ``times`` says."""
     value, n = c.cast("double"), times.cast("decimal(18,0)")

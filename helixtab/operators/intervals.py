@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixtab.functions.codon import codon_number, codon_position
-from helixtab.functions.sums import exact_sum, exact_weighted_sum
+from helixtab.functions.sums import exact_sum, exact_total, exact_weighted_sum
 from helixtab.operators.scan import distribution, running
 
 # about the length of a coding segment: wider bins pair more strangers, narrower ones repeat more rows
@@ -152,6 +152,12 @@ def transcript_signal(
     )
 
 
+def _placed(segments: DataFrame, tx: str, order: Sequence[str], start_1based: str, end_1based: str) -> DataFrame:
+    """Segments that have bases, with their length and the running length up to their end."""
+    sized = segments.withColumn("_len", F.col(end_1based) - F.col(start_1based) + 1).where("_len > 0")
+    return running(sized, tx, order, row_weight=100, _cum=("sum", F.col("_len")))
+
+
 def per_base(
     segments: DataFrame, tx: str, order: Sequence[str], start_1based: str, end_1based: str, strand: str
 ) -> DataFrame:
@@ -160,8 +166,7 @@ def per_base(
     The place is the running length of the earlier segments plus the offset inside the segment, so
     only segments are ordered, never bases; on the minus strand the offset runs backwards.
     """
-    sized = segments.withColumn("_len", F.col(end_1based) - F.col(start_1based) + 1).where("_len > 0")
-    placed = running(sized, tx, order, row_weight=100, _cum=("sum", F.col("_len")))
+    placed = _placed(segments, tx, order, start_1based, end_1based)
     bases = placed.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_len") - 1)))
     forward = F.col(start_1based) + F.col("_k")
     backward = F.col(end_1based) - F.col("_k")
@@ -184,6 +189,44 @@ def per_residue(bases: DataFrame, tx: str, value: str) -> DataFrame:
     )
 
 
+def segment_residues(
+    segments: DataFrame, tx: str, order: Sequence[str], start_1based: str, end_1based: str, strand: str,
+    value: Callable[[Column, Column], Column],
+) -> DataFrame:
+    """A-37 from segments: the codons of ``per_residue`` over ``per_base``, without a row per base.
+
+    ``value`` gives a base's value from its genomic place and codon position.  A codon inside one segment is finished
+    in that segment's row; only those at a segment's edges, two at most, are grouped, and there each base has one row.
+    """
+    placed = _placed(segments, tx, order, start_1based, end_1based)
+    before, upto = F.col("_cum") - F.col("_len"), F.col("_cum")
+
+    def valued(codons: Column) -> DataFrame:
+        rows = placed.withColumn("codon_number", F.explode(codons))
+        cols = [F.col(tx), F.col("codon_number")]
+        for i in (1, 2, 3):
+            k = (F.col("codon_number") - 1) * 3 + (i - 1) - before
+            place = F.when(F.col(strand) == -1, F.col(end_1based) - k).otherwise(F.col(start_1based) + k)
+            here = (k >= 0) & (k < F.col("_len"))
+            cols.append(F.when(here, value(place, F.lit(i))).cast("double").alias(f"_v{i}"))
+            cols.append(here.alias(f"_h{i}"))
+        return rows.select(*cols)
+
+    first, last = F.ceil(before / 3).cast("bigint") + 1, F.floor(upto / 3).cast("bigint")
+    whole = valued(F.when(first <= last, F.sequence(first, last)))
+    edges = F.array_distinct(F.array(codon_number(before + 1), codon_number(upto)))
+    split = valued(edges).where("not (_h1 and _h2 and _h3)")
+    values = ["_v1", "_v2", "_v3"]
+    split = split.groupBy(tx, "codon_number").agg(*[F.max(v).alias(v) for v in values])
+    codons = whole.select(tx, "codon_number", *values).unionByName(split)
+
+    def mean(cols: Sequence[str]) -> Column:
+        n = sum(F.col(c).isNotNull().cast("int") for c in cols)
+        return F.when(n > 0, exact_total(*[F.col(c) for c in cols]) / n)
+
+    return codons.select(tx, "codon_number", mean(values).alias("codon_mean"), mean(values[:2]).alias("pos12_mean"))
+
+
 def points_in_spans(points: DataFrame, spans: DataFrame, key: str, pos: str, start: str, end: str) -> DataFrame:
     """J-19: every (point, span) pair with start <= pos <= end inside one key."""
     p = points.withColumn("_p0", F.col(pos).cast("bigint")).withColumn("_p1", F.col("_p0") + 1)

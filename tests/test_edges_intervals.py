@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -149,6 +150,45 @@ def test_per_residue_skips_missing(spark):
     assert rows(intervals.per_residue(df, "tx", "v")) == [("t", 1, 5.5, 2.0), ("t", 2, 1.0, None)]
 
 
+def _segments(spark):
+    """Segments of 0 to 9 bases, so that codons lie in up to three of them; the rank has repeats and gaps."""
+    own = random.Random(4)
+    segs = []
+    for tx in ("t1", "t2", "t3", None):
+        for i in range(30):
+            start = own.randrange(1, 400)
+            segs.append((tx, i, start, start + own.choice([0, 0, 1, 2, 3, 6, 9]) - 1, own.choice([1, -1]), own.choice([1, 2, None])))
+    segs.append(("t4", 0, 5, 5, 1, 1))
+    return spark.createDataFrame(segs, "tx string, i int, s long, e long, strand int, rank int")
+
+
+@pytest.mark.parametrize("limit", ["1000000", "2"])
+def test_codons_and_edges_from_segments(spark, limit):
+    """The same codons and edges as from bases."""
+    df = _segments(spark)
+    value = lambda place, position: F.when(place % 5 > 0, place * 0.1 + position / 7)
+    spark.conf.set("helixtab.maxGroupRows", limit)
+    try:
+        bases = intervals.per_base(df, "tx", ["i"], "s", "e", "strand")
+        valued = bases.withColumn("v", value(F.col("genomic_pos"), F.col("codon_position")))
+        want = rows(intervals.per_residue(valued, "tx", "v"))
+        got = rows(intervals.segment_residues(df, "tx", ["i"], "s", "e", "strand", value))
+    finally:
+        spark.conf.unset("helixtab.maxGroupRows")
+    assert got == want and len(want) > 50
+
+
+def _plan(spark, name):
+    from __spark_entry__ import queries
+
+    return queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="tables are not here")
+def test_rows_per_base_are_not_sorted_or_grouped(spark):
+    assert "_k" not in _plan(spark, "per_residue").replace("_keys", "")
+
+
 def test_intervals_of_all_lengths_meet(spark):
     """Against all pairs: single bases, spans at bin edges, whole contigs, empty and repeated spans."""
     own = random.Random(9)

@@ -6,7 +6,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from helixtab.functions.sums import exact_sum, exact_weighted_sum
+from helixtab.functions.sums import exact_sum, exact_total, exact_weighted_sum
 from helixtab.operators import profile, rollup, scan
 
 GROUPS = {
@@ -74,3 +74,12 @@ def test_means_keep_their_digits(spark, rows):
     whole = [v for g in want for v in GROUPS[g]]
     assert float(got["mean"]) == pytest.approx(decimal_sum(whole) / len(whole), rel=1e-12)
     assert rollup.exact_sum is exact_sum
+
+
+def test_total_of_a_row(spark):
+    """The columns of a row are added as the rows of a group are."""
+    cells = [0.1, 0.2, 0.3, 1e-7, -1e-7, 1e19, 1e300, 1 / 3, None, float("inf"), 0.0, 65536.5]
+    df = spark.createDataFrame([(i * 12 + j, a, b, 0.7 if i % 2 else None) for i, a in enumerate(cells) for j, b in enumerate(cells)], "k int, a double, b double, c double")
+    across = df.select("k", exact_total(F.col("a"), F.col("b"), F.col("c")).alias("t"))
+    long = df.select("k", F.explode(F.array("a", "b", "c")).alias("x")).groupBy("k").agg(exact_sum(F.col("x")).alias("t"))
+    assert {r.k: r.t for r in across.collect()} == {r.k: r.t for r in long.collect()}
