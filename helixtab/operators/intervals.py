@@ -238,3 +238,16 @@ def boundaries(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     """W-14: rows at which a value differs from the row before."""
     ranked = running(df, keys, order, _before=("lag", F.col(value)))
     return ranked.where(F.col("_before").isNotNull() & (F.col("_before") != F.col(value))).drop("_before")
+
+
+def segment_boundaries(
+    segments: DataFrame, tx: str, order: Sequence[str], start_1based: str, end_1based: str, value: str
+) -> DataFrame:
+    """W-14 from segments: the rows of ``boundaries`` over ``per_base`` for a value of the segment.
+
+    Inside a segment it stays the same, so only the first base of one can differ from the base before.
+    """
+    sized = segments.withColumn("_len", F.col(end_1based) - F.col(start_1based) + 1).where("_len > 0")
+    scans = {"_cum": ("sum", F.col("_len")), "_before": ("lag", F.col(value))}
+    changed = running(sized, tx, order, **scans).where(F.col("_before").isNotNull() & (F.col("_before") != F.col(value)))
+    return changed.withColumn("cds_pos", F.col("_cum") - F.col("_len") + 1).drop("_len", "_cum", "_before")

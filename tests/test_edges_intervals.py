@@ -173,9 +173,12 @@ def test_codons_and_edges_from_segments(spark, limit):
         valued = bases.withColumn("v", value(F.col("genomic_pos"), F.col("codon_position")))
         want = rows(intervals.per_residue(valued, "tx", "v"))
         got = rows(intervals.segment_residues(df, "tx", ["i"], "s", "e", "strand", value))
+        edges_ = rows(intervals.boundaries(bases, ["tx"], ["cds_pos"], "rank").select("tx", "i", "cds_pos"))
+        from_segments = rows(intervals.segment_boundaries(df, "tx", ["i"], "s", "e", "rank").select("tx", "i", "cds_pos"))
     finally:
         spark.conf.unset("helixtab.maxGroupRows")
     assert got == want and len(want) > 50
+    assert from_segments == edges_ and len(edges_) > 10
 
 
 def _plan(spark, name):
@@ -187,6 +190,7 @@ def _plan(spark, name):
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="tables are not here")
 def test_rows_per_base_are_not_sorted_or_grouped(spark):
     assert "_k" not in _plan(spark, "per_residue").replace("_keys", "")
+    assert "Generate" not in _plan(spark, "boundaries")
 
 
 def test_intervals_of_all_lengths_meet(spark):
