@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from helixtab.workspace import stage
+
 # the functions below travel to the workers whole, so executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -109,11 +111,13 @@ class ResidueShare:
 
 
 def word_runs(table: DataFrame, key: str, text: str, width: int = 5) -> DataFrame:
-    """Distinct (key, run): all runs of ``width`` words of each text; a null or shorter text has none."""
+    """(key, h1, h2): 128 bits of every run of ``width`` words of each text, once a row; a null or shorter text has none."""
     words = F.filter(F.split(text, "[ \n\t\r]+"), lambda x: x != "")
     starts = F.when(F.size("w") >= width, F.sequence(F.lit(1), F.size("w") - (width - 1)))
-    rows = table.select(key, words.alias("w")).select(key, "w", F.explode(starts).alias("k"))
-    return rows.select(key, F.array_join(F.slice("w", F.col("k"), F.lit(width)), " ").alias("run")).distinct()
+    run = lambda k: F.array_join(F.slice("w", k, F.lit(width)), " ")
+    runs = F.array_distinct(F.transform(starts, run))
+    rows = table.select(key, words.alias("w")).select(key, F.explode(runs).alias("run"))
+    return rows.select(key, F.xxhash64("run").alias("h1"), F.xxhash64(F.lit(7), "run").alias("h2"))
 
 
 def shared_runs(
@@ -122,10 +126,11 @@ def shared_runs(
     """F-42, X-02: share of the distinct word runs of one text that stand in another, for all pairs with any.
 
     A coverage by common runs; blocks shorter than ``width`` words count as nothing.  Pairs come from an equi-join on
-    the runs, so texts that share nothing never meet.
+    128-bit hashes of the runs, so texts that share nothing never meet.  The runs of ``first`` are written before the join, so that
+    Spark knows their size and need not move those of ``second`` to a small table; repeats of a key are put together after the join.
     """
-    own = word_runs(first, first_key, text, width)
+    own = stage(word_runs(first, first_key, text, width).distinct(), "runs")
     sizes = own.groupBy(first_key).agg(F.count(F.lit(1)).alias("_n"))
-    met = own.join(word_runs(second, second_key, text, width), "run")
-    shared = met.groupBy(first_key, second_key).agg(F.count(F.lit(1)).alias("_m"))
+    met = own.join(word_runs(second, second_key, text, width), ["h1", "h2"])
+    shared = met.distinct().groupBy(first_key, second_key).agg(F.count(F.lit(1)).alias("_m"))
     return shared.join(sizes, first_key).select(first_key, second_key, (F.col("_m") / F.col("_n")).alias(name))

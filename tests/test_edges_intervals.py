@@ -262,3 +262,13 @@ def test_shared_runs(spark):
     want = {(i, j): len(runs(a) & runs(b)) / len(runs(a)) for i, a in texts.items() for j, b in texts.items() if runs(a) & runs(b)}
     got = scoring.shared_runs(df, df.withColumnRenamed("i", "j"), "i", "j").collect()
     assert {(r.i, r.j): r.matching_share for r in got} == want and len(want) == len(got) == 16
+
+
+def test_shared_runs_of_repeated_keys(spark):
+    """Runs count once per key; the longer table isn't moved to a short one."""
+    items = spark.createDataFrame([(1, "a b c d e f"), (1, "b c d e f g")], "i int, text string")
+    docs = spark.createDataFrame([(7, "a b c d e f a b c d e"), (7, "a b c d e"), (8, "b c d e f"), (9, "a b c d")], "j int, text string")
+    out = scoring.shared_runs(items, docs, "i", "j")
+    assert rows(out) == [(1, 7, 2 / 3), (1, 8, 1 / 3)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and not [line for line in plan.splitlines() if "Exchange" in line and "run#" in line]
