@@ -93,15 +93,16 @@ _BP_NAMES = [f"{i}:process of mRNA {n}" for n, i in enumerate(_BP_IDS)] + ["GO:0
 _FAMILIES = [f for fs in terms.RNA_CLASS_FAMILIES.values() for f in fs] + ["Ring finger proteins"] * 5
 
 
+_CC_INDEXES = ("l_partkey", "l_suppkey + l_linenumber", "l_orderkey")
+
+
 def _pick(names: list[str], index: str) -> str:
     """One entry of a list by a whole-number expression, in the text both engines read."""
     joined = "|".join(n.replace("'", "''") for n in names)
     return f"split_part('{joined}', '|', CAST(({index}) % {len(names)} + 1 AS INT))"
 
 
-_CC_TEXT = (
-    f"{_pick(_CC_NAMES, 'l_partkey')} || ';' || {_pick(_CC_NAMES, 'l_suppkey + l_linenumber')} || ';' || {_pick(_CC_NAMES, 'l_orderkey')}"
-)
+_CC_TEXT = " || ';' || ".join(_pick(_CC_NAMES, i) for i in _CC_INDEXES)
 _MF_TEXT = f"{_pick(_MF_NAMES, 'l_partkey')} || ';' || {_pick(_MF_NAMES, 'l_orderkey + 3')}"
 _BP_TEXT = f"{_pick(_BP_NAMES, 'l_suppkey')} || ';' || {_pick(_BP_NAMES, 'l_orderkey')} || ';'"
 _FAM_TEXT = _pick(_FAMILIES, "l_linenumber + l_suppkey")
@@ -137,8 +138,12 @@ FROM f GROUP BY 1, 2, 3"""
 @query(_machine_sql())
 def machine_flags(t: Tables) -> DataFrame:
     """F-20 to F-22, K-10: exact-id and keyword flags with evidence."""
-    packed = spread(t.lineitem).select(F.expr(_CC_TEXT).alias("cc"))
-    flagged = rules.with_machine_flags(packed, "cc")
+    # lines with the same three entries have one cell: it is written and classified once
+    picks = [F.expr(f"({index}) % {len(_CC_NAMES)}").alias(f"pick{k}") for k, index in enumerate(_CC_INDEXES)]
+    names = [f"pick{k}" for k in range(len(picks))]
+    counted = t.lineitem.select(*picks).groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    text = " || ';' || ".join(_pick(_CC_NAMES, name) for name in names)
+    flagged = rules.with_machine_flags(counted.select("n", F.expr(text).alias("cc")), "cc")
     # the evidence of the keyword flag comes in entry order; the report sorts it
     other = F.array_join(F.array_sort(F.split("Other_RNP_machine_terms", ";")), ";")
     return flagged.groupBy(
@@ -146,7 +151,7 @@ def machine_flags(t: Tables) -> DataFrame:
         F.col("Spliceosomal_protein").alias("spliceosomal"),
         F.col("Other_RNP_machine").alias("other_machine"),
     ).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.sum("n").alias("n"),
         F.max("Ribosomal_protein_terms").alias("last_ribo"),
         F.max("Spliceosomal_protein_terms").alias("last_splice"),
         F.max(other).alias("last_other"),

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -216,6 +218,16 @@ def test_machine_flags(spark):
     assert {r.cc: tuple(r[c] for c in cols) for r in out.collect()} == cells
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="tables are not here")
+def test_machine_flags_are_worked_out_once_a_cell(spark):
+    from __spark_entry__ import queries
+
+    plan = queries()["machine_flags"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    classified = max(k for k, line in enumerate(lines) if "array_intersect" in line)
+    assert any("Aggregate" in line for line in lines[classified + 1 :])
+
+
 def test_gap_fill(spark):
     df = spark.createDataFrame(
         [
